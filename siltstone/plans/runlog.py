@@ -120,12 +120,15 @@ def row_counts(event_log: DataFrame, active: DataFrame | None = None) -> DataFra
     restricts the result to the ids it holds; as they are grouping keys, Spark
     may apply that before or after the sum.
     """
-    done = event_log.filter(F.col("event_type") == FLOW_PROGRESS).filter(
-        json_at(F.col("details"), STATUS_PATH) == COMPLETED
+    details = F.col("details")
+    # Text that neither holds the word nor an escape cannot parse to it.
+    may_be_done = details.contains(COMPLETED) | details.contains("\\")
+    done = event_log.filter((F.col("event_type") == FLOW_PROGRESS) & may_be_done).filter(
+        json_at(details, STATUS_PATH) == COMPLETED
     )
     counts = done.groupBy(
         F.col("origin.pipeline_id").alias("pipeline_id"), F.col("origin.update_id").alias("update_id")
-    ).agg(F.sum(json_count_at(F.col("details"), ROWS_PATH)).alias("total_rows_processed"))
+    ).agg(F.sum(json_count_at(details, ROWS_PATH)).alias("total_rows_processed"))
     return counts if active is None else counts.join(active, "pipeline_id", "left_semi")
 
 

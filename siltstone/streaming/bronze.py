@@ -11,13 +11,14 @@ import json
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import qualified
 from siltstone.operators.layout import clustered
+from siltstone.operators.log import append_log, read_log
 from siltstone.sources.audit import AUDIT_COLUMNS, with_audit
 from siltstone.sources.files import (
     SOURCE_PATH,
@@ -131,14 +132,9 @@ def _bronze_rows(rows: DataFrame, wanted: T.StructType, options: FileOptions, as
 
 def bronze_columns(spark: SparkSession, target: str) -> T.StructType | None:
     """The columns of a bronze table, or ``None`` if it does not exist yet."""
-    try:
-        log = spark.read.schema("number bigint, columns string").parquet(f"{target}/_columns")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    newest = log.orderBy(F.desc("number")).first()
-    return T.StructType.fromJson(json.loads(newest["columns"])) if newest else None
+    log = read_log(spark, f"{target}/_columns", "number bigint, columns string")
+    newest = log.agg(F.max_by("columns", "number")).first()[0] if log else None
+    return T.StructType.fromJson(json.loads(newest)) if newest else None
 
 
 def _log_columns(spark: SparkSession, target: str, known: T.StructType | None, new: T.StructType) -> None:
@@ -148,9 +144,8 @@ def _log_columns(spark: SparkSession, target: str, known: T.StructType | None, n
     added = [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in names]
     if added:
         columns = T.StructType(fields + added)
-        row = [(len(columns.fields), columns.json())]
-        log = spark.createDataFrame(row, "number bigint, columns string")
-        log.coalesce(1).write.mode("append").parquet(f"{target}/_columns")
+        row = {"number": (pa.int64(), [len(columns.fields)]), "columns": (pa.string(), [columns.json()])}
+        append_log(spark, f"{target}/_columns", row)
 
 
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
