@@ -116,7 +116,7 @@ def load_silver(
     sort_by = [spec.silver_cluster_by] if spec.silver_cluster_by else []
     if flow.source_type == JDBC:
         staged = silver_staging(bronze_rows(spark, flow), spec, on_error)
-        scd1_upsert(silver, staged, order, tie_break, sort_by=sort_by)
+        scd1_upsert(silver, staged, order, tie_break=tie_break, sort_by=sort_by)
     else:
         staged = silver_staging(stream_bronze(spark, flow.bronze_path), spec, on_error)
         checkpoint = flow.checkpoint(flow.silver_name)
