@@ -57,7 +57,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
-    spark = build_session(master="local[8]", spark_sql_shuffle_partitions="8")
+    spark = build_session(master="local[8]", spark_ui_enabled="false")
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     bad = 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,24 @@ def build_session(app_name: str = "siltstone", master: str | None = None, **sett
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold within a ``with`` block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def adaptive(spark: SparkSession):
+    """Adaptive execution for batch work inside a micro-batch, whose session has it off."""
+    return settings(spark, {"spark.sql.adaptive.enabled": "true"})
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster shares (``spark.checkpoint.dir``).
 

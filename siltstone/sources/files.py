@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from siltstone.functions import qualified
 from siltstone.operators.union import union_frames
+from siltstone.session import settings
 
 SOURCE_PATH = "__source_path"
 FORMATS = ("csv", "json", "parquet")
@@ -145,23 +146,17 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
     text_options = {k: v for k, v in reader.items() if k in ("encoding", "lineSep", "compression")}
     # A file must not be split here, nor share a task: its first line is all that is read of it.
     one_file_per_task = str(1 << 50)
-    settings = {
+    peeking = {
         "spark.sql.files.maxPartitionBytes": one_file_per_task,
         "spark.sql.files.openCostInBytes": one_file_per_task,
         "spark.sql.execution.arrow.maxRecordsPerBatch": "16",
     }
-    before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+    with settings(spark, peeking):
         lines = spark.read.options(**text_options).text(list(paths))
         lines = lines.filter("trim(value) != ''").select("value", F.col("_metadata.file_path").alias("path"))
         heads = lines.mapInArrow(_first_row, lines.schema)
         groups = heads.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
         return [row["paths"] for row in groups.orderBy("value").collect()]
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
 
 
 def _first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

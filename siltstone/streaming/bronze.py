@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from siltstone.functions import qualified
 from siltstone.operators.layout import clustered
 from siltstone.operators.log import append_log, read_log
+from siltstone.session import adaptive
 from siltstone.sources.audit import AUDIT_COLUMNS, with_audit
 from siltstone.sources.files import (
     SOURCE_PATH,
@@ -90,7 +91,8 @@ def _ingest_evolving(spark, source, target, options, as_strings, cluster_by, max
             bronze = clustered(bronze, [cluster_by])
         _log_columns(session, target, known, bronze.schema)
         # One folder per batch of one checkpoint: a repeated batch replaces its own rows.
-        bronze.write.mode("overwrite").parquet(f"{target}/{query_id(session)}/{batch_id:010d}")
+        with adaptive(session):
+            bronze.write.mode("overwrite").parquet(f"{target}/{query_id(session)}/{batch_id:010d}")
 
     return stream_paths(spark, source, max_files or MAX_FILES).writeStream.foreachBatch(append)
 
