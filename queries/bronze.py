@@ -23,7 +23,7 @@ from queries.tables import (
 from siltstone import table_spec
 from siltstone.operators.layout import write_clustered
 from siltstone.operators.silver import silver_transform
-from siltstone.plans.medallion import ingest_table, run_table, table_flow
+from siltstone.plans.medallion import bronze_rows, ingest_table, run_table, table_flow
 from siltstone.session import scratch_dir
 from siltstone.sources.jdbc import jdbc_options, scan_jdbc
 
@@ -45,7 +45,8 @@ def _write_csv(df: DataFrame, folder: str) -> None:
 
 def _ingested(spark: SparkSession, config: dict, table: str, root: str) -> DataFrame:
     flow = table_flow(spark, config, table, f"{root}/lake")
-    return ingest_table(spark, flow, base_path=f"{root}/raw", as_of=LOADED_AT)
+    ingest_table(spark, flow, base_path=f"{root}/raw", as_of=LOADED_AT)
+    return bronze_rows(spark, flow)
 
 
 def _typed(bronze: DataFrame, config: dict, table: str) -> DataFrame:
@@ -178,8 +179,8 @@ def database(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = jdbc_options(connection, user="app", password="app")
     flow = table_flow(spark, _config("supplier", SUPPLIER_COLUMNS, ["s_suppkey"], {}), "supplier", root, "jdbc")
     for _ in range(2):
-        bronze = ingest_table(spark, flow, jdbc=options, as_of=LOADED_AT)
-    return _lower(bronze).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "source_file")
+        ingest_table(spark, flow, jdbc=options, as_of=LOADED_AT)
+    return _lower(bronze_rows(spark, flow)).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "source_file")
 
 
 def database_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,8 +199,8 @@ def switched(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = []
     for source_type in ("s3", "jdbc"):
         flow = table_flow(spark, config, "supplier", f"{root}/lake", source_type)
-        bronze = ingest_table(spark, flow, base_path=f"{root}/raw", jdbc=options, as_of=LOADED_AT)
-        tables.append(_typed(bronze, config, "supplier").withColumn("bronze_table", F.lit(flow.bronze_name)))
+        ingest_table(spark, flow, base_path=f"{root}/raw", jdbc=options, as_of=LOADED_AT)
+        tables.append(_typed(bronze_rows(spark, flow), config, "supplier").withColumn("bronze_table", F.lit(flow.bronze_name)))
     return tables[0].unionByName(tables[1])
 
 

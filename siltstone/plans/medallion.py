@@ -69,8 +69,8 @@ def ingest_table(
     jdbc: Mapping[str, str] | None = None,
     as_of: datetime | None = None,
     max_files: int | None = None,
-) -> DataFrame:
-    """Bring bronze up to date from either kind of source and return its rows.
+) -> None:
+    """Bring bronze up to date from either kind of source.
 
     Files: only those not seen before are read and appended.  Database: the
     table is read whole and replaces its bronze table.  Columns that the spec
@@ -94,7 +94,6 @@ def ingest_table(
             max_files=max_files,
             as_of=as_of,
         )
-    return bronze_rows(spark, flow)
 
 
 def load_silver(

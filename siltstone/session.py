@@ -46,11 +46,6 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def adaptive(spark: SparkSession):
-    """Adaptive execution for batch work inside a micro-batch, whose session has it off."""
-    return settings(spark, {"spark.sql.adaptive.enabled": "true"})
-
-
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster shares (``spark.checkpoint.dir``).
 

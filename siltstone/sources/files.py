@@ -78,22 +78,25 @@ def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
     return T.StructType(fields + list(wanted.values()))
 
 
-def scan_files(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> DataFrame | None:
-    """All rows of ``paths``, columns matched by name, plus the path they came from.
+def file_groups(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> list[list[str]]:
+    """``paths`` in groups whose files can be scanned with one schema.
 
     CSV has no names beside its header and a declared schema is applied by
-    position, so files are scanned per distinct header; files that share one
-    stay a single scan.  ``None`` if the files hold no column at all.
+    position, so its files are grouped by header; other formats are one group.
+    """
+    return header_groups(spark, paths, options.reader) if options.has_header else [list(paths)]
+
+
+def scan_files(spark: SparkSession, groups: Sequence[Sequence[str]], options: FileOptions) -> DataFrame | None:
+    """All rows of the files, columns matched by name, plus the path they came from.
+
+    One scan per group; ``None`` if the files hold no column at all.
     """
-    if options.has_header:
-        groups = header_groups(spark, paths, options.reader)
-    else:
-        groups = [list(paths)]
     scans = []
     for group in groups:
         schema = discovered_schema(spark, group, options, infer_types=False)
         if schema.fields:
-            rows = spark.read.format(options.format).options(**options.reader).schema(schema).load(group)
+            rows = spark.read.format(options.format).options(**options.reader).schema(schema).load(list(group))
             scans.append(rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH)))
     return union_frames(scans, by_name=True, allow_missing=True)
 
@@ -117,9 +120,8 @@ def discovered_schema(
     return reader.option("mergeSchema", "true").parquet(*paths).schema
 
 
-def inferred_schema(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> T.StructType:
-    """Inferred types per column over all ``paths``; where files disagree, a type that holds both."""
-    groups = header_groups(spark, paths, options.reader) if options.has_header else [list(paths)]
+def inferred_schema(spark: SparkSession, groups: Sequence[Sequence[str]], options: FileOptions) -> T.StructType:
+    """Inferred types per column over all files; where groups disagree, a type that holds both."""
     found: dict[str, T.StructField] = {}
     for group in groups:
         for new in discovered_schema(spark, group, options, infer_types=True).fields:
@@ -145,7 +147,7 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
     """
     text_options = {k: v for k, v in reader.items() if k in ("encoding", "lineSep", "compression")}
     # A file must not be split here, nor share a task: its first line is all that is read of it.
-    one_file_per_task = str(1 << 50)
+    one_file_per_task = str(1 << 40)
     peeking = {
         "spark.sql.files.maxPartitionBytes": one_file_per_task,
         "spark.sql.files.openCostInBytes": one_file_per_task,
@@ -153,7 +155,9 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
     }
     with settings(spark, peeking):
         lines = spark.read.options(**text_options).text(list(paths))
-        lines = lines.filter("trim(value) != ''").select("value", F.col("_metadata.file_path").alias("path"))
+        lines = lines.filter("trim(value) != '' and _metadata.file_block_start = 0").select(
+            "value", F.col("_metadata.file_path").alias("path")
+        )
         heads = lines.mapInArrow(_first_row, lines.schema)
         groups = heads.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
         return [row["paths"] for row in groups.orderBy("value").collect()]

@@ -17,14 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import qualified
-from siltstone.operators.layout import clustered
 from siltstone.operators.log import append_log, read_log
-from siltstone.session import adaptive
 from siltstone.sources.audit import AUDIT_COLUMNS, with_audit
 from siltstone.sources.files import (
     SOURCE_PATH,
     FileOptions,
     discovered_schema,
+    file_groups,
     inferred_schema,
     scan_files,
     stream_files,
@@ -68,7 +67,7 @@ def _ingest_fixed(spark, source, target, options, as_strings, as_of):
     """Files that all have the same columns: one streaming scan into the parquet sink."""
     known = bronze_columns(spark, target)
     names = _raw_columns(known, options) if known else discovered_schema(spark, [source], options, infer_types=False)
-    wanted = _wanted(spark, [source], options, names, as_strings, known)
+    wanted = _wanted(spark, [[source]], options, names, as_strings, known)
     rows = stream_files(spark, source, options, names)
     bronze = _bronze_rows(rows, wanted, options, as_of)
     _log_columns(spark, target, known, bronze.schema)
@@ -81,18 +80,17 @@ def _ingest_evolving(spark, source, target, options, as_strings, cluster_by, max
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         paths = [row["path"] for row in batch.filter("length > 0").select("path").collect()]
-        rows = scan_files(session, paths, options) if paths else None
+        groups = file_groups(session, paths, options) if paths else []
+        rows = scan_files(session, groups, options)
         if rows is None:
             return
         known = bronze_columns(session, target)
-        wanted = _wanted(session, paths, options, rows.drop(SOURCE_PATH).schema, as_strings, known)
+        wanted = _wanted(session, groups, options, rows.drop(SOURCE_PATH).schema, as_strings, known)
         bronze = _bronze_rows(rows, wanted, options, as_of)
-        if cluster_by and cluster_by in bronze.columns:
-            bronze = clustered(bronze, [cluster_by])
+        bronze = _sorted_by(bronze, cluster_by)
         _log_columns(session, target, known, bronze.schema)
         # One folder per batch of one checkpoint: a repeated batch replaces its own rows.
-        with adaptive(session):
-            bronze.write.mode("overwrite").parquet(f"{target}/{query_id(session)}/{batch_id:010d}")
+        bronze.write.mode("overwrite").parquet(f"{target}/{query_id(session)}/{batch_id:010d}")
 
     return stream_paths(spark, source, max_files or MAX_FILES).writeStream.foreachBatch(append)
 
@@ -102,7 +100,7 @@ def query_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def _wanted(spark, paths, options: FileOptions, names: T.StructType, as_strings, known) -> T.StructType:
+def _wanted(spark, groups, options: FileOptions, names: T.StructType, as_strings, known) -> T.StructType:
     """Types to store: those the table already has, then hints, then inferred or as found."""
     settled = {f.name.lower(): f for f in with_hints(T.StructType(), options.hints).fields}
     if options.is_text:
@@ -110,7 +108,7 @@ def _wanted(spark, paths, options: FileOptions, names: T.StructType, as_strings,
     settled |= {f.name.lower(): f for f in known.fields} if known else {}
     open_types = any(f.name.lower() not in settled for f in names.fields)
     if options.infer_types and options.is_text and open_types:
-        names = inferred_schema(spark, paths, options)
+        names = inferred_schema(spark, groups, options)
     return T.StructType([T.StructField(f.name, settled.get(f.name.lower(), f).dataType) for f in names.fields])
 
 
@@ -166,6 +164,13 @@ def stream_bronze(spark: SparkSession, target: str, max_files: int | None = None
 
 def overwrite_bronze(df: DataFrame, target: str, cluster_by: str | None = None) -> None:
     """Replace a bronze table by a batch read (JDBC)."""
-    if cluster_by and cluster_by in df.columns:
-        df = clustered(df, [cluster_by])
-    df.write.mode("overwrite").parquet(target)
+    _sorted_by(df, cluster_by).write.mode("overwrite").parquet(target)
+
+
+def _sorted_by(df: DataFrame, column: str | None) -> DataFrame:
+    """Rows sorted within each file, so that row groups can be skipped.
+
+    Ranging them over files too would read the source twice, once to sample it;
+    ``operators.layout`` does that for a table that is already stored.
+    """
+    return df.sortWithinPartitions(qualified(column)) if column and column in df.columns else df

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
 from siltstone.sources.audit import with_audit
-from siltstone.sources.files import file_options, header_groups, inferred_schema, scan_files, typed, with_hints
+from siltstone.sources.files import file_groups, file_options, header_groups, inferred_schema, scan_files, typed, with_hints
 from siltstone.streaming.bronze import ingest_files, read_bronze, stream_bronze
 from tests.conftest import rows
 
@@ -106,7 +106,7 @@ def test_long_files_have_one_header_group(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     assert [[p.rsplit("/", 1)[1] for p in g] for g in header_groups(spark, paths, {})] == [["1.csv", "2.csv"], ["0.csv"]]
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
-    both = scan_files(spark, paths, file_options(CSV))
+    both = scan_files(spark, file_groups(spark, paths, file_options(CSV)), file_options(CSV))
     assert both.groupBy("a", "b").count().orderBy("a").collect() == [("1", "2", 10000), ("2", "1", 5000)]
 
 
@@ -133,7 +133,7 @@ def test_disagreeing_files_get_a_type_that_holds_both(spark, lake):
     table.put("1.csv", "a,b,c", "1,1,1")
     table.put("2.csv", "c,b,a", "3000000000,2.5,x")
     paths = [f"{table.folder}/raw/{n}.csv" for n in (1, 2)]
-    found = inferred_schema(spark, paths, table.options)
+    found = inferred_schema(spark, file_groups(spark, paths, table.options), table.options)
     assert {f.name: f.dataType.simpleString() for f in found.fields} == {"a": "string", "b": "double", "c": "bigint"}
 
 
@@ -205,10 +205,11 @@ def test_many_small_batches(spark, lake):
     assert rows(table.ingest(), "a") == [(str(i),) for i in range(5)]
 
 
-def test_clustered_bronze(spark, lake):
+def test_bronze_files_are_sorted_by_the_cluster_column(spark, lake):
     table = lake(EVOLVING, cluster_by="a")
     table.put("1.csv", "a,b", *(f"{i % 10},{i}" for i in range(200)))
-    assert table.ingest().count() == 200
+    found = [row.a for row in table.ingest().select("a").collect()]
+    assert len(found) == 200 and found == sorted(found)
 
 
 def test_audit_columns(spark, lake):
@@ -221,6 +222,20 @@ def test_audit_columns(spark, lake):
     assert now.source_file == "some_table" and now.ingested_timestamp.date() == now.ingested_date
 
 
+def test_batch_work_within_a_micro_batch_is_adaptive(spark, lake):
+    table = lake(EVOLVING)
+    table.put("1.csv", "a", "1")
+    table.ingest()
+    plans = []
+
+    def note(batch, _):
+        plans.append(batch.groupBy("a").count()._jdf.queryExecution().executedPlan().toString())
+
+    query = stream_bronze(spark, table.target).writeStream.foreachBatch(note).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert plans[0].startswith("AdaptiveSparkPlan")
+
+
 def test_bronze_streams_with_its_columns(spark, lake):
     table = lake(EVOLVING)
     table.put("1.csv", "a", "1")
