@@ -21,13 +21,13 @@ def change_order(spec: TableSpec, ingested: str = INGESTED, sequence_format: str
     The first incremental column, then the ingest time; the ingest time alone
     if the spec names no incremental column (further ones are not used).
     Packed dates may be given a ``sequence_format`` (``ddMMyy``) to be compared
-    as dates instead of as numbers.
+    as dates instead of as numbers; a number that is no date counts as null.
     """
     if not spec.incremental_columns:
         return [qualified(ingested)]
     first = qualified(spec.incremental_columns[0])
     if sequence_format:
-        first = F.to_date(F.lpad(first.cast("string"), len(sequence_format), "0"), sequence_format)
+        first = F.try_to_date(F.lpad(first.cast("string"), len(sequence_format), "0"), sequence_format)
     return [first, qualified(ingested)]
 
 

@@ -66,11 +66,14 @@ def file_options(read_options: Mapping[str, str]) -> FileOptions:
     )
 
 
+def hinted_fields(hints: str | None) -> list[T.StructField]:
+    """The columns of hints such as ``"`ID#` STRING, amount DOUBLE"``."""
+    return list(T.StructType.fromDDL(hints).fields) if hints else []
+
+
 def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
     """``schema`` with the hinted columns' types replaced, unknown hinted columns added."""
-    if not hints:
-        return schema
-    wanted = {f.name.lower(): f for f in T.StructType.fromDDL(hints).fields}
+    wanted = {f.name.lower(): f for f in hinted_fields(hints)}
     fields = []
     for found in schema.fields:
         hint = wanted.pop(found.name.lower(), None)
@@ -171,16 +174,15 @@ def _first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def typed(df: DataFrame, schema: T.StructType, rescued_column: str | None = None) -> DataFrame:
-    """Convert string columns to ``schema``; what does not fit becomes null.
+    """Convert string columns to ``schema``; what does not fit becomes null, as do absent columns.
 
     With a ``rescued_column`` the raw text of every misfit is kept there as a
     JSON object ``{column: text}``, null if the whole row fits.
     """
-    present = {f.name.lower(): f for f in df.schema.fields}
     outputs, misfits = [], []
     targets = {f.name.lower(): f for f in schema.fields}
-    for name, found in present.items():
-        target = targets.get(name)
+    for found in df.schema.fields:
+        target = targets.pop(found.name.lower(), None)
         raw = qualified(found.name)
         if target is None or target.dataType == found.dataType:
             outputs.append(raw)
@@ -188,6 +190,7 @@ def typed(df: DataFrame, schema: T.StructType, rescued_column: str | None = None
         value = raw.try_cast(target.dataType)
         outputs.append(value.alias(found.name))
         misfits.append((found.name, raw, value))
+    outputs += [F.lit(None).cast(absent.dataType).alias(absent.name) for absent in targets.values()]
     if rescued_column:
         outputs.append(_rescued(misfits).alias(rescued_column))
     return df.select(*outputs)

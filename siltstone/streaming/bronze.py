@@ -24,6 +24,7 @@ from siltstone.sources.files import (
     FileOptions,
     discovered_schema,
     file_groups,
+    hinted_fields,
     inferred_schema,
     scan_files,
     stream_files,
@@ -102,14 +103,15 @@ def query_id(spark: SparkSession) -> str:
 
 def _wanted(spark, groups, options: FileOptions, names: T.StructType, as_strings, known) -> T.StructType:
     """Types to store: those the table already has, then hints, then inferred or as found."""
-    settled = {f.name.lower(): f for f in with_hints(T.StructType(), options.hints).fields}
+    settled = {f.name.lower(): f for f in hinted_fields(options.hints)}
     if options.is_text:
         settled |= {name.lower(): T.StructField(name, T.StringType()) for name in as_strings if name.lower() not in settled}
     settled |= {f.name.lower(): f for f in known.fields} if known else {}
     open_types = any(f.name.lower() not in settled for f in names.fields)
     if options.infer_types and options.is_text and open_types:
         names = inferred_schema(spark, groups, options)
-    return T.StructType([T.StructField(f.name, settled.get(f.name.lower(), f).dataType) for f in names.fields])
+    wanted = with_hints(names, options.hints)
+    return T.StructType([T.StructField(f.name, settled.get(f.name.lower(), f).dataType) for f in wanted.fields])
 
 
 def _raw_columns(known: T.StructType, options: FileOptions) -> T.StructType:

@@ -122,6 +122,15 @@ def test_inferred_types_and_what_they_lose(lake):
     assert rows(bronze.filter("key = '002'"), "n", "d", "_rescued_data") == [(None, 2.0, '{"n":"many"}')]
 
 
+def test_hinted_column_that_no_file_has_yet(lake):
+    table = lake(EVOLVING | {"cloudFiles.schemaHints": "a INT, later DOUBLE"})
+    table.put("1.csv", "a", "1")
+    bronze = table.ingest()
+    assert dict(bronze.dtypes)["later"] == "double" and rows(bronze, "a", "later") == [(1, None)]
+    table.put("2.csv", "a,later", "2,2.5")
+    assert rows(table.ingest(), "a", "later") == [(1, None), (2, 2.5)]
+
+
 def test_columns_typed_later_stay_text(lake):
     table = lake(INFERRED, as_strings=["key", "n"])
     table.put("1.csv", "key,n,other", " 001 , 7 ,5")

@@ -80,7 +80,7 @@ def test_order_from_the_spec(spark):
 def test_packed_dates_as_numbers_or_as_dates(spark):
     silver = {"primary_keys": ["k"], "incremental_columns": ["packed"]}
     spec = table_spec({"tables": {"t": {"bronze": {"source_table": "t"}, "silver": silver, "columns": []}}}, "t")
-    df = spark.createDataFrame([(1, 311223, 0), (1, 10124, 0)], "k int, packed int, ingested_timestamp int")
+    df = spark.createDataFrame([(1, 311223, 0), (1, 10124, 0), (1, 0, 9)], "k int, packed int, ingested_timestamp int")
     assert latest_per_key(df, ["k"], change_order(spec)).first().packed == 311223
     assert latest_per_key(df, ["k"], change_order(spec, sequence_format="ddMMyy")).first().packed == 10124
 
