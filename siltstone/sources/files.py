@@ -6,10 +6,9 @@ not fit its type can be kept beside the row and leading zeros survive.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,6 +147,13 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
     Each task reads the first lines of one file.  Only paths reach the driver,
     which needs them anyway to name them in a scan.
     """
+    # Local, so that it travels by value and executors need not have this package.
+    def first_row(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     text_options = {k: v for k, v in reader.items() if k in ("encoding", "lineSep", "compression")}
     # A file must not be split here, nor share a task: its first line is all that is read of it.
     one_file_per_task = str(1 << 40)
@@ -161,18 +167,11 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
         lines = lines.filter("trim(value) != '' and _metadata.file_block_start = 0").select(
             "value", F.col("_metadata.file_path").alias("path")
         )
-        heads = lines.mapInArrow(_first_row, lines.schema)
+        heads = lines.mapInArrow(first_row, lines.schema)
         groups = heads.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
         return [row["paths"] for row in groups.orderBy("value").collect()]
 
 
-def _first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def typed(df: DataFrame, schema: T.StructType, rescued_column: str | None = None) -> DataFrame:
     """Convert string columns to ``schema``; what does not fit becomes null, as do absent columns.
 
