@@ -6,7 +6,7 @@ that a source system would deliver.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,11 +162,15 @@ EMBEDDED = {"url": "jdbc:derby:memory:siltstone;create=true", "driver": "org.apa
 
 
 def _supplier_table(spark: SparkSession, sf_dir: str) -> dict:
-    """Supplier as a database table of its own; the connection to it."""
+    return _database_table(spark, read(spark, sf_dir, "supplier"))
+
+
+def _database_table(spark: SparkSession, supplier: DataFrame) -> dict:
+    """Suppliers as a database table of its own; the connection to it."""
     connection = {key: spark.conf.get(name, EMBEDDED[key]) for key, name in DATABASE_CONF.items()}
     connection["table"] = scratch_dir(spark, "s").rsplit("/", 1)[1].replace("-", "_")
     options = jdbc_options(connection, user="app", password="app")
-    read(spark, sf_dir, "supplier").write.format("jdbc").options(
+    supplier.write.format("jdbc").options(
         createTableColumnTypes="s_name VARCHAR(200)", **options
     ).save()
     return connection
@@ -261,6 +265,19 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.drop("ingested_timestamp", "ingested_date", "source_file", "_rescued_data")
 
 
+def database_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database to silver in two loads; rows that the second one lacks stay as they were."""
+    root = scratch_dir(spark, "medallion_jdbc")
+    config = _config("supplier", SUPPLIER_COLUMNS, ["s_suppkey"], {})
+    supplier = read(spark, sf_dir, "supplier")
+    changed = supplier.filter(F.col("s_nationkey") < 12).withColumn("s_acctbal", F.col("s_acctbal") + 1000)
+    for day, load in enumerate((supplier, changed)):
+        options = jdbc_options(_database_table(spark, load), user="app", password="app")
+        at = LOADED_AT + timedelta(days=day)
+        silver = run_table(spark, config, "supplier", root, source_type="jdbc", jdbc=options, as_of=at)
+    return comparable(silver.drop("ingested_date", "source_file"))
+
+
 _SUPPLIER_SQL = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 
 QUERIES = {
@@ -279,6 +296,7 @@ QUERIES = {
     "bronze_source_switch": switched,
     "clustered_write": clustered_write,
     "medallion_e2e": end_to_end,
+    "medallion_jdbc": database_end_to_end,
 }
 
 ORACLE = {
@@ -328,4 +346,9 @@ ORACLE = {
                c_changed, c_remark
         FROM deliveries
         QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY c_changed DESC) = 1""",
+    "medallion_jdbc": """
+        SELECT s_suppkey, s_name, s_nationkey, s_acctbal + CASE WHEN s_nationkey < 12 THEN 1000 ELSE 0 END AS s_acctbal,
+               TIMESTAMP '2024-02-01 12:30:00' + CASE WHEN s_nationkey < 12 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END
+                 AS ingested_timestamp
+        FROM supplier""",
 }

@@ -50,6 +50,12 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.job_runs(t.job_timeline(spark, sf_dir), t.jobs(spark, sf_dir), **_RECENT_JOBS)
 
 
+def whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's events of one day as the periods of one run."""
+    periods = t.job_timeline(spark, sf_dir).withColumn("run_id", F.date_format("period_start_time", "yyyy-MM-dd"))
+    return runlog.job_runs(periods, t.jobs(spark, sf_dir), whole_runs=True, **_RECENT_JOBS)
+
+
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seconds from each event to a fractional time after it; none where the end is missing."""
     end = F.col("ts") + F.make_dt_interval(secs=F.col("value").cast("decimal(18,6)"))
@@ -163,6 +169,7 @@ QUERIES = {
     "runlog_latest_names": latest_names,
     "runlog_pipeline_runs": pipeline_runs,
     "runlog_job_runs": job_runs,
+    "runlog_whole_runs": whole_runs,
     "runlog_durations": durations,
     "runlog_row_counts": row_counts,
     "union_frames": frames,
@@ -183,6 +190,17 @@ ORACLE = {
         UNION ALL SELECT workspace_id, job_id, name, 'JOB' FROM latest_jobs""",
     "runlog_pipeline_runs": f"{_ROLES} {_runs_sql('PIPELINE', _SINCE)}",
     "runlog_job_runs": f"{_ROLES} {_runs_sql('JOB', _SINCE_JOBS)}",
+    "runlog_whole_runs": f"""
+        WITH {t.JOB_TIMELINE_SQL}, {t.VERSIONS_SQL},
+        whole AS (
+          SELECT job_id, strftime(period_start_time, '%Y-%m-%d') AS run_id, min(period_start_time) AS start_time,
+                 max(period_end_time) AS end_time,
+                 (max({{'e': period_end_time, 's': result_state}}) FILTER (WHERE result_state IS NOT NULL)).s AS status
+          FROM job_timeline GROUP BY ALL)
+        SELECT 'JOB' AS run_type, w.job_id AS id, d.name, w.run_id, w.status, w.start_time, w.end_time,
+               date_sub('second', w.start_time, w.end_time) AS duration_seconds
+        FROM whole w LEFT JOIN latest_jobs d ON w.job_id = d.job_id
+        WHERE w.status IS NOT NULL AND w.start_time > {_SINCE_JOBS}""",
     "runlog_durations": """
         SELECT event_id,
                date_sub('second', ts, CASE WHEN event_type <> 'click'

@@ -84,10 +84,9 @@ def runs_of(
     keys = ["workspace_id", id_column, run_column]
     periods = timeline.select(*keys, "result_state", "period_start_time", "period_end_time")
     if whole_runs:
+        last_state = F.max(F.when(F.col("result_state").isNotNull(), F.struct("period_end_time", "result_state")))
         periods = periods.groupBy(*keys).agg(
-            F.max_by("result_state", F.when(F.col("result_state").isNotNull(), F.col("period_end_time"))).alias(
-                "result_state"
-            ),
+            last_state["result_state"].alias("result_state"),
             F.min("period_start_time").alias("period_start_time"),
             F.max("period_end_time").alias("period_end_time"),
         )
