@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from queries.tables import (
     CUSTOMER_COLUMNS,
-    PART_COLUMNS,
     SUPPLIER_COLUMNS,
     column,
     comparable,

@@ -42,14 +42,6 @@ CUSTOMER_COLUMNS = [
     column("c_acctbal", "double"),
     column("c_mktsegment", "string"),
 ]
-PART_COLUMNS = [
-    column("p_partkey", "long"),
-    column("p_name", "string"),
-    column("p_brand", "string"),
-    column("p_type", "string"),
-    column("p_size", "integer"),
-    column("p_retailprice", "double"),
-]
 SUPPLIER_COLUMNS = [
     column("s_suppkey", "long"),
     column("s_name", "string"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import elapsed_seconds, json_at, json_count_at
+from siltstone.operators.join import join_to_unique
 from siltstone.operators.latest import latest_per_key
 from siltstone.operators.merge import merge_on_change, unique_by
 from siltstone.operators.snapshot import BUCKET, KeyedSnapshot
@@ -91,7 +92,7 @@ def runs_of(
             F.max("period_end_time").alias("period_end_time"),
         )
     finished = started_since(periods, lookback_days, as_of).filter(F.col("result_state").isNotNull())
-    named = finished.join(latest_names(versions, id_column), ["workspace_id", id_column], "left")
+    named = join_to_unique(finished, latest_names(versions, id_column), ["workspace_id", id_column], "left")
     return named.select(
         F.lit(run_type).alias("run_type"),
         F.col(id_column).alias("id"),
@@ -128,7 +129,7 @@ def row_counts(event_log: DataFrame, active: DataFrame | None = None) -> DataFra
     counts = done.groupBy(
         F.col("origin.pipeline_id").alias("pipeline_id"), F.col("origin.update_id").alias("update_id")
     ).agg(F.sum(json_count_at(details, ROWS_PATH)).alias("total_rows_processed"))
-    return counts if active is None else counts.join(active, "pipeline_id", "left_semi")
+    return counts if active is None else join_to_unique(counts, active, ["pipeline_id"], "left_semi")
 
 
 def with_row_counts(runs: DataFrame, counts: DataFrame | None) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,7 +195,7 @@ def typed(df: DataFrame, schema: T.StructType, rescued_column: str | None = None
     return df.select(*outputs)
 
 
-def _rescued(misfits: list) -> F.Column:
+def _rescued(misfits: list[tuple[str, Column, Column]]) -> Column:
     if not misfits:
         return F.lit(None).cast("string")
     entries = []

@@ -33,7 +33,7 @@ from siltstone.sources.files import (
     with_hints,
 )
 
-# Kept where inferred types meet later files, unless the spec names another.
+# Holds what a conversion would lose, unless the spec names another column.
 DEFAULT_RESCUED = "_rescued_data"
 # Paths named on the driver per batch; more files simply take more batches.
 MAX_FILES = 10_000
@@ -127,7 +127,9 @@ def _raw_columns(known: T.StructType, options: FileOptions) -> T.StructType:
 
 
 def _bronze_rows(rows: DataFrame, wanted: T.StructType, options: FileOptions, as_of) -> DataFrame:
-    rescued = options.rescued_column or (DEFAULT_RESCUED if options.infer_types and options.is_text else None)
+    found = {f.name.lower(): f.dataType for f in rows.schema.fields}
+    converts = any(found.get(f.name.lower(), f.dataType) != f.dataType for f in wanted.fields)
+    rescued = options.rescued_column or (DEFAULT_RESCUED if converts else None)
     rows = typed(rows, wanted, rescued)
     return with_audit(rows, qualified(SOURCE_PATH), as_of).drop(SOURCE_PATH)
 
@@ -135,7 +137,7 @@ def _bronze_rows(rows: DataFrame, wanted: T.StructType, options: FileOptions, as
 def bronze_columns(spark: SparkSession, target: str) -> T.StructType | None:
     """The columns of a bronze table, or ``None`` if it does not exist yet."""
     log = read_log(spark, f"{target}/_columns", "number bigint, columns string")
-    newest = log.agg(F.max_by("columns", "number")).first()[0] if log else None
+    newest = None if log is None else log.agg(F.max_by("columns", "number")).first()[0]
     return T.StructType.fromJson(json.loads(newest)) if newest else None
 
 

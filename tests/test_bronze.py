@@ -176,6 +176,14 @@ def test_parquet_keeps_types(spark, lake, mode):
         assert bronze.filter("extra").count() == 2
 
 
+def test_a_changed_parquet_type_loses_nothing(spark, lake):
+    table = lake({"cloudFiles.format": "parquet", "cloudFiles.schemaEvolutionMode": "addNewColumns"})
+    spark.sql("select 1 as n").write.mode("append").parquet(f"{table.folder}/raw")
+    table.ingest()
+    spark.sql("select 3000000000 as n, 'x' as t").write.mode("append").parquet(f"{table.folder}/raw")
+    assert rows(table.ingest(), "n", "t", "_rescued_data") == [(None, "x", '{"n":"3000000000"}'), (1, None, None)]
+
+
 def test_headerless_csv_by_position(lake):
     table = lake({"cloudFiles.format": "csv"})
     table.put("1.csv", "1,x", "2,y")

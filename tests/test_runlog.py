@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import elapsed_seconds
 from siltstone.operators.union import union_frames
 from siltstone.plans import runlog
-from siltstone.session import scratch_dir
+from siltstone.session import scratch_dir, settings
 from tests.conftest import plan, rows
 
 NOW = datetime(2024, 1, 31)
@@ -120,6 +120,38 @@ def test_event_type_and_start_time_reach_the_scan(spark, tmp_path):
     assert "GreaterThan(period_start_time" in recent and "ReadSchema: struct<pipeline_id:string" in recent
 
 
+def test_a_pipeline_with_most_runs_is_split(spark):
+    """The join to the names splits the partition of a hot pipeline instead of giving it to one task."""
+    hot = F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 500).cast("string"))
+    t = spark.range(0, 60000, 1, 8).select(
+        F.lit("w").alias("workspace_id"),
+        hot.alias("pipeline_id"),
+        F.col("id").cast("string").alias("update_id"),
+        F.lit("OK").alias("result_state"),
+        F.lit(NOW - DAY).alias("period_start_time"),
+        F.lit(NOW).alias("period_end_time"),
+    )
+    names = spark.range(500).select(
+        F.lit("w").alias("workspace_id"),
+        F.when(F.col("id") == 7, "hot").otherwise(F.col("id").cast("string")).alias("pipeline_id"),
+        F.concat(F.lit("name "), F.col("id").cast("string")).alias("name"),
+        F.lit(NOW).alias("change_time"),
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    with settings(spark, small):
+        out = runlog.pipeline_runs(t, names, as_of=NOW)
+        found = out.collect()
+        steps = out._jdf.queryExecution().executedPlan().toString()
+    assert len(found) == 60000 and sum(r.name == "name 7" for r in found) == 40000
+    assert "SortMergeJoin(skew=true)" in steps
+
+
 def run(kind, i, r, status, n=1, name="n"):
     return (kind, i, name, r, status, NOW, NOW, n, n)
 
