@@ -206,8 +206,15 @@ def _rescued(misfits: list[tuple[str, Column, Column]]) -> Column:
 
 
 def stream_files(spark: SparkSession, path: str, options: FileOptions, schema: T.StructType) -> DataFrame:
-    """Streaming scan of files that all have the columns of ``schema``, each file once."""
-    rows = spark.readStream.schema(schema).format(options.format).options(**options.reader).load(path)
+    """Streaming scan of files that all have the columns of ``schema``, each file once.
+
+    A CSV file with another header fails the stream: its columns would be taken
+    by position.
+    """
+    reader = spark.readStream.schema(schema).format(options.format)
+    if options.has_header:
+        reader = reader.option("enforceSchema", "false")
+    rows = reader.options(**options.reader).load(path)
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 

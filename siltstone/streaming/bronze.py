@@ -67,7 +67,10 @@ def ingest_files(
 def _ingest_fixed(spark, source, target, options, as_strings, as_of):
     """Files that all have the same columns: one streaming scan into the parquet sink."""
     known = bronze_columns(spark, target)
-    names = _raw_columns(known, options) if known else discovered_schema(spark, [source], options, infer_types=False)
+    if known is None or options.format == "csv":  # one line tells the columns of a CSV
+        names = discovered_schema(spark, [source], options, infer_types=False)
+    else:
+        names = _raw_columns(known, options)
     wanted = _wanted(spark, [[source]], options, names, as_strings, known)
     rows = stream_files(spark, source, options, names)
     bronze = _bronze_rows(rows, wanted, options, as_of)

@@ -4,6 +4,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
@@ -84,6 +85,18 @@ def test_columns_match_by_name_wherever_they_stand(lake):
     assert bronze.columns[-1] == "new"
 
 
+def test_fixed_columns_are_never_shifted(lake):
+    """Without added columns a file with another header is refused, not read by position."""
+    table = lake(CSV | {"cloudFiles.schemaHints": "a INT, absent INT"})
+    table.put("1.csv", "a,b", "1,x")
+    table.ingest()
+    table.put("2.csv", "a,b", "2,y")
+    assert rows(table.ingest(), "a", "b", "absent") == [(1, "x", None), (2, "y", None)]
+    table.put("3.csv", "b,a", "z,3")
+    with pytest.raises(StreamingQueryException, match="FAILED_READ_FILE"):
+        table.ingest()
+
+
 def test_quoted_and_delimited_headers(lake):
     table = lake(EVOLVING | {"delimiter": "|"})
     table.put("1.csv", '"CFCIF#"|"odd|name"', '007|"a|b"')
