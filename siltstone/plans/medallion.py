@@ -103,8 +103,8 @@ def load_silver(
     tie_break: Sequence[str] | None = None,
     sequence_format: str | None = None,
     buckets: int | None = None,
-) -> DataFrame:
-    """Fold bronze into silver, one current row per key, and return the silver rows.
+) -> DataFrame | None:
+    """Fold bronze into silver, one current row per key, and return the silver rows if there are any.
 
     Rows from files are folded in as a stream, each once; a database table is
     folded in whole, since its bronze table is replaced by every read.
@@ -117,7 +117,10 @@ def load_silver(
         staged = silver_staging(bronze_rows(spark, flow), spec, on_error)
         scd1_upsert(silver, staged, order, tie_break=tie_break, sort_by=sort_by)
     else:
-        staged = silver_staging(stream_bronze(spark, flow.bronze_path), spec, on_error)
+        bronze = stream_bronze(spark, flow.bronze_path)
+        if bronze is None:
+            return silver.read()
+        staged = silver_staging(bronze, spec, on_error)
         checkpoint = flow.checkpoint(flow.silver_name)
         stream_scd1(staged, flow.silver_path, spec.primary_keys, order, checkpoint, tie_break, buckets, sort_by)
     return silver.read()
@@ -134,15 +137,15 @@ def run_table(
     as_of: datetime | None = None,
     max_files: int | None = None,
     **silver_options,
-) -> DataFrame:
+) -> DataFrame | None:
     """Bring bronze and silver of ``table`` up to date and return the silver rows."""
     flow = table_flow(spark, config, table, root, source_type)
     ingest_table(spark, flow, base_path, jdbc, as_of, max_files)
     return load_silver(spark, flow, **silver_options)
 
 
-def bronze_rows(spark: SparkSession, flow: TableFlow) -> DataFrame:
-    """The bronze table of a flow."""
+def bronze_rows(spark: SparkSession, flow: TableFlow) -> DataFrame | None:
+    """The bronze table of a flow; ``None`` if nothing has arrived yet."""
     if flow.source_type == JDBC:
         return spark.read.parquet(flow.bronze_path)
     return read_bronze(spark, flow.bronze_path)

@@ -155,15 +155,20 @@ def _log_columns(spark: SparkSession, target: str, known: T.StructType | None, n
         append_log(spark, f"{target}/_columns", row)
 
 
-def read_bronze(spark: SparkSession, target: str) -> DataFrame:
-    """All rows; a column that older files lack is null there."""
+def read_bronze(spark: SparkSession, target: str) -> DataFrame | None:
+    """All rows, a column that older files lack being null there; ``None`` if nothing has arrived yet."""
     schema = bronze_columns(spark, target)
+    if schema is None:
+        return None
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(target)
 
 
-def stream_bronze(spark: SparkSession, target: str, max_files: int | None = None) -> DataFrame:
-    """Streaming scan of a bronze table with the columns it has now."""
-    reader = spark.readStream.schema(bronze_columns(spark, target)).option("recursiveFileLookup", "true")
+def stream_bronze(spark: SparkSession, target: str, max_files: int | None = None) -> DataFrame | None:
+    """Streaming scan of a bronze table with the columns it has now; ``None`` if nothing has arrived yet."""
+    schema = bronze_columns(spark, target)
+    if schema is None:
+        return None
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(target)

@@ -65,6 +65,14 @@ def test_files_to_silver_over_several_runs(spark, tmp_path):
     assert silver.filter(F.col("source_file").endswith("/raw/cfzemp/3.csv")).count() == 1
 
 
+def test_nothing_has_arrived_yet(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/raw/cfzemp")
+    run = lambda: run_table(spark, EMPLOYEE, "employee", f"{tmp_path}/lake", base_path=f"{tmp_path}/raw")
+    assert run() is None
+    put(tmp_path, "1.csv", "CFCIF#,CFENA1,CFESD7,CFEDR6", "001,Ann,7,240101")
+    assert rows(run(), "CFCIF") == [("001",)]
+
+
 def test_lost_checkpoint_reads_everything_again_with_the_same_result(spark, tmp_path):
     put(tmp_path, "1.csv", "CFCIF#,CFENA1,CFESD7,CFEDR6", "001,Ann,7,240101", "001,Eve,7,240102")
     options = {"base_path": f"{tmp_path}/raw", "as_of": datetime(2024, 1, 1)}
