@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import archive, decontamination, near_dup, packing, sharding, vectors
+from siltstone.llm import archive, decontamination, language, near_dup, packing, pii, sharding, vectors
 from siltstone.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,13 @@ def op8_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+@query
+def op1_family_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
