@@ -117,3 +117,19 @@ def check_packing(rows, docs, encode, capacity=1024):
             at += r.length
         assert at <= capacity
     return len(by_sequence), -(-total // capacity)
+
+
+def base_scores(docs):
+    """The contract of language-model scoring but for the model's own score: n_tokens, n_known, train_tokens, base_score."""
+    import math
+    from collections import Counter
+
+    end = object()
+    tokens = {i: [*word_list(t), end] for i, t in docs}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in tokens}
+    counts = Counter(t for i, own in tokens.items() if not held[i] for t in own)
+    n, v = sum(counts.values()), len(counts)
+    return {
+        i: (held[i], len(own), sum(t in counts for t in own), n, sum(math.log10((counts[t] + 0.5) / (n + 0.5 * (v + 1))) for t in own))
+        for i, own in tokens.items()
+    }
