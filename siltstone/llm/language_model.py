@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import arrow_batches, store
 from siltstone.llm.elias_fano import Trie
+from siltstone.llm.blobs import by_shard, joined, packed, packed_ids, unpacked, unpacked_ids
 from siltstone.llm.words import column_bytes, mix, row_chunks, word_hashes
 
 BATCH_BYTES = 6_000_000
@@ -41,23 +42,6 @@ SHARD_TOKENS = 3_000_000
 WEIGHTS = (3.0, 10.0, 30.0, 100.0, 300.0, 1e3, 3e3, 1e4, 1e5, 1e6)
 END = mix(np.array([0x2545F4914F6CDD1D], dtype=np.uint64))[0]
 
-_codec = pa.Codec("zstd", compression_level=1)
-
-
-def packed(array: np.ndarray) -> bytes:
-    """An integer array in as few bytes as its largest value needs, compressed."""
-    top = int(array.max()) if len(array) else 0
-    kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if top < 1 << 8 * np.dtype(k).itemsize)
-    raw = array.astype(kind).tobytes()
-    return f"{kind:>3}".encode() + len(raw).to_bytes(8, "little") + _codec.compress(raw, asbytes=True)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[3:11], "little")
-    raw = _codec.decompress(data[11:], decompressed_size=size, asbytes=True) if size else b""
-    return np.frombuffer(raw, data[:3].decode().strip())
-
-
 BATCH = "batch string, n_docs int, doc_ids binary, held binary, lengths binary, tokens binary, words binary, counts binary"
 
 
@@ -68,7 +52,7 @@ def encoded(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in joined(batches):
+        for batch in joined(batches, BATCH_BYTES):
             flat, offsets = column_bytes(batch.column(1))
             for low, high in row_chunks(offsets, BATCH_BYTES):
                 part = offsets[low : high + 1]
@@ -80,11 +64,7 @@ def encoded(docs: DataFrame) -> DataFrame:
                 training = np.repeat(~held, lengths)
                 counts = np.bincount(tokens[training], minlength=len(words))
                 ids = batch.column(0).slice(low, high - low)
-                with pa.BufferOutputStream() as sink:
-                    with pa.ipc.new_stream(sink, pa.schema([("doc_id", pa.int64())])) as writer:
-                        writer.write_batch(pa.RecordBatch.from_arrays([ids], ["doc_id"]))
-                    kept = sink.getvalue().to_pybytes()
-                row = [uuid.uuid4().hex, high - low, kept, packed(held), packed(lengths), packed(tokens), words.tobytes(), packed(counts)]
+                row = [uuid.uuid4().hex, high - low, packed_ids(ids), packed(held), packed(lengths), packed(tokens), words.tobytes(), packed(counts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], k) for v, k in zip(row, (pa.string(), pa.int32(), *[pa.binary()] * 6))],
                     ["batch", "n_docs", "doc_ids", "held", "lengths", "tokens", "words", "counts"],
@@ -95,20 +75,6 @@ def encoded(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", held.alias("held")).mapInArrow(run, BATCH)
 
 
-def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches gathered to some megabytes of text."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= BATCH_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if held and sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) % shards
 
@@ -123,7 +89,7 @@ def word_rows(batches: DataFrame, shards: int) -> DataFrame:
                 own = shard_of(words, shards)
                 rows = [
                     (r.batch, s, words[m].tobytes(), packed(counts[m]))
-                    for s in range(shards) if len(m := np.flatnonzero(own == s))
+                    for s, m in by_shard(own)
                 ]
                 yield pd.DataFrame(rows, columns=["batch", "shard", "words", "counts"])
 
@@ -171,8 +137,9 @@ def pair_rows(asked: DataFrame, answered: DataFrame, shards: int, word_shards: i
         words, tokens = np.frombuffer(r["words"], np.uint64), unpacked(r["tokens"]).astype(np.int64)
         own = shard_of(words, word_shards)
         counts, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        places = dict(by_shard(own))
         for a in answers.itertuples():
-            mine = np.flatnonzero(own == a.shard)
+            mine = places[a.shard]
             counts[mine] = unpacked(a.counts)
             local = unpacked(a.numbers).astype(np.int64)
             number[mine] = np.where(local > 0, local * word_shards + a.shard, 0)
@@ -202,15 +169,13 @@ def pair_rows(asked: DataFrame, answered: DataFrame, shards: int, word_shards: i
         salts = np.maximum(1, totals * (4 * shards) // max(1, n_tokens))
         salted = (key >> width) * 4 * shards + mix((key & ((1 << width) - 1)).astype(np.uint64)).astype(np.int64) % salts
         place, docs_in_order = shard_of(mix(salted.astype(np.uint64)), shards), doc[order]
-        of_token = np.repeat(place, times)
-        for s in range(shards):
-            m = np.flatnonzero(place == s)
-            if len(m):
-                rows.append((
-                    "pairs", r["batch"], s, packed(np.diff(key[m] >> width, prepend=0)), packed(key[m] & ((1 << width) - 1)),
-                    packed(totals[m]), packed(np.rint(codes[m] * -1000).astype(np.int64)), packed(trained[m]), packed(docs_in_order[of_token == s]),
-                    len(lengths), None, None, None, packed(times[m]), None,
-                ))
+        tokens_of = dict(by_shard(np.repeat(place, times)))
+        for s, m in by_shard(place):
+            rows.append((
+                "pairs", r["batch"], s, packed(np.diff(key[m] >> width, prepend=0)), packed(key[m] & ((1 << width) - 1)),
+                packed(totals[m]), packed(np.rint(codes[m] * -1000).astype(np.int64)), packed(trained[m]),
+                packed(docs_in_order[tokens_of[s]]), len(lengths), None, None, None, packed(times[m]), None,
+            ))
         return pd.DataFrame(rows, columns=[f.split()[0] for f in KNOWN.split(", ")])
 
     return asked.groupBy("batch").cogroup(answered.groupBy("batch")).applyInPandas(run, KNOWN)
@@ -291,7 +256,7 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def finish(batch: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
         r = batch.iloc[0]
-        ids = pa.ipc.open_stream(r["doc_ids"]).read_all().column(0).to_pandas().astype("Int64")
+        ids = unpacked_ids(r["doc_ids"])
         total = np.zeros(r["n_docs"])
         for data in sorted(parts["sums"]):  # a fixed order of summing
             total += np.frombuffer(data)

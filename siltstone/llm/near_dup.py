@@ -6,8 +6,8 @@ random permutation of the signature's places, the value at step ``j`` lies in
 below the step.  Places of one set are thus never hit independently, which
 lowers the variance, and large sets stop after two or three steps.
 
-With 32 bands of six values a pair at the threshold of 0.85 shares no band with
-probability 3e-7.  Sets that share a band are candidates; candidate groups are
+With 38 bands of five values a pair of similarity 0.85 shares no band with
+probability 2e-10, and one of 0.8 with 3e-7.  Sets that share a band are candidates; candidate groups are
 compared on their whole sets, in blocks inside tasks, and only a spanning forest
 of the links leaves a task.  Documents with equal sets are represented by one of
 them throughout.
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import arrow_batches, connected_components, if_small, store
 from siltstone.llm.words import column_bytes, mix, row_chunks, shingle_sets
 
-BANDS = 32
-ROWS = 6
+BANDS = 38
+ROWS = 5
 THRESHOLD = 85  # 100 * intersection >= 85 * union
 ELEMENTS = 30_000  # elements whose permutations are held at once
 BLOCK = 256  # documents compared with each other at once

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import archive, decontamination, language, language_model, near_dup, packing, pii, sharding, vectors
+from siltstone.llm import archive, decontamination, language, language_model, near_dup, packing, pii, repeats, sharding, vectors
 from siltstone.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))

@@ -133,3 +133,24 @@ def base_scores(docs):
         i: (held[i], len(own), sum(t in counts for t in own), n, sum(math.log10((counts[t] + 0.5) / (n + 0.5 * (v + 1))) for t in own))
         for i, own in tokens.items()
     }
+
+
+def without_repeats(docs, length=200):
+    """doc_id -> (n_bytes, n_removed, n_spans, kept_sha256), every window looked up in a dictionary."""
+    import hashlib
+    from collections import Counter
+
+    texts = {i: (t or "").encode() for i, t in docs}
+    seen = Counter(body[s : s + length] for body in texts.values() for s in range(len(body) - length + 1))
+    found = {}
+    for i, body in texts.items():
+        cover = np.zeros(len(body) + 1, dtype=int)
+        for s in range(len(body) - length + 1):
+            if seen[body[s : s + length]] > 1:
+                cover[s] += 1
+                cover[s + length] -= 1
+        gone = np.cumsum(cover[:-1]) > 0
+        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+        kept = bytes(np.frombuffer(body, np.uint8)[~gone])
+        found[i] = (len(body), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+    return found
