@@ -12,17 +12,17 @@ _codec = pa.Codec("zstd", compression_level=1)
 
 
 def packed(array: np.ndarray) -> bytes:
-    """An integer array in as few bytes as its largest value needs, compressed."""
+    """An integer array in as few bytes as its largest value needs, high and low bytes apart, compressed."""
     top = int(array.max()) if len(array) else 0
-    kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if top < 1 << 8 * np.dtype(k).itemsize)
-    raw = array.astype(kind).tobytes()
-    return f"{kind:>3}".encode() + len(raw).to_bytes(8, "little") + _codec.compress(raw, asbytes=True)
+    width = next(k for k in (1, 2, 4, 8) if top < 1 << 8 * k)
+    planes = np.ascontiguousarray(array.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + planes.size.to_bytes(8, "little") + _codec.compress(planes, asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    size = int.from_bytes(data[3:11], "little")
-    raw = _codec.decompress(data[11:], decompressed_size=size, asbytes=True) if size else b""
-    return np.frombuffer(raw, data[:3].decode().strip())
+    width, size = data[0], int.from_bytes(data[1:9], "little")
+    raw = _codec.decompress(data[9:], decompressed_size=size, asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
 def squeezed(data: bytes) -> bytes:

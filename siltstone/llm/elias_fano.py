@@ -130,7 +130,8 @@ class Trie:
     def log10(self, context: np.ndarray, word: np.ndarray, unigram: np.ndarray) -> np.ndarray:
         """Log probability of every ``word`` after its ``context``; ``unigram`` is its own one, for backing off.
 
-        Each search halves the successors of its context until one is left.
+        A context's place gives its range of successors and what their values
+        are relative to; the successor is then searched in the one sequence.
         """
         if not len(self.contexts):
             return unigram.astype(np.float64)
@@ -138,24 +139,13 @@ class Trie:
         at = np.minimum(np.searchsorted(known, context), len(known) - 1)
         seen = known[at] == context
         at = np.where(seen, at, 0)
-        pointers = self.pointers.decode()
-        low, high = pointers[at], pointers[at + 1]
-        wanted = self.bases[at] + word.astype(np.int64)
+        pointers, bases = self.pointers.decode(), self.bases.decode()
+        wanted = bases[at] + word
         successors = self.successors.decode()
-        if not len(successors):
-            successors = np.full(1, -1)
-        end = high.copy()
-        while True:
-            open_ = low < high
-            if not open_.any():
-                break
-            middle = (low + high) // 2
-            less = open_ & (successors[np.minimum(middle, len(successors) - 1)] < wanted)
-            low = np.where(less, middle + 1, low)
-            high = np.where(open_ & ~less, middle, high)
-        place = np.clip(low, 0, len(successors) - 1)
-        found = seen & (low < end)
-        found &= successors[place] == wanted
+        place = np.minimum(np.searchsorted(successors, wanted), max(0, len(successors) - 1))
+        found = seen & (place >= pointers[at]) & (place < pointers[at + 1])
+        if len(successors):
+            found &= successors[place] == wanted
         backed = np.where(seen, restored(self.backoff[at]), 0.0) + unigram
         if not len(self.successors):
             return backed

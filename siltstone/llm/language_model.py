@@ -42,13 +42,15 @@ SHARD_TOKENS = 3_000_000
 WEIGHTS = (3.0, 10.0, 30.0, 100.0, 300.0, 1e3, 3e3, 1e4, 1e5, 1e6)
 END = mix(np.array([0x2545F4914F6CDD1D], dtype=np.uint64))[0]
 
-BATCH = "batch string, n_docs int, doc_ids binary, held binary, lengths binary, tokens binary, words binary, counts binary"
+BATCH = "batch string, n_docs int, doc_ids binary, held binary, lengths binary, tokens binary, places binary, end int, words binary, counts binary"
 
 
 def encoded(docs: DataFrame) -> DataFrame:
-    """Batches of documents as numbers into their own sorted list of word hashes, training counts beside it.
+    """Batches of documents as numbers of their own words, training counts beside them.
 
-    ``lengths`` are tokens per document, the end included; ``doc_ids`` are the ids, null kept apart.
+    Words are numbered by falling frequency, so that numbers pack well; ``places``
+    has the place of each in ``words``, the sorted hashes, and ``end`` is the
+    number of the end.  ``lengths`` are tokens per document, the end included.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,11 +65,15 @@ def encoded(docs: DataFrame) -> DataFrame:
                 held = np.asarray(batch.column(2).slice(low, high - low).to_numpy(zero_copy_only=False), dtype=bool)
                 training = np.repeat(~held, lengths)
                 counts = np.bincount(tokens[training], minlength=len(words))
+                places = np.argsort(-np.bincount(tokens), kind="stable")
+                number = np.empty(len(words), np.int64)
+                number[places] = np.arange(len(words))
+                end = int(number[np.searchsorted(words, END)])
                 ids = batch.column(0).slice(low, high - low)
-                row = [uuid.uuid4().hex, high - low, packed_ids(ids), packed(held), packed(lengths), packed(tokens), words.tobytes(), packed(counts)]
+                row = [uuid.uuid4().hex, high - low, packed_ids(ids), packed(held), packed(lengths), packed(number[tokens]), packed(places), end, words.tobytes(), packed(counts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], k) for v, k in zip(row, (pa.string(), pa.int32(), *[pa.binary()] * 6))],
-                    ["batch", "n_docs", "doc_ids", "held", "lengths", "tokens", "words", "counts"],
+                    [pa.array([v], k) for v, k in zip(row, (pa.string(), pa.int32(), *[pa.binary()] * 5, pa.int32(), pa.binary(), pa.binary()))],
+                    [c.split()[0] for c in BATCH.split(", ")],
                 )
 
     arrow_batches(docs.sparkSession)
@@ -75,6 +81,11 @@ def encoded(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", held.alias("held")).mapInArrow(run, BATCH)
 
 
+def range_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of a hash by ranges: sorted hashes have sorted shards."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) % shards
 
@@ -86,7 +97,7 @@ def word_rows(batches: DataFrame, shards: int) -> DataFrame:
         for part in parts:
             for r in part.itertuples():
                 words, counts = np.frombuffer(r.words, np.uint64), unpacked(r.counts)
-                own = shard_of(words, shards)
+                own = range_of(words, shards)
                 rows = [
                     (r.batch, s, words[m].tobytes(), packed(counts[m]))
                     for s, m in by_shard(own)
@@ -117,68 +128,78 @@ def count_words(part: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-PAIRS = "batch string, shard int, contexts binary, words binary, totals binary, codes binary, trained binary, docs binary, n_docs int"
-KNOWN = PAIRS.replace("batch string", "kind string, batch string") + ", doc_ids binary, held binary, lengths binary, known binary, base binary"
+PAIRS = (
+    "batch string, shard int, n_docs int, contexts binary, words binary, totals binary, codes binary, trained binary, "
+    "times binary, docs binary"
+)
+#: Unigram log probabilities travel as bytes, in steps of 1 / 25.
+STEPS = 25
 
 
 def unigrams(counts: np.ndarray, n_tokens: int, n_words: int) -> np.ndarray:
     return np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
 
 
-def pair_rows(asked: DataFrame, answered: DataFrame, shards: int, word_shards: int, n_tokens: int, n_words: int) -> DataFrame:
-    """With every word's number and count: per batch one row of sums per document and a row of word pairs per shard of contexts.
+def looked_up(batch: pd.Series, answers: pd.DataFrame, word_shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Training count and number of every word of a batch, by the batch's own numbering.
 
-    A context is a word's number with its shard's, 0 for the beginning and for
-    unknown words alike being kept apart as 1 and 0; pairs are sorted and distinct.
+    Numbers of all words are distinct; 0 is an unknown word.
     """
+    answers = answers.sort_values("shard")
+    counts = np.concatenate([unpacked(c) for c in answers["counts"]]).astype(np.int64)
+    number = np.concatenate([
+        np.where((local := unpacked(n).astype(np.int64)) > 0, local * word_shards + shard, 0)
+        for n, shard in zip(answers["numbers"], answers["shard"])
+    ])
+    places = unpacked(batch["places"]).astype(np.int64)
+    return counts[places], number[places]
 
-    def run(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        r = batch.iloc[0]
-        words, tokens = np.frombuffer(r["words"], np.uint64), unpacked(r["tokens"]).astype(np.int64)
-        own = shard_of(words, word_shards)
-        counts, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        places = dict(by_shard(own))
-        for a in answers.itertuples():
-            mine = places[a.shard]
-            counts[mine] = unpacked(a.counts)
-            local = unpacked(a.numbers).astype(np.int64)
-            number[mine] = np.where(local > 0, local * word_shards + a.shard, 0)
-        lengths, held = unpacked(r["lengths"]).astype(np.int64), unpacked(r["held"]).astype(bool)
-        doc = np.repeat(np.arange(len(lengths)), lengths)
-        log10 = unigrams(counts, n_tokens, n_words)
-        base = np.bincount(doc, log10[tokens], len(lengths))
-        known = np.bincount(doc, counts[tokens] > 0, len(lengths)).astype(np.int64)
-        rows = [("sums", r["batch"], -1, None, None, None, None, None, None, len(lengths), r["doc_ids"], r["held"], r["lengths"], packed(known), base.tobytes())]
-        begins = np.cumsum(lengths) - lengths
-        ends = int(counts[np.searchsorted(words, END)]) if len(words) else 0  # training documents
-        context, total = np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
-        total[1:] = counts[tokens[:-1]]
-        total[begins] = ends
-        context[1:] = number[tokens[:-1]]
-        context[begins] = 1  # numbers of words start at ``word_shards``, which is 2 or more
-        word = number[tokens]
-        width = np.int64(max(1, int(number.max(initial=0)).bit_length()))
-        key, where = np.unique((context << width) | word, return_inverse=True)
-        trained = np.bincount(where, ~held[doc], len(key)).astype(np.int64)
-        codes, totals = np.zeros(len(key)), np.zeros(len(key), np.int64)
-        codes[where], totals[where] = log10[tokens], total
-        order = np.argsort(where, kind="stable")
-        at = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(key)))])
-        times = np.diff(at)
-        # A context with more than its share of the tokens is dealt out by the word as well.
-        salts = np.maximum(1, totals * (4 * shards) // max(1, n_tokens))
-        salted = (key >> width) * 4 * shards + mix((key & ((1 << width) - 1)).astype(np.uint64)).astype(np.int64) % salts
-        place, docs_in_order = shard_of(mix(salted.astype(np.uint64)), shards), doc[order]
-        tokens_of = dict(by_shard(np.repeat(place, times)))
-        for s, m in by_shard(place):
-            rows.append((
-                "pairs", r["batch"], s, packed(np.diff(key[m] >> width, prepend=0)), packed(key[m] & ((1 << width) - 1)),
-                packed(totals[m]), packed(np.rint(codes[m] * -1000).astype(np.int64)), packed(trained[m]),
-                packed(docs_in_order[tokens_of[s]]), len(lengths), None, None, None, packed(times[m]), None,
-            ))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in KNOWN.split(", ")])
-
-    return asked.groupBy("batch").cogroup(answered.groupBy("batch")).applyInPandas(run, KNOWN)
+
+def base_sums(batch: pd.Series, counts: np.ndarray, n_tokens: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Base score and known tokens of every document of a batch."""
+    lengths, tokens = unpacked(batch["lengths"]).astype(np.int64), unpacked(batch["tokens"])
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    log10 = unigrams(counts, n_tokens, n_words)
+    return np.bincount(doc, log10[tokens], len(lengths)), np.bincount(doc, counts[tokens] > 0, len(lengths)).astype(np.int64)
+
+
+def pair_rows(batch: pd.DataFrame, answers: pd.DataFrame, shards: int, word_shards: int, n_tokens: int, n_words: int) -> pd.DataFrame:
+    """A batch's distinct word pairs with the documents they occur in, one row per shard of contexts.
+
+    A context is the number of the word before, 0 for an unknown one and 1 for
+    the beginning (numbers of words start at ``word_shards``, 2 or more).
+    """
+    r = batch.iloc[0]
+    counts, number = looked_up(r, answers, word_shards)
+    lengths, held = unpacked(r["lengths"]).astype(np.int64), unpacked(r["held"]).astype(bool)
+    tokens = unpacked(r["tokens"]).astype(np.int64)
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    begins = np.cumsum(lengths) - lengths
+    context, total = np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
+    context[1:], total[1:] = number[tokens[:-1]], counts[tokens[:-1]]
+    context[begins], total[begins] = 1, counts[r["end"]]  # as many beginnings as ends
+    width = np.int64(max(1, int(number.max(initial=0)).bit_length()))
+    pair = (context << width) | number[tokens]
+    order = np.argsort(pair, kind="stable")
+    first = np.flatnonzero(np.diff(pair[order], prepend=-1))
+    key, some = pair[order[first]], order[first]
+    times = np.diff(np.append(first, len(order)))
+    trained = np.add.reduceat(~held[doc[order]], first, dtype=np.int64)
+    codes = np.minimum(np.rint(unigrams(counts, n_tokens, n_words) * -STEPS), 255).astype(np.int64)[tokens[some]]
+    totals = total[some]
+    # A context with more than its share of the tokens is dealt out by the word as well.
+    salts = np.maximum(1, totals * (4 * shards) // max(1, n_tokens))
+    salted = (key >> width) * 4 * shards + mix((key & ((1 << width) - 1)).astype(np.uint64)).astype(np.int64) % salts
+    place, docs_in_order = shard_of(mix(salted.astype(np.uint64)), shards), doc[order]
+    tokens_of = dict(by_shard(np.repeat(place, times)))
+    rows = [
+        (
+            r["batch"], s, len(lengths), packed(np.diff(key[m] >> width, prepend=0)), packed(key[m] & ((1 << width) - 1)), packed(totals[m]),
+            packed(codes[m]), packed(trained[m]), packed(times[m]), packed(docs_in_order[tokens_of[s]]),
+        )
+        for s, m in by_shard(place)
+    ]
+    return pd.DataFrame(rows, columns=[f.split()[0] for f in PAIRS.split(", ")])
 
 
 def best_weights(count: np.ndarray, total: np.ndarray, unigram: np.ndarray, sizes: int) -> np.ndarray:
@@ -213,27 +234,33 @@ def trie_of(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.
 
 def score_shard(part: pd.DataFrame) -> pd.DataFrame:
     """Build the trie of one shard of contexts, and sum its log probabilities per batch and document."""
-    contexts = [np.cumsum(unpacked(c).astype(np.int64)) for c in part["contexts"]]
-    words = [unpacked(w).astype(np.int64) for w in part["words"]]
-    codes = [unpacked(c) / -1000.0 for c in part["codes"]]
-    context, word = np.concatenate(contexts), np.concatenate(words)
-    order = np.lexsort((word, context))
-    context, word = context[order], word[order]
-    count = np.concatenate([unpacked(t) for t in part["trained"]]).astype(np.int64)[order]
-    total = np.concatenate([unpacked(t) for t in part["totals"]]).astype(np.int64)[order]
-    log10 = np.concatenate(codes)[order]
-    new = np.ones(len(context), dtype=bool)
-    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
+    def all_of(column: str) -> np.ndarray:
+        return np.concatenate([unpacked(c) for c in part[column]]).astype(np.int64)
+
+    sizes = [len(c) for c in map(unpacked, part["codes"])]
+    context = np.concatenate([np.cumsum(unpacked(c).astype(np.int64)) for c in part["contexts"]])
+    word = all_of("words")
+    width = np.int64(max(1, int(word.max(initial=0)).bit_length()))
+    pair = (context << width) | word
+    order = np.argsort(pair, kind="stable")
+    new = np.diff(pair[order], prepend=-1) != 0
     first = np.flatnonzero(new)
-    trie = Trie(trie_of(context[first], word[first], np.add.reduceat(count, first), total[first], log10[first]))
-    rows = []
-    for r, c, w, u in zip(part.itertuples(), contexts, words, codes):
-        found = trie.log10(c, w, u)
-        sums = np.bincount(unpacked(r.docs), np.repeat(found, unpacked(r.known).astype(np.int64)), r.n_docs)
-        rows.append((r.batch, sums.tobytes()))
+    some = order[first]
+    count = np.add.reduceat(all_of("trained")[order], first)
+    log10 = all_of("codes")[some] / -STEPS
+    context, word, total = context[some], word[some], all_of("totals")[some]
+    trie = Trie(trie_of(context, word, count, total, log10))
+    found = np.empty(len(order))
+    found[order] = trie.log10(context, word, log10)[np.cumsum(new) - 1]
+    rows, at = [], 0
+    for r, n in zip(part.itertuples(), sizes):
+        each = np.repeat(found[at : at + n], unpacked(r.times).astype(np.int64))
+        rows.append((r.batch, np.bincount(unpacked(r.docs), each, r.n_docs).tobytes()))
+        at += n
     return pd.DataFrame(rows, columns=["batch", "sums"])
 
 
+BASE = "batch string, doc_ids binary, held binary, lengths binary, known binary, base binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -250,20 +277,28 @@ def scored(docs: DataFrame) -> DataFrame:
     answered = store(counted, "word-counts")
     totals = answered.groupBy("shard").agg(F.max("n_words").alias("w"), F.max("n_tokens").alias("t")).agg(F.sum("t"), F.sum("w")).first()
     n_tokens, n_words = int(totals[0] or 0), int(totals[1] or 0)
-    found = store(pair_rows(batches, answered, shards, word_shards, n_tokens, n_words), "word-pairs")
-    pairs = found.where("kind = 'pairs'").groupBy("shard").applyInPandas(score_shard, "batch string, sums binary")
-    sums = found.where("kind = 'sums'")
+    asking = batches.drop("words", "counts").groupBy("batch")
+    pairs = asking.cogroup(answered.groupBy("batch")).applyInPandas(
+        lambda b, a: pair_rows(b, a, shards, word_shards, n_tokens, n_words), PAIRS
+    )
+    parts = pairs.groupBy("shard").applyInPandas(score_shard, "batch string, sums binary")
+
+    def base(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        r = batch.iloc[0]
+        sums, known = base_sums(r, looked_up(r, answers, word_shards)[0], n_tokens, n_words)
+        return pd.DataFrame([(*r[["batch", "doc_ids", "held", "lengths"]], packed(known), sums.tobytes())], columns=[c.split()[0] for c in BASE.split(", ")])
 
-    def finish(batch: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+    def finish(batch: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
         r = batch.iloc[0]
-        ids = unpacked_ids(r["doc_ids"])
-        total = np.zeros(r["n_docs"])
-        for data in sorted(parts["sums"]):  # a fixed order of summing
+        lengths = unpacked(r["lengths"]).astype(np.int64)
+        total = np.zeros(len(lengths))
+        for data in sorted(sums["sums"]):  # a fixed order of summing
             total += np.frombuffer(data)
         return pd.DataFrame({
-            "doc_id": ids, "held_out": unpacked(r["held"]).astype(bool), "n_tokens": unpacked(r["lengths"]).astype(np.int64),
+            "doc_id": unpacked_ids(r["doc_ids"]), "held_out": unpacked(r["held"]).astype(bool), "n_tokens": lengths,
             "n_known": unpacked(r["known"]).astype(np.int64), "train_tokens": np.int64(n_tokens),
             "base_score": np.frombuffer(r["base"]), "score": total,
         })
 
-    return sums.groupBy("batch").cogroup(pairs.groupBy("batch")).applyInPandas(finish, SCORES)
+    bases = asking.cogroup(answered.groupBy("batch")).applyInPandas(base, BASE)
+    return bases.groupBy("batch").cogroup(parts.groupBy("batch")).applyInPandas(finish, SCORES)
