@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from siltstone.llm.common import arrow_batches
 from siltstone.llm.words import column_bytes
 
 BUCKETS = 4096
-SAMPLE_ROWS = 600
+SAMPLE_ROWS = 500
 FIT_ROWS = 4000
 SLICE = 400_000
 UNKNOWN = "und"
@@ -107,25 +108,33 @@ def projected(flat: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> np.
 
 
 def fit_machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """A linear machine (squared hinge loss, classes weighted alike) by conjugate gradients on its active rows."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
+    """A linear machine (squared hinge loss, classes weighted alike) by Newton steps over its active rows.
+
+    Each step is solved by conjugate gradients; ``x`` stays in single precision
+    and is not copied.  The last weight belongs to a constant feature.
+    """
+    def forward(w: np.ndarray) -> np.ndarray:
+        return (x @ w[:-1].astype(np.float32)).astype(np.float64) + w[-1]
+
+    def backward(v: np.ndarray) -> np.ndarray:
+        return np.append((v.astype(np.float32) @ x).astype(np.float64), v.sum())
+
     balance = cost * np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * len(y) / 2
-    w = np.zeros(x.shape[1])
-    for _ in range(12):  # Newton steps
-        active = y * (x @ w) < 1
-        xa, ba = x[active], balance[active]
-        gradient = w + xa.T @ (ba * (xa @ w - y[active]))
-        step, residual = np.zeros_like(w), -gradient
-        direction, size = residual.copy(), residual @ residual
-        if size < 1e-10:
+    w = np.zeros(x.shape[1] + 1)
+    for _ in range(12):
+        margin = forward(w)
+        weight = np.where(y * margin < 1, balance, 0.0)
+        residual = -(w + backward(weight * (margin - y)))
+        step, direction, size = np.zeros_like(w), residual.copy(), residual @ residual
+        if size < 1e-8:
             break
         for _ in range(rounds):
-            curved = direction + xa.T @ (ba * (xa @ direction))
+            curved = direction + backward(weight * forward(direction))
             alpha = size / (direction @ curved)
             step += alpha * direction
             residual -= alpha * curved
             new = residual @ residual
-            if new < 1e-8:
+            if new < 1e-7:
                 break
             direction, size = residual + new / size * direction, new
         w = w + step
@@ -137,7 +146,6 @@ class Model:
     """Languages, families and the machines; column ``k`` of ``weights`` decides pair ``k`` of ``pairs``."""
 
     languages: list[str]
-    scale: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
     pairs: list[tuple[str, str]]
@@ -174,20 +182,21 @@ class Model:
 
 
 def fit(x: np.ndarray, labels: list[str]) -> Model:
-    """All machines of both levels from profiles and their labels."""
+    """All machines of both levels from single-precision profiles (changed in place) and their labels."""
     languages = sorted(set(labels))
     label = np.array(labels, dtype=object)
-    scale = 1 / (np.sqrt(np.mean(x * x, axis=0)) + 1e-4)  # rare n-grams count as much as frequent ones
+    # Rare n-grams count as much as frequent ones.
+    scale = (1 / (np.sqrt(np.einsum("ij,ij->j", x, x) / max(1, len(x))) + 1e-4) / np.sqrt(BUCKETS)).astype(np.float32)
+    x *= scale
     families = {f: [c for c in languages if family(c) == f] for f in sorted({family(c) for c in languages})}
     tasks = [(f"family {a}", f"family {b}", families[a], families[b]) for a, b in combinations(families, 2)]
     tasks += [(a, b, [a], [b]) for codes in families.values() for a, b in combinations(codes, 2)]
-    weights, bias = np.zeros((BUCKETS, max(1, len(tasks)))), np.zeros(max(1, len(tasks)))
-    scaled = x * scale / np.sqrt(BUCKETS)
+    weights, bias = np.zeros((BUCKETS, max(1, len(tasks))), dtype=np.float32), np.zeros(max(1, len(tasks)))
     for k, (_, _, one, two) in enumerate(tasks):
         rows = np.flatnonzero(np.isin(label, one + two))
-        w, bias[k] = fit_machine(scaled[rows], np.where(np.isin(label[rows], one), 1.0, -1.0))
-        weights[:, k] = w * scale / np.sqrt(BUCKETS)
-    return Model(languages, scale, weights.astype(np.float32), bias, [(a, b) for a, b, _, _ in tasks])
+        w, bias[k] = fit_machine(x[rows], np.where(np.isin(label[rows], one), 1.0, -1.0))
+        weights[:, k] = w * scale
+    return Model(languages, weights, bias, [(a, b) for a, b, _, _ in tasks])
 
 
 def has_letter(text: Column) -> Column:
@@ -206,7 +215,7 @@ def sampled(labelled: DataFrame, rows: int = SAMPLE_ROWS, most: int = FIT_ROWS)
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, most: int = FIT_ROWS) -> Model | None:
-    """Fit on a sample of ``labelled`` (``doc_id``, ``text``, ``lang``): profiles are made in tasks, machines in the driver."""
+    """Fit on a sample of ``labelled`` (``doc_id``, ``text``, ``lang``); only the machines reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,13 +224,25 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, most: int = FIT_ROWS) ->
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1)], ["profile", "lang"])
 
     arrow_batches(labelled.sparkSession)
+    def machines(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["lang", "profile"])
+        x = np.frombuffer(b"".join(part["profile"]), "<f4").reshape(len(part), BUCKETS).copy()
+        model = fit(x, part["lang"].tolist())
+        rows = [(code, None, 0.0, None) for code in model.languages]
+        rows += [(a, b, model.bias[k], model.weights[:, k].tobytes()) for k, (a, b) in enumerate(model.pairs)]
+        return pd.DataFrame(rows, columns=["a", "b", "bias", "weights"])
+
     usable = labelled.where(F.col("lang").isNotNull()).where(has_letter(F.col("text")))
     sample = sampled(usable, rows, most).select(F.lower("text").alias("text"), "lang")
-    found = sample.mapInArrow(run, "profile binary, lang string").orderBy("lang", "profile").collect()
+    profiled = sample.mapInArrow(run, "profile binary, lang string")
+    # The sample is bounded, so one task fits all machines.
+    found = profiled.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(machines, "a string, b string, bias double, weights binary").collect()
+    pairs = [r for r in found if r.b is not None]
     if not found:
         return None
-    x = np.vstack([np.frombuffer(r.profile, "<f4") for r in found])
-    return fit(x, [r.lang for r in found])
+    weights = np.stack([np.frombuffer(r.weights, np.float32) for r in pairs], axis=1) if pairs else np.zeros((BUCKETS, 1), np.float32)
+    bias = np.array([r.bias for r in pairs]) if pairs else np.zeros(1)
+    return Model([r.a for r in found if r.b is None], weights, bias, [(r.a, r.b) for r in pairs])
 
 
 def predicted(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
