@@ -122,7 +122,7 @@ def count_words(part: pd.DataFrame) -> pd.DataFrame:
     at = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     cuts = [where[at[i] : at[i + 1]] for i in range(len(lists))]
     return pd.DataFrame({
-        "batch": part["batch"], "shard": part["shard"],
+        "batch": part["batch"].tolist(), "shard": part["shard"].to_numpy(),
         "numbers": [packed(number[c]) for c in cuts], "counts": [packed(total[c]) for c in cuts],
         "n_words": np.int64((total > 0).sum()), "n_tokens": total.sum(),
     })

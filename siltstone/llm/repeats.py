@@ -190,7 +190,7 @@ def judge(part: pd.DataFrame, most: int) -> pd.DataFrame:
     leader = order[begins]  # one of equal surroundings sends for all
     code[leader] |= wanted
     cuts = np.cumsum([len(a) for a in anchors])[:-1]
-    return pd.DataFrame({"batch": part["batch"], "shard": part["shard"], "codes": [packed(c) for c in np.split(code, cuts)]})
+    return pd.DataFrame({"batch": part["batch"].tolist(), "shard": part["shard"].to_numpy(), "codes": [packed(c) for c in np.split(code, cuts)]})
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -297,7 +297,8 @@ def first_pass(batch: pd.DataFrame, answers: pd.DataFrame, shards: int, texts: b
             "known": packed(run_starts(first[known] - moved[doc[known]], count[known])),
             "first": packed(to[runs]), "counts": packed(count[runs]), "hashed": packed(np.concatenate(hashed) if hashed else runs[:0]),
         })
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in SECOND.split(", ")])
+    names = [c.split()[0] for c in SECOND.split(", ")]
+    return pd.DataFrame({c: pd.Series([row.get(c) for row in rows], dtype=object) for c in names})
 
 
 def refined(block: np.ndarray, column, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -342,7 +343,7 @@ REPLY = "batch string, kind string, shard int, n long, bits binary"
 def replies(part: pd.DataFrame, cuts: np.ndarray, flags: np.ndarray, kind: str) -> pd.DataFrame:
     own = np.split(flags, cuts)
     return pd.DataFrame({
-        "batch": part["batch"], "kind": kind, "shard": part["shard"],
+        "batch": part["batch"].tolist(), "kind": [kind] * len(part), "shard": part["shard"].to_numpy(),
         "n": [len(f) for f in own], "bits": [np.packbits(f).tobytes() for f in own],
     })
 
@@ -405,7 +406,8 @@ def finish(batch: pd.DataFrame, answers: pd.DataFrame, texts: bool) -> pd.DataFr
     repeated = np.concatenate([unpacked(r["known"]).astype(np.int64), starts, hashed])
     found = cut_out(loosened(r["text"]), offsets, repeated, texts)
     ids = unpacked_ids(r["doc_ids"])
-    return pd.DataFrame([(i, *row) for i, row in zip(ids, found)], columns=RESULT_NAMES)
+    rows = list(zip(*[(i, *row) for i, row in zip(ids, found)]))
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in zip(RESULT_NAMES, rows)})
 
 
 def without_repeats(docs: DataFrame, texts: bool = False, surroundings: int = SURROUNDINGS) -> DataFrame:
@@ -425,7 +427,7 @@ def without_repeats(docs: DataFrame, texts: bool = False, surroundings: int = SU
     counted = second.where("kind = 'hashes'").groupBy("shard").applyInPandas(count_hashes, REPLY)
     waiting = second.where("kind = 'open'")
     last = waiting.groupBy("batch").cogroup(merged.unionByName(counted).groupBy("batch")).applyInPandas(
-        lambda b, a: finish(b, a, texts) if len(b) else pd.DataFrame(columns=RESULT_NAMES), RESULT
+        lambda b, a: finish(b, a, texts) if len(b) else pd.DataFrame({c: pd.Series(dtype=object) for c in RESULT_NAMES}), RESULT
     )
     done = second.where("kind = 'done'").select(*RESULT_NAMES).unionByName(last)
     return done if texts else done.drop("kept")

@@ -56,7 +56,7 @@ def plan_map(weights: list[int], shards: int) -> list[int]:
 def rebalance_map(owner: list[int], weights: list[int], shards: int) -> list[int]:
     """``owner`` edited for ``shards`` shards: slots leave overfull shards only, and only for the lightest one.
 
-    A slot moves if that lowers the higher of the two loads, so most stay where they are.
+    A slot moves only if its new shard stays within the fair share, so most stay where they are.
     """
     owner = list(owner)
     loads = [0] * shards
@@ -71,7 +71,7 @@ def rebalance_map(owner: list[int], weights: list[int], shards: int) -> list[int
         while held[donor] and loads[donor] > fair:
             slot = held[donor].pop()
             target = min(range(shards), key=lambda s: (loads[s], s))
-            if loads[target] + weights[slot] >= loads[donor]:
+            if loads[target] + weights[slot] > fair:
                 continue
             loads[donor] -= weights[slot]
             loads[target] += weights[slot]

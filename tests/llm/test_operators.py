@@ -1,0 +1,246 @@
+"""Every operator on small odd tables and against plain versions."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import mmap
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from siltstone.llm import (
+    archive, common, decontamination, elias_fano, language, language_model, near_dup, packing, pii, queries, repeats, sharding, vectors,
+)
+from tests.llm import brute
+
+SF_DIR = "/root/testdata/sf0.001"
+LONG = " ".join(f"word{i % 977}x{i}" for i in range(30_000))
+BASE = " ".join(f"alpha{i} beta{i}" for i in range(60))
+ODD = [
+    (1, None), (2, ""), (3, " \t\n "), (4, "One two"), (5, "one TWO"), (6, BASE), (7, BASE), (8, BASE + " tail"), (9, LONG),
+    (10, "a" * 450), (11, "é ü 12 !!"), (12, "123 456"), (13, BASE + " " + LONG[:3000]), (14, "mail bo@x.example.org or +1 (743) 555-3824 now"),
+]
+SCHEMA = "doc_id long, text string, lang string, id string, size string, rank string, n string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en" if i % 2 else "de", "x", "x", "x", "x") for i, t in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_near_duplicates_match_all_pairs(spark, documents):
+    for docs in (frame(spark, ODD), documents):
+        found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+        assert found == brute.near_duplicates(pairs(docs))
+    assert near_dup.near_duplicates(frame(spark, ODD).limit(0)).count() == 0
+    twice = near_dup.near_duplicates(frame(spark, [ODD[5], ODD[5]])).collect()
+    assert [r.component_id for r in twice] == [6, 6]
+
+
+def test_large_candidate_groups_meet_in_every_pair_of_chunks(spark):
+    members = spark.range(40).select("id", F.lit(0).cast("long").alias("component"))
+    blocks = near_dup.blocked(members, block=10).groupBy("block").agg(F.collect_list("id").alias("ids")).collect()
+    met = {(a, b) for r in blocks for a in r.ids for b in r.ids}
+    assert len(met) == 1600
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(1)
+    shared, a, b = (rng.integers(0, 2**63, 400).astype(np.uint64) for _ in range(3))
+    one, two = (near_dup.signatures([np.unique(np.concatenate([shared, x]))], 190)[0] for x in (a, b))
+    assert abs((one == two).mean() - 1 / 3) < 0.12
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 5), (7, 7)], "a long, b long")
+    assert {(r.id, r.component) for r in common.connected_components(edges).collect()} == {(3, 3), (4, 3), (5, 3), (8, 8), (9, 8)}
+
+
+def test_repeats_match_a_dictionary_of_windows(spark, documents):
+    docs = frame(spark, [(i, t if t is not LONG else LONG[:9000]) for i, t in ODD] + [(20, "x" + BASE[:700] + "y"), (21, "a" * 450)])
+    want = brute.without_repeats(pairs(docs))
+    for surroundings in (4096, 1):
+        found = repeats.without_repeats(docs, texts=True, surroundings=surroundings).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == want
+        assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
+    assert repeats.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_packing_keeps_every_id(spark, documents):
+    encode = packing.encoder(packing.TOKENIZER).tokenizer.encode
+    docs = frame(spark, [(i, t) for i, t in ODD] + [(30, " two  spaces \n and <|endoftext|> x"), (31, " lead")])
+    for given in (docs, documents):
+        rows = packing.pack(packing.pieces(given)).collect()
+        used, least = brute.check_packing(rows, pairs(given), lambda t: encode(t, add_special_tokens=False).ids)
+        assert used <= least + 2
+    assert packing.pack(packing.pieces(docs.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[6, 6, 4, 4], [7, 5, 5, 3], [6, 5, 4, 3, 2], [10, 9, 1, 5, 5, 4, 3, 3]])
+def test_small_packings_are_optimal(sizes):
+    counts = [sizes.count(s) for s in range(11)]
+    plan = packing.plan_bins(counts, 10)
+    assert sorted(s for times, b in plan for _ in range(times) for s in b) == sorted(sizes)
+    assert packing.bins(plan) == packing.lower_bound(counts, 10)
+
+
+def test_shards_hold_their_law(spark, documents, tmp_path):
+    load = brute.check_shards(queries.QUERIES["op5_virtual_slots"](spark, SF_DIR).collect(), pairs(documents))
+    assert max(load.values()) - min(load.values()) < 0.02 * sum(load.values())
+    assert sharding.shard_by_bytes(frame(spark, ODD).limit(0), str(tmp_path / "none")).count() == 0
+    assert sharding.shard_by_bytes(frame(spark, [ODD[0], ODD[0], ODD[3]]), str(tmp_path / "odd")).count() == 3
+
+
+def test_a_rebalanced_map_moves_slots_to_the_new_shard(spark, tmp_path):
+    weights = [100 + s % 7 for s in range(200)]
+    before = sharding.plan_map(weights, 4)
+    after = sharding.rebalance_map(before, weights, 5)
+    assert {a for b, a in zip(before, after) if a != b} == {4}
+    for version, owner in ((1, before), (2, after)):
+        sharding.save_map(spark, owner, str(tmp_path / "map"), version)
+    assert sorted(map(tuple, sharding.load_map(spark, str(tmp_path / "map"), 2).collect())) == list(enumerate(after))
+
+
+def test_archive_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame(
+        [(1, "u", "<p>é</p>"), (2, None, None), (3, "v\nw", ""), (9, "u", "<p>é</p>"), (9, "u", "<p>é</p>"), (None, "n", "z")],
+        "page_id long, url string, html string",
+    ).withColumn("header", F.lit("clash"))
+    archive.write_archive(pages, str(tmp_path / "a"))
+    records = archive.read_archive(spark, str(tmp_path / "a"))
+    got = {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in archive.parsed(records).collect()}
+
+    def digest(t):
+        return base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+
+    assert got == {
+        (1, 9, digest("<p>é</p>"), "revisit", 9), (9, 9, digest("<p>é</p>"), "response", None), (2, 0, digest(""), "revisit", 3),
+        (3, 0, digest(""), "response", None), (None, 1, digest("z"), "response", None),
+    }
+    whole = [bytes(r.record) for r in archive.record_bytes(records).collect()]
+    assert any(b"WARC-Type: response\r\n" in w and w.endswith("\r\n\r\n<p>é</p>\r\n\r\n".encode()) for w in whole)
+    assert spark.read.parquet(str(tmp_path / "a/payloads")).count() == 3
+
+
+def test_containment(spark):
+    item = " ".join(f"test{i}" for i in range(30))
+    items = spark.createDataFrame([(1, item), (2, "Two Words"), (3, None), (4, "")], "item_id long, text string")
+    near = item.replace("test3 ", "other ").upper()
+    docs = frame(spark, [(1, LONG + " " + item + " " + LONG), (2, near), (3, item[:120]), (4, "two, words!"), (5, None), (6, "two words more"), (7, item), (7, item)])
+    found = {(r.doc_id, r.item_id): r.n_shared for r in decontamination.contained_items(docs, items).collect()}
+    assert found == {(1, 1): 26, (2, 1): 22, (4, 2): 1, (7, 1): 26}
+    assert {r.doc_id for r in decontamination.clean_documents(docs, items).collect()} == {3, 5, 6}
+    assert decontamination.contained_items(docs, items.limit(0)).count() == 0
+
+
+def test_language(spark, documents):
+    found = queries.QUERIES["op1_family_machines"](spark, SF_DIR).join(documents.select("doc_id", "lang"), "doc_id").where("held_out")
+    right = found.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right > 0.95
+    odd = {r.doc_id: r for r in language.identify(frame(spark, ODD)).collect()}
+    assert len(odd) == len(ODD) and {odd[i].lang_pred for i in (1, 2, 3, 12)} == {"und"}
+    assert all(0 <= r.score <= 1 for r in odd.values())
+    none = language.identify(frame(spark, ODD).withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in none} == {"und"}
+    assert language.family("pt-BR") == "romance" and language.family("xx") == "xx"
+
+
+def test_scores(spark, documents):
+    for docs in (documents, frame(spark, ODD)):
+        want = brute.base_scores(pairs(docs))
+        found = language_model.scored(docs).collect()
+        assert len(found) == len(want)
+        for r in found:
+            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:4]
+            assert r.base_score == pytest.approx(want[r.doc_id][4]) and r.score < 0
+    assert language_model.scored(docs.limit(0)).count() == 0
+
+
+def test_trie_from_a_memory_map(tmp_path):
+    values = np.array([0, 0, 3, 900, 901, 5_000_000])
+    sequence = elias_fano.Sequence(elias_fano.encode(values))
+    assert (sequence[np.arange(6)] == values).all() and (sequence.decode() == values).all()
+    context, word = np.array([1, 1, 7, 9]), np.array([2, 5, 2, 0])
+    data = elias_fano.Trie.build(context, word, np.array([-1.0, -2, -3, -4]), np.array([1, 7, 8, 9]), np.array([-0.5, -0.25, -0.125, 0]))
+    (tmp_path / "trie").write_bytes(data)
+    with open(tmp_path / "trie", "rb") as f:
+        trie = elias_fano.Trie(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+        got = trie.log10(np.array([1, 1, 1, 7, 8, 9, 4]), np.array([2, 5, 3, 2, 2, 0, 2]), np.full(7, -6.0))
+    assert got == pytest.approx([-1, -2, -6.5, -3, -6.125, -4, -6], abs=1e-3)
+
+
+def test_surrogates(spark):
+    texts = [
+        (1, "Write to Ann.B@mail5.example.com or ann.b@mail5.example.com."), (2, "Call +1 (743) 555-3824 or 743-555-3824"),
+        (3, 'token = "dead10ccdead10ccdead10cc" at 10.20.30.40 card 4111 1111 1111 1111 not 4111111111111112'), (4, None), (5, "plain 12"),
+        (6, "Mrs. Anna Smith met Mr Smith; Г-жа Иванова"), (7, "IBAN DE89 3704 0044 0532 0130 00 ssn 123-45-6789"),
+    ]
+    rows = {r.doc_id: r for r in pii.redact(frame(spark, texts)).collect()}
+    assert rows[4].text is None and rows[5].text == "plain 12" and rows[5].n_entities == 0
+    first, second = rows[1].text.split(" or ")
+    assert first.removeprefix("Write to ").lower() == second.removesuffix(".") and "mail5" not in first
+    digits = ["".join(c for c in t if c.isdigit())[-10:] for t in rows[2].text.split(" or ")]
+    assert digits[0] == digits[1] != "7435553824" and rows[2].text.startswith("Call +1 (")
+    assert "4111111111111112" in rows[3].text and "4111 1111 1111 1111" not in rows[3].text and "10.20.30.40" not in rows[3].text
+    card = "".join(c for c in rows[3].text.split("card ")[1].split(" not")[0] if c.isdigit())
+    assert len(card) == 16 and pii.luhn(card)
+    names = rows[6].text.replace(";", "").split()
+    assert names[2] == names[5] and names[1].lower().endswith("ra") and pii.script_of(names[-1]) == "cyrillic"
+    assert pii.iban_rest(rows[7].text.split("IBAN ")[1].split(" ssn")[0].replace(" ", "")[4:] + rows[7].text.split("IBAN ")[1][:4]) == 1
+    assert pii.redact(frame(spark, texts).limit(0)).count() == 0
+    key = b"k"
+    assert len({pii.surrogate(key, "phone", f"{i:07d}") for i in range(2000)}) == 2000
+
+
+def test_surrogates_that_always_clash_are_refused(spark):
+    digits = spark.createDataFrame([("x", str(i)) for i in range(10)], "kind string, entity string")
+    with pytest.raises(ValueError, match="clash"):
+        pii.redrawn(digits, b"k")
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(300, 16))
+    rows = [(i, v.tolist(), int(i % 3)) for i, v in enumerate(base)]
+    rows += [(1000 + i, (v + 0.1 * rng.normal(size=16)).tolist(), int(i % 3)) for i, v in enumerate(base[:80])]
+    rows += [(2000, rows[0][1], 0), (2001, rows[0][1], 1), (2002, None, 0), (2003, [0.0] * 16, 0), (2004, [float("nan")] * 16, 0),
+             (2005, [1.0, None], 0), (2006, rows[0][1], None), (2007, [], 0), (2008, [1e300, 1e300], 0), (2009, [1e-300, 1e-300], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicate_vectors(df).collect()}
+    want = brute.near_vectors([r for r in rows if r[0] not in (2008, 2009)])
+    assert {i: found[i] for i in want} == want and found[2009][:2] == (1, 2008)
+    assert vectors.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_cells_find_the_links_of_large_labels(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(3000, 64))
+    near = base[:400] + 0.38 * rng.normal(size=(400, 64))  # cosine about 0.935
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.vstack([base, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in vectors.near_duplicate_vectors(df).collect()}
+    want = {i: n for i, (n, _, _) in brute.near_vectors(rows).items()}
+    assert all(found[i] <= want[i] for i in want) and sum(found.values()) >= 0.97 * sum(want.values())
+
+
+def test_pipeline(spark, documents):
+    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    docs, places = documents, {}
+    for r in rows:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in p) <= 1024 for p in places.values())
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, common.store(stage(spark, docs, SF_DIR), "stage")
+        assert docs.columns == documents.columns and docs.count() <= before.count()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
