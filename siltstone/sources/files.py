@@ -28,6 +28,8 @@ EVOLUTION_OPTION = "schemaEvolutionMode"
 HINTS_OPTION = "schemaHints"
 RESCUED_OPTION = "rescuedDataColumn"
 ADD_NEW_COLUMNS = "addNewColumns"
+# Without added columns the first files fix them; "rescue" keeps misfits where a rescued column is named.
+EVOLUTION_MODES = (None, "none", "rescue", ADD_NEW_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -55,10 +57,13 @@ def file_options(read_options: Mapping[str, str]) -> FileOptions:
     file_format = str(options.pop(FORMAT_OPTION, "csv")).lower()
     if file_format not in FORMATS:
         raise ValueError(f"unknown file format {file_format!r}; use one of {FORMATS}")
+    mode = options.pop(EVOLUTION_OPTION, None)
+    if mode not in EVOLUTION_MODES:
+        raise ValueError(f"unknown schema evolution mode {mode!r}; use one of {EVOLUTION_MODES}")
     return FileOptions(
         format=file_format,
         infer_types=str(options.pop(INFER_OPTION, "false")).lower() == "true",
-        add_columns=options.pop(EVOLUTION_OPTION, None) == ADD_NEW_COLUMNS,
+        add_columns=mode == ADD_NEW_COLUMNS,
         hints=options.pop(HINTS_OPTION, None) or None,
         rescued_column=options.pop(RESCUED_OPTION, None) or None,
         reader=options,

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from datetime import datetime
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +62,8 @@ def ingest_files(
         )
     else:
         query = _ingest_fixed(spark, source, target, options, tuple(as_strings), as_of)
+    if query is None:  # nothing has arrived yet
+        return
     query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
@@ -68,7 +71,12 @@ def _ingest_fixed(spark, source, target, options, as_strings, as_of):
     """Files that all have the same columns: one streaming scan into the parquet sink."""
     known = bronze_columns(spark, target)
     if known is None or options.format == "csv":  # one line tells the columns of a CSV
-        names = discovered_schema(spark, [source], options, infer_types=False)
+        try:
+            names = discovered_schema(spark, [source], options, infer_types=False)
+        except AnalysisException as error:
+            if known is None and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return None
+            raise
     else:
         names = _raw_columns(known, options)
     wanted = _wanted(spark, [[source]], options, names, as_strings, known)

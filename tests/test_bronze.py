@@ -276,3 +276,20 @@ def test_bronze_streams_with_its_columns(spark, lake):
     query = stream.writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.table("seen"), "a", "b") == [("1", None), ("2", "x")]
+
+
+def test_an_empty_source_is_no_error_whatever_the_mode(spark, tmp_path):
+    from siltstone.sources.files import file_options
+    from siltstone.streaming.bronze import ingest_files
+
+    (tmp_path / "raw").mkdir()
+    for mode in ("none", "addNewColumns"):
+        options = file_options({"format": "json", "schemaEvolutionMode": mode})
+        ingest_files(spark, str(tmp_path / "raw"), str(tmp_path / mode), str(tmp_path / f"{mode}-log"), options)
+
+
+def test_an_unknown_evolution_mode_is_refused():
+    from siltstone.sources.files import file_options
+
+    with pytest.raises(ValueError, match="evolution"):
+        file_options({"format": "csv", "schemaEvolutionMode": "addNewColumn"})
