@@ -23,7 +23,7 @@ from siltstone import table_spec
 from siltstone.operators.layout import write_clustered
 from siltstone.operators.silver import silver_transform
 from siltstone.plans.medallion import bronze_rows, ingest_table, run_table, table_flow
-from siltstone.session import scratch_dir
+from siltstone.session import scratch_dir, settings
 from siltstone.sources.jdbc import jdbc_options, scan_jdbc
 
 LOADED_AT = datetime(2024, 2, 1, 12, 30)
@@ -154,6 +154,30 @@ def rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(bronze, config, "supplier")
 
 
+def mode_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table, fixed columns, then added ones, then fixed again: no delivery hides another."""
+    root = scratch_dir(spark, "bronze_mode_switch")
+    supplier = read(spark, sf_dir, "supplier")
+    for part, mode in enumerate(({}, ADD_COLUMNS, {})):
+        config = _config("supplier", SUPPLIER_COLUMNS, ["s_suppkey"], CSV | mode)
+        _write_csv(supplier.filter(F.col("s_suppkey") % 3 == part), f"{root}/raw/raw_supplier")
+        bronze = _ingested(spark, config, "supplier", root)
+    return _typed(bronze, config, "supplier")
+
+
+def rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed columns: fields that only the second delivery has are kept beside its rows."""
+    root = scratch_dir(spark, "bronze_rescued_fields")
+    options = {"cloudFiles.format": "json", "rescuedDataColumn": "_rescued", "schemaHints": "s_suppkey BIGINT"}
+    config = _config("supplier", [], ["s_suppkey"], options)
+    supplier = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    even = F.col("s_suppkey") % 2 == 0
+    for delivery in (supplier.filter(even).drop("s_nationkey"), supplier.filter(~even)):
+        delivery.write.mode("append").json(f"{root}/raw/raw_supplier")
+        bronze = _ingested(spark, config, "supplier", root)
+    return bronze.select("s_suppkey", "s_name", "_rescued")
+
+
 # The database stand-in: a named in-memory database inside the one process of a
 # local session.  A cluster sets these to reach a database of its own.
 DATABASE_CONF = {"url": "siltstone.check.jdbc.url", "driver": "siltstone.check.jdbc.driver"}
@@ -193,6 +217,20 @@ def database_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lower(scan_jdbc(spark, jdbc_options(connection | tuning, user="app", password="app")))
 
 
+def database_by_conf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session names the database and how its reads are split; only credentials are given."""
+    connection = _supplier_table(spark, sf_dir)
+    last = read(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0]
+    conf = {"url": connection["url"], "driver": connection["driver"], "partitionColumn": '"s_suppkey"',
+            "lowerBound": "0", "upperBound": str(last), "numPartitions": "4"}
+    config = _config("supplier", SUPPLIER_COLUMNS, ["s_suppkey"], {})
+    config["tables"]["supplier"]["bronze"]["source_table"] = connection["table"]
+    flow = table_flow(spark, config, "supplier", scratch_dir(spark, "bronze_jdbc_conf"), "jdbc")
+    with settings(spark, {f"pipeline.jdbc_{key}": value for key, value in conf.items()}):
+        ingest_table(spark, flow, credentials=("app", "app"), as_of=LOADED_AT)
+    return _lower(bronze_rows(spark, flow)).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
 def switched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One spec, both kinds of source, two bronze tables."""
     root = scratch_dir(spark, "bronze_switch")
@@ -292,6 +330,9 @@ QUERIES = {
     "bronze_incremental_rerun": rerun,
     "bronze_jdbc": database,
     "bronze_jdbc_partitioned": database_in_parts,
+    "bronze_jdbc_conf": database_by_conf,
+    "bronze_mode_switch": mode_switch,
+    "bronze_rescued_fields": rescued_fields,
     "bronze_source_switch": switched,
     "clustered_write": clustered_write,
     "medallion_e2e": end_to_end,
@@ -324,6 +365,12 @@ ORACLE = {
     "bronze_incremental_rerun": _SUPPLIER_SQL,
     "bronze_jdbc": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'raw_supplier' AS source_file FROM supplier",
     "bronze_jdbc_partitioned": _SUPPLIER_SQL,
+    "bronze_jdbc_conf": _SUPPLIER_SQL,
+    "bronze_mode_switch": _SUPPLIER_SQL,
+    "bronze_rescued_fields": """
+        SELECT s_suppkey, s_name,
+               CASE WHEN s_suppkey % 2 <> 0 THEN '{"s_nationkey":"' || s_nationkey || '"}' END AS _rescued
+        FROM supplier""",
     "bronze_source_switch": """
         SELECT s_suppkey, s_name, s_nationkey, s_acctbal, t.bronze_table
         FROM supplier CROSS JOIN (VALUES ('bronze_s3_raw_supplier'), ('bronze_jdbc_raw_supplier')) AS t(bronze_table)""",

@@ -15,7 +15,7 @@ from siltstone.operators.silver import silver_staging
 from siltstone.operators.snapshot import KeyedSnapshot
 from siltstone.sources.audit import with_audit
 from siltstone.sources.files import file_options
-from siltstone.sources.jdbc import scan_jdbc
+from siltstone.sources.jdbc import declared_jdbc_options, scan_jdbc
 from siltstone.sources.scan import JDBC, source_path_of, source_type_of
 from siltstone.spec import TableSpec, table_spec
 from siltstone.streaming.bronze import ingest_files, overwrite_bronze, read_bronze, stream_bronze
@@ -69,17 +69,22 @@ def ingest_table(
     jdbc: Mapping[str, str] | None = None,
     as_of: datetime | None = None,
     max_files: int | None = None,
+    credentials: tuple[str, str] | None = None,
 ) -> None:
     """Bring bronze up to date from either kind of source.
 
     Files: only those not seen before are read and appended.  Database: the
-    table is read whole and replaces its bronze table.  Columns that the spec
-    lists stay text until silver types them.
+    table is read whole and replaces its bronze table; without reader options
+    in ``jdbc`` the spec or the session describes it, and ``credentials`` are
+    user and password.  Columns that the spec lists stay text until silver types
+    them.
     """
     spec = flow.spec
     if flow.source_type == JDBC:
+        if jdbc is None and credentials is not None:
+            jdbc = declared_jdbc_options(spark, spec, *credentials)
         if jdbc is None:
-            raise ValueError("a JDBC source needs its reader options (see sources.jdbc)")
+            raise ValueError("a JDBC source needs reader options, or credentials and a described database (see sources.jdbc)")
         rows = with_audit(scan_jdbc(spark, jdbc), spec.source_table, as_of)
         overwrite_bronze(rows, flow.bronze_path, spec.bronze_cluster_by)
     else:
@@ -136,11 +141,12 @@ def run_table(
     jdbc: Mapping[str, str] | None = None,
     as_of: datetime | None = None,
     max_files: int | None = None,
+    credentials: tuple[str, str] | None = None,
     **silver_options,
 ) -> DataFrame | None:
     """Bring bronze and silver of ``table`` up to date and return the silver rows."""
     flow = table_flow(spark, config, table, root, source_type)
-    ingest_table(spark, flow, base_path, jdbc, as_of, max_files)
+    ingest_table(spark, flow, base_path, jdbc, as_of, max_files, credentials)
     return load_silver(spark, flow, **silver_options)
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,11 +46,14 @@ def started_since(
     timeline: DataFrame, lookback_days: int = LOOKBACK_DAYS, as_of: datetime | None = None
 ) -> DataFrame:
     """Periods that started less than ``lookback_days`` before ``as_of`` (now if not given)."""
+    return timeline.filter(F.col("period_start_time") > _cutoff(timeline, lookback_days, as_of))
+
+
+def _cutoff(timeline: DataFrame, lookback_days: int, as_of: datetime | None) -> Column:
+    """Where the lookback begins, in the type of the column, so that a filter by it reaches the scan."""
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    cutoff = now - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
-    # The constant takes the column's type, so that the filter reaches the scan.
-    kind = timeline.schema["period_start_time"].dataType
-    return timeline.filter(F.col("period_start_time") > cutoff.cast(kind))
+    begin = now - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+    return begin.cast(timeline.schema["period_start_time"].dataType)
 
 
 def active_ids(
@@ -84,14 +89,21 @@ def runs_of(
     """
     keys = ["workspace_id", id_column, run_column]
     periods = timeline.select(*keys, "result_state", "period_start_time", "period_end_time")
+    start = F.col("period_start_time")
+    before = start <= _cutoff(periods, lookback_days, as_of)
+    earlier = periods.filter(before).select(*(F.col(k).alias(f"_{k}") for k in keys))
     if whole_runs:
         last_state = F.max(F.when(F.col("result_state").isNotNull(), F.struct("period_end_time", "result_state")))
-        periods = periods.groupBy(*keys).agg(
+        periods = periods.filter(~before | start.isNull()).groupBy(*keys).agg(
             last_state["result_state"].alias("result_state"),
             F.min("period_start_time").alias("period_start_time"),
             F.max("period_end_time").alias("period_end_time"),
         )
     finished = started_since(periods, lookback_days, as_of).filter(F.col("result_state").isNotNull())
+    if whole_runs:
+        # A run that began before the lookback goes whole.  Of all older periods only those of the few runs left are kept.
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        finished = finished.join(earlier.join(finished.select(*keys), same, "left_semi"), same, "left_anti")
     named = join_to_unique(finished, latest_names(versions, id_column), ["workspace_id", id_column], "left")
     return named.select(
         F.lit(run_type).alias("run_type"),

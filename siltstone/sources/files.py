@@ -177,17 +177,25 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
         return [row["paths"] for row in groups.orderBy("value").collect()]
 
 
-def typed(df: DataFrame, schema: T.StructType, rescued_column: str | None = None) -> DataFrame:
+def typed(
+    df: DataFrame, schema: T.StructType, rescued_column: str | None = None, unseen: Sequence[str] = ()
+) -> DataFrame:
     """Convert string columns to ``schema``; what does not fit becomes null, as do absent columns.
 
     With a ``rescued_column`` the raw text of every misfit is kept there as a
-    JSON object ``{column: text}``, null if the whole row fits.
+    JSON object ``{column: text}``, null if the whole row fits; the columns of
+    ``unseen`` are kept nowhere else.
     """
     outputs, misfits = [], []
+    nested = (T.StructType, T.ArrayType, T.MapType)
     targets = {f.name.lower(): f for f in schema.fields}
     for found in df.schema.fields:
-        target = targets.pop(found.name.lower(), None)
         raw = qualified(found.name)
+        if found.name in unseen:
+            text = F.to_json(raw) if isinstance(found.dataType, nested) else raw
+            misfits.append((found.name, text, F.lit(None)))
+            continue
+        target = targets.pop(found.name.lower(), None)
         if target is None or target.dataType == found.dataType:
             outputs.append(raw)
             continue
@@ -210,16 +218,16 @@ def _rescued(misfits: list[tuple[str, Column, Column]]) -> Column:
     return F.when(F.size(kept) > 0, F.to_json(kept))
 
 
-def stream_files(spark: SparkSession, path: str, options: FileOptions, schema: T.StructType) -> DataFrame:
-    """Streaming scan of files that all have the columns of ``schema``, each file once.
+def read_files(spark: SparkSession, paths: Sequence[str], options: FileOptions, schema: T.StructType) -> DataFrame:
+    """One scan of files that all have the columns of ``schema``, plus the path each row came from.
 
-    A CSV file with another header fails the stream: its columns would be taken
+    A CSV file with another header fails the scan: its columns would be taken
     by position.
     """
-    reader = spark.readStream.schema(schema).format(options.format)
+    reader = spark.read.schema(schema).format(options.format)
     if options.has_header:
         reader = reader.option("enforceSchema", "false")
-    rows = reader.options(**options.reader).load(path)
+    rows = reader.options(**options.reader).load(list(paths))
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 

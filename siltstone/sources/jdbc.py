@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.spec import TableSpec
+
 # Session settings that describe the database, by the part of
 # the connection they hold.
 CONF_KEYS = {
@@ -20,6 +22,7 @@ CONF_KEYS = {
 URL = "jdbc:postgresql://{host}:{port}/{database}?sslmode={ssl_mode}"
 TUNING_OPTIONS = ("fetchsize", "partitionColumn", "lowerBound", "upperBound", "numPartitions")
 _TUNING_CONF = "pipeline.jdbc_{}"
+URL_CONF = "pipeline.jdbc_url"
 
 
 def jdbc_options(connection: Mapping[str, Any], user: str, password: str, table: str | None = None) -> dict[str, str]:
@@ -36,13 +39,27 @@ def jdbc_options(connection: Mapping[str, Any], user: str, password: str, table:
 
 
 def jdbc_options_from_conf(spark: SparkSession, table: str, user: str, password: str) -> dict[str, str]:
-    """Reader options for ``table`` from the session settings, tuning options included where set."""
-    connection = {part: spark.conf.get(key) for part, key in CONF_KEYS.items()}
+    """Reader options for ``table`` from the session settings, tuning options included where set.
+
+    A whole URL may be set instead of its parts.
+    """
+    connection = {"url": spark.conf.get(URL_CONF, None)}
+    for part in ("driver",) if connection["url"] else CONF_KEYS:
+        connection[part] = spark.conf.get(CONF_KEYS[part])
     for option in TUNING_OPTIONS:
         connection[option] = spark.conf.get(_TUNING_CONF.format(option), None)
     return jdbc_options(connection, user, password, table)
 
 
+def declared_jdbc_options(spark: SparkSession, spec: TableSpec, user: str, password: str) -> dict[str, str] | None:
+    """Reader options from the spec's own block, else from the session settings; ``None`` if neither names a database."""
+    if spec.jdbc:
+        return jdbc_options({"table": spec.source_table, **spec.jdbc}, user, password)
+    if any(spark.conf.get(key, None) for key in (URL_CONF, CONF_KEYS["host"])):
+        return jdbc_options_from_conf(spark, spec.source_table, user, password)
+    return None
+
+
 def scan_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """The table as one frame.
 

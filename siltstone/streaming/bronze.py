@@ -12,7 +12,6 @@ from collections.abc import Iterable
 from datetime import datetime
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +26,8 @@ from siltstone.sources.files import (
     file_groups,
     hinted_fields,
     inferred_schema,
+    read_files,
     scan_files,
-    stream_files,
     stream_paths,
     typed,
     with_hints,
@@ -54,57 +53,61 @@ def ingest_files(
     """Append the files that are new since the last call, then return.
 
     ``as_strings`` lists columns that a later step types itself: they are kept
-    as text whatever would be inferred for them.
+    as text whatever would be inferred for them.  Files with fixed columns and
+    files that may add some are written alike, so a table may change its mode.
     """
-    if options.add_columns:
-        query = _ingest_evolving(
-            spark, source, target, options, tuple(as_strings), cluster_by, max_files, as_of
-        )
-    else:
-        query = _ingest_fixed(spark, source, target, options, tuple(as_strings), as_of)
-    if query is None:  # nothing has arrived yet
-        return
-    query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def _ingest_fixed(spark, source, target, options, as_strings, as_of):
-    """Files that all have the same columns: one streaming scan into the parquet sink."""
-    known = bronze_columns(spark, target)
-    if known is None or options.format == "csv":  # one line tells the columns of a CSV
-        try:
-            names = discovered_schema(spark, [source], options, infer_types=False)
-        except AnalysisException as error:
-            if known is None and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-                return None
-            raise
-    else:
-        names = _raw_columns(known, options)
-    wanted = _wanted(spark, [[source]], options, names, as_strings, known)
-    rows = stream_files(spark, source, options, names)
-    bronze = _bronze_rows(rows, wanted, options, as_of)
-    _log_columns(spark, target, known, bronze.schema)
-    return bronze.writeStream.format("parquet").option("path", target)
-
-
-def _ingest_evolving(spark, source, target, options, as_strings, cluster_by, max_files, as_of):
-    """Files whose columns may be added to or reordered: matched by name, batch by batch."""
+    as_strings = tuple(as_strings)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         paths = [row["path"] for row in batch.filter("length > 0").select("path").collect()]
-        groups = file_groups(session, paths, options) if paths else []
-        rows = scan_files(session, groups, options)
-        if rows is None:
+        if not paths:
             return
         known = bronze_columns(session, target)
-        wanted = _wanted(session, groups, options, rows.drop(SOURCE_PATH).schema, as_strings, known)
-        bronze = _bronze_rows(rows, wanted, options, as_of)
-        bronze = _sorted_by(bronze, cluster_by)
+        if options.add_columns:
+            groups = file_groups(session, paths, options)
+            rows, unseen = scan_files(session, groups, options), []
+        else:
+            groups = [[source]]
+            rows, unseen = _fixed_rows(session, source, paths, options, known)
+        if rows is None:
+            return
+        names = T.StructType([f for f in rows.schema.fields if f.name not in (SOURCE_PATH, *unseen)])
+        wanted = _wanted(session, groups, options, names, as_strings, known)
+        bronze = _sorted_by(_bronze_rows(rows, wanted, options, as_of, unseen), cluster_by)
         _log_columns(session, target, known, bronze.schema)
         # One folder per batch of one checkpoint: a repeated batch replaces its own rows.
         bronze.write.mode("overwrite").parquet(f"{target}/{query_id(session)}/{batch_id:010d}")
 
-    return stream_paths(spark, source, max_files or MAX_FILES).writeStream.foreachBatch(append)
+    query = stream_paths(spark, source, max_files or MAX_FILES).writeStream.foreachBatch(append)
+    query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def _fixed_rows(spark, source, paths, options, known):
+    """Rows of files that have the columns of the first ones, and the names of fields beyond those.
+
+    Everything that waits for the first batch fixes the columns, whatever is cut
+    into that batch; later they are those that the table has.  Fields beyond
+    them are looked for, by a pass over the new files, only if there is a
+    rescued column to keep them.
+    """
+    if known is None or options.format == "csv" and not options.has_header:
+        names = discovered_schema(spark, [source], options, infer_types=False)
+    else:
+        names = _raw_columns(known, options)
+    if known is not None and options.has_header:
+        # A hinted column need not be in the files; any other difference of a header fails the scan.
+        header = {f.name.lower() for f in discovered_schema(spark, paths, options, infer_types=False).fields}
+        absent = {f.name.lower() for f in hinted_fields(options.hints)} - header
+        names = T.StructType([f for f in names.fields if f.name.lower() not in absent])
+    if not names.fields:
+        return None, []
+    unseen = []
+    if options.rescued_column and options.format != "csv":
+        settled = {f.name.lower() for f in names.fields}
+        found = discovered_schema(spark, paths, options, infer_types=False)
+        unseen = [f for f in found.fields if f.name.lower() not in settled]
+    return read_files(spark, paths, options, T.StructType(names.fields + unseen)), [f.name for f in unseen]
 
 
 def query_id(spark: SparkSession) -> str:
@@ -137,11 +140,11 @@ def _raw_columns(known: T.StructType, options: FileOptions) -> T.StructType:
     return T.StructType(fields)
 
 
-def _bronze_rows(rows: DataFrame, wanted: T.StructType, options: FileOptions, as_of) -> DataFrame:
+def _bronze_rows(rows: DataFrame, wanted: T.StructType, options: FileOptions, as_of, unseen=()) -> DataFrame:
     found = {f.name.lower(): f.dataType for f in rows.schema.fields}
     converts = any(found.get(f.name.lower(), f.dataType) != f.dataType for f in wanted.fields)
     rescued = options.rescued_column or (DEFAULT_RESCUED if converts else None)
-    rows = typed(rows, wanted, rescued)
+    rows = typed(rows, wanted, rescued, unseen)
     return with_audit(rows, qualified(SOURCE_PATH), as_of).drop(SOURCE_PATH)
 
 
@@ -183,8 +186,15 @@ def stream_bronze(spark: SparkSession, target: str, max_files: int | None = None
 
 
 def overwrite_bronze(df: DataFrame, target: str, cluster_by: str | None = None) -> None:
-    """Replace a bronze table by a batch read (JDBC)."""
-    _sorted_by(df, cluster_by).write.mode("overwrite").parquet(target)
+    """Replace a bronze table by a batch read (JDBC); the old rows go once the new ones are all there."""
+    spark, loaded = df.sparkSession, f"{target}_loading"
+    _sorted_by(df, cluster_by).write.mode("overwrite").parquet(loaded)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(target), hadoop.Path(loaded)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{loaded} could not be renamed to {target}")
 
 
 def _sorted_by(df: DataFrame, column: str | None) -> DataFrame:

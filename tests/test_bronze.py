@@ -293,3 +293,42 @@ def test_an_unknown_evolution_mode_is_refused():
 
     with pytest.raises(ValueError, match="evolution"):
         file_options({"format": "csv", "schemaEvolutionMode": "addNewColumn"})
+
+
+def test_a_table_may_change_its_mode(spark, lake):
+    table = lake(CSV)
+    table.put("1.csv", "a,b", "1,x")
+    table.ingest()
+    table.options = file_options(EVOLVING)
+    table.put("2.csv", "a,b,c", "2,y,z")
+    assert rows(table.ingest(), "a", "b", "c") == [("1", "x", None), ("2", "y", "z")]
+    table.options = file_options(CSV)
+    table.put("3.csv", "a,b,c", "3,w,v")
+    assert rows(table.ingest(), "a", "c") == [("1", None), ("2", "z"), ("3", "v")]
+    table.put("4.csv", "a,b", "4,u")
+    with pytest.raises(StreamingQueryException, match="FAILED_READ_FILE"):
+        table.ingest()
+
+
+@pytest.mark.parametrize("max_files", [1, 10])
+def test_fields_beyond_fixed_columns_are_rescued(lake, max_files):
+    table = lake({"cloudFiles.format": "json", "rescuedDataColumn": "_r", "schemaHints": "id INT"}, max_files=max_files)
+    table.put("1.json", '{"id": 1}')
+    table.ingest()
+    table.put("2.json", '{"id": 2, "Extra": "x", "n": {"k": 1}}')
+    table.put("3.json", '{"id": "many"}')
+    bronze = table.ingest()
+    assert "Extra" not in bronze.columns
+    assert rows(bronze, "id", "_r") == [(None, '{"id":"many"}'), (1, None), (2, '{"Extra":"x","n":"{\\"k\\":\\"1\\"}"}')]
+
+
+def test_fixed_columns_honour_clustering_and_batches(lake):
+    table = lake(CSV, cluster_by="a", max_files=1)
+    for part in range(2):
+        table.put(f"{part}.csv", "a", *(str(i % 10) for i in range(100)))
+    bronze = table.ingest()
+    files = {r.f for r in bronze.select(F.input_file_name().alias("f")).collect()}
+    assert bronze.count() == 200 and len({f.rsplit("/", 2)[1] for f in files}) == 2
+    for file in files:
+        found = [r.a for r in bronze.filter(F.input_file_name() == file).select("a").collect()]
+        assert found == sorted(found)

@@ -98,6 +98,28 @@ def test_database_flow_keeps_the_newest_and_what_the_source_dropped(spark, tmp_p
     assert rows(run(), "id", "seq", "source_file")[0] == (1, 5, "rawp")
 
 
+def test_database_flow_described_by_the_session_or_the_spec(spark, tmp_path):
+    from copy import deepcopy
+
+    options = stored(spark, (1, 5, "a"), (2, 1, "b"))
+    config = deepcopy(CONFIG)
+    config["tables"]["person"]["bronze"]["source_table"] = options["dbtable"]
+    for key in ("url", "driver"):
+        spark.conf.set(f"pipeline.jdbc_{key}", options[key])
+    try:
+        found = run_table(spark, config, "person", str(tmp_path / "conf"), "jdbc", credentials=("app", "app"))
+        assert rows(found, "id", "name") == [(1, "a"), (2, "b")]
+    finally:
+        for key in ("url", "driver"):
+            spark.conf.unset(f"pipeline.jdbc_{key}")
+    with pytest.raises(ValueError, match="JDBC"):
+        run_table(spark, config, "person", str(tmp_path / "none"), "jdbc", credentials=("app", "app"))
+    block = {"url": options["url"], "driver": options["driver"], "table": options["dbtable"]}
+    config["tables"]["person"]["bronze"]["jdbc"] = {"read_options": block}
+    found = run_table(spark, config, "person", str(tmp_path / "spec"), "jdbc", credentials=("app", "app"))
+    assert rows(found, "id", "name") == [(1, "a"), (2, "b")]
+
+
 def test_source_type_and_path(spark):
     spec = table_spec(CONFIG, "person")
     assert source_type_of(spark, spec) == "s3"

@@ -74,6 +74,17 @@ def test_run_of_several_periods(spark):
     assert rows(whole, "status", "duration_seconds") == [("OK", 86460)]
 
 
+def test_whole_runs_that_began_before_the_lookback_are_left_out(spark):
+    t = timeline(
+        spark, ("p", "long", None, 40, 3600), ("p", "long", "OK", 1, 60), ("p", "short", "OK", 2, 60), ("p", None, "OK", 31, 1),
+        ("p", None, "OK", 1, 1),
+    )
+    whole = runlog.pipeline_runs(t, versions(spark, ("p", "n", 1)), as_of=NOW, whole_runs=True)
+    assert rows(whole, "run_id") == [("short",)]
+    scans = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in scans and "LeftSemi" in scans
+
+
 def test_durations_are_whole_elapsed_seconds(spark):
     df = spark.sql(
         "select timestamp '2024-01-01 00:00:00.9' a, timestamp '2024-01-01 00:00:02.1' b union all select null, now()"
