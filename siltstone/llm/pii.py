@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -50,7 +51,7 @@ ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλ
 HEX_LETTERS = "abcdef"
 
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
-_EMAIL = re.compile(r"[\w.%+\-]+@[\w\-]+(?:\.[\w\-]+)*\.[^\W\d_]{2,}")
+_AT_DOMAIN = re.compile(r"@[\w\-]+(?:\.[\w\-]+)*\.[^\W\d_]{2,}")
 _TOKEN = re.compile(
     r"""(?ix)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b["']?\s*[:=]\s*
         (?:"(?P<a>[\w\-+/=.]{8,})"|'(?P<b>[\w\-+/=.]{8,})'|(?P<c>[A-Za-z0-9_\-+/]{16,}))"""
@@ -141,7 +142,8 @@ def surrogate(key: bytes, kind: str, entity: str, draw: int = 0) -> str:
         script = script_of(entity)
         told = int.from_bytes(hmac.new(key, f"{tweak}|{entity}".encode(), hashlib.sha256).digest(), "big")
         parts = []
-        for _ in range(4):
+        # A draw more is a syllable more, so there is a name for any number of entities.
+        for _ in range(4 + draw):
             told, k = divmod(told, len(SYLLABLES[script]))
             parts.append(SYLLABLES[script][k])
         return "".join(parts) + (ENDINGS[script][kind[-1]] if kind.startswith("given") else "")
@@ -162,12 +164,19 @@ def find(text: str) -> list[Span]:
     found: list[Span] = []
 
     def add(start: int, end: int, kind: str, canonical: str) -> None:
-        if not any(s < end and start < e for s, e, _, _ in found):
-            found.append((start, end, kind, canonical))
-
-    if "@" in text:
-        for m in _EMAIL.finditer(text):
-            add(*m.span(), "email", m[0].lower())
+        at = bisect_left(found, (start,))
+        if (at == 0 or found[at - 1][1] <= start) and (at == len(found) or found[at][0] >= end):
+            found.insert(at, (start, end, kind, canonical))
+
+    done = 0
+    for m in _AT_DOMAIN.finditer(text):
+        # Leftwards from the sign, so that a long run of letters without one is not tried from each of them.
+        start = m.start()
+        while start > done and (text[start - 1].isalnum() or text[start - 1] in "_.%+-"):
+            start -= 1
+        if start < m.start():
+            done = m.end()
+            add(start, done, "email", text[start:done].lower())
     if "=" in text or ":" in text:
         for m in _TOKEN.finditer(text):
             group = m.lastgroup
@@ -202,7 +211,7 @@ def find(text: str) -> list[Span]:
                 add(*m.span(3), "surname", m[3].lower())
             else:
                 add(*m.span(2), "surname", m[2].lower())
-    return sorted(found)
+    return found
 
 
 def rendered(original: str, kind: str, new: str) -> str:

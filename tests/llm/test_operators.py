@@ -203,6 +203,20 @@ def test_surrogates(spark):
     assert len({pii.surrogate(key, "phone", f"{i:07d}") for i in range(2000)}) == 2000
 
 
+def test_entities_of_long_texts_are_found_in_order():
+    many = " ".join(f"user{i}@mail{i}.example.org" for i in range(20_000))
+    spans = pii.find("x" * 300_000 + " " + many + " @" + "-" * 300_000)
+    assert len(spans) == 20_000 and spans == sorted(spans) and {s[2] for s in spans} == {"email"}
+    close = "a@b.com.x@y.org, @z.org and a.b+c@d-e.co.uk"
+    assert [close[s:e] for s, e, _, _ in pii.find(close)] == ["a@b.com", ".x@y.org", "a.b+c@d-e.co.uk"]
+
+
+def test_names_never_run_out(spark):
+    key = b"k"
+    assert len({pii.surrogate(key, "surname", "smith", draw) for draw in range(12)}) == 12
+    assert len(pii.surrogate(key, "surname", "smith", 3)) > len(pii.surrogate(key, "surname", "smith"))
+
+
 def test_surrogates_that_always_clash_are_refused(spark):
     digits = spark.createDataFrame([("x", str(i)) for i in range(10)], "kind string, entity string")
     with pytest.raises(ValueError, match="clash"):
