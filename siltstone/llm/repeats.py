@@ -221,13 +221,6 @@ def cut_out(flat: np.ndarray, offsets: np.ndarray, repeated: np.ndarray, texts:
     return rows
 
 
-def run_starts(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """All windows of the given runs."""
-    total = int(count.sum())
-    begin = np.cumsum(count) - count
-    return np.repeat(first - begin, count) + np.arange(total)
-
-
 def run_starts(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """All windows of the given runs."""
     begin = np.cumsum(count) - count
