@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.tables import (
+    BUCKETS,
     CUSTOMER_COLUMNS,
     SUPPLIER_COLUMNS,
     column,
@@ -297,7 +298,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in _customer_deliveries(spark, sf_dir):
         _write_csv(delivery, f"{root}/raw/raw_customer")
         silver = run_table(
-            spark, config, "customer", f"{root}/lake", base_path=f"{root}/raw", as_of=LOADED_AT
+            spark, config, "customer", f"{root}/lake", base_path=f"{root}/raw", as_of=LOADED_AT, buckets=BUCKETS
         )
     return silver.drop("ingested_timestamp", "ingested_date", "source_file", "_rescued_data")
 
@@ -311,7 +312,7 @@ def database_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day, load in enumerate((supplier, changed)):
         options = jdbc_options(_database_table(spark, load), user="app", password="app")
         at = LOADED_AT + timedelta(days=day)
-        silver = run_table(spark, config, "supplier", root, source_type="jdbc", jdbc=options, as_of=at)
+        silver = run_table(spark, config, "supplier", root, source_type="jdbc", jdbc=options, as_of=at, buckets=BUCKETS)
     return comparable(silver.drop("ingested_date", "source_file"))
 
 

@@ -114,7 +114,7 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = scratch_dir(spark, "runlog_merge")
     for runs in _changed_runs(spark, sf_dir):
-        runlog.merge_into_run_log(spark, root, runs, _LOG_KEYS)
+        runlog.merge_into_run_log(spark, root, runs, _LOG_KEYS, t.BUCKETS)
     return comparable(runlog.read_run_log(spark, root))
 
 

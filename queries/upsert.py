@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queries.tables import column, read, spec
+from queries.tables import BUCKETS, column, read, spec
 from siltstone import table_spec
 from siltstone.operators.latest import change_order, latest_per_key
 from siltstone.operators.merge import scd1_upsert
@@ -51,7 +51,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = (
         spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/changes")
     )
-    stream_scd1(changes, f"{root}/silver", ["user_id"], _event_order(), f"{root}/checkpoint")
+    stream_scd1(changes, f"{root}/silver", ["user_id"], _event_order(), f"{root}/checkpoint", buckets=BUCKETS)
     return KeyedSnapshot(spark, f"{root}/silver", ["user_id"]).read()
 
 
@@ -61,7 +61,7 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events")
     middle = F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz")
     older, newer = events.filter(F.col("ts") < middle), events.filter(F.col("ts") >= middle)
-    table = KeyedSnapshot(spark, root, ["user_id"])
+    table = KeyedSnapshot(spark, root, ["user_id"], BUCKETS)
     for number, batch in ((0, older), (1, newer), (0, older), (2, older)):
         scd1_upsert(table, batch, _event_order(), writer="feed", batch_id=number)
     return table.read()

@@ -11,17 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions import elapsed_seconds, json_at, json_count_at
+from siltstone.functions import elapsed_seconds
 from siltstone.operators.join import join_to_unique
 from siltstone.operators.latest import latest_per_key
 from siltstone.operators.merge import merge_on_change, unique_by
 from siltstone.operators.snapshot import BUCKET, KeyedSnapshot
 
-# Labels, event filter and JSON paths of the log's inputs.
+# Labels, event filter and JSON fields of the log's inputs.
 PIPELINE, JOB = "PIPELINE", "JOB"
 FLOW_PROGRESS, COMPLETED = "flow_progress", "COMPLETED"
-STATUS_PATH = "flow_progress.status"
-ROWS_PATH = "flow_progress.metrics.num_output_rows"
+DETAILS = "flow_progress STRUCT<status: STRING, metrics: STRUCT<num_output_rows: STRING>>"
 LOOKBACK_DAYS = 30
 NEWEST = 20
 
@@ -135,12 +134,13 @@ def row_counts(event_log: DataFrame, active: DataFrame | None = None) -> DataFra
     details = F.col("details")
     # Text that neither holds the word nor an escape cannot parse to it.
     may_be_done = details.contains(COMPLETED) | details.contains("\\")
-    done = event_log.filter((F.col("event_type") == FLOW_PROGRESS) & may_be_done).filter(
-        json_at(details, STATUS_PATH) == COMPLETED
-    )
+    events = event_log.filter((F.col("event_type") == FLOW_PROGRESS) & may_be_done)
+    # Put out by a generator, the parsed document cannot be parsed again for the filter.
+    parsed = events.select("origin", F.inline(F.array(F.from_json(details, DETAILS))))
+    done = parsed.filter(F.col("flow_progress.status") == COMPLETED)
     counts = done.groupBy(
         F.col("origin.pipeline_id").alias("pipeline_id"), F.col("origin.update_id").alias("update_id")
-    ).agg(F.sum(json_count_at(details, ROWS_PATH)).alias("total_rows_processed"))
+    ).agg(F.sum(F.col("flow_progress.metrics.num_output_rows").try_cast("bigint")).alias("total_rows_processed"))
     return counts if active is None else join_to_unique(counts, active, ["pipeline_id"], "left_semi")
 
 
@@ -194,8 +194,8 @@ def merge_into_run_log(
 
     def merge(current: DataFrame | None, changes: DataFrame) -> DataFrame:
         if current is None:
-            return changes
-        return merge_on_change(current, changes, RUN_KEY, "status", REFRESHED, (BUCKET, *extra_keys))
+            return table.by_bucket(changes)
+        return table.by_bucket(merge_on_change(current, changes, RUN_KEY, "status", REFRESHED, (BUCKET, *extra_keys)))
 
     table.apply(source, merge)
     return table

@@ -58,10 +58,10 @@ def test_options_with_and_without_prefix():
 
 
 def test_hints_replace_and_add(spark):
-    schema = T.StructType().add("CFCIF#", "long").add("n", "long")
+    schema = T.StructType().add("CODE#", "long").add("n", "long")
     hinted = with_hints(schema, "`cfcif#` STRING, extra DOUBLE")
     assert [(f.name, f.dataType.simpleString()) for f in hinted.fields] == [
-        ("CFCIF#", "string"), ("n", "bigint"), ("extra", "double")]
+        ("CODE#", "string"), ("n", "bigint"), ("extra", "double")]
 
 
 def test_second_run_reads_only_new_files(spark, lake):
@@ -99,8 +99,8 @@ def test_fixed_columns_are_never_shifted(lake):
 
 def test_quoted_and_delimited_headers(lake):
     table = lake(EVOLVING | {"delimiter": "|"})
-    table.put("1.csv", '"CFCIF#"|"odd|name"', '007|"a|b"')
-    assert rows(table.ingest(), "`CFCIF#`", "`odd|name`") == [("007", "a|b")]
+    table.put("1.csv", '"CODE#"|"odd|name"', '007|"a|b"')
+    assert rows(table.ingest(), "`CODE#`", "`odd|name`") == [("007", "a|b")]
 
 
 def test_empty_and_header_only_files(lake):

@@ -91,7 +91,7 @@ def test_filter_and_columns_are_pushed_to_the_database(spark):
 
 def test_database_flow_keeps_the_newest_and_what_the_source_dropped(spark, tmp_path):
     options = stored(spark, (1, 5, " a "), (2, 1, "b"), (3, 1, "c"))
-    run = lambda: run_table(spark, CONFIG, "person", str(tmp_path), "jdbc", jdbc=options, as_of=datetime(2024, 1, 1))
+    run = lambda: run_table(spark, CONFIG, "person", str(tmp_path), "jdbc", jdbc=options, as_of=datetime(2024, 1, 1), buckets=2)
     assert rows(run(), "id", "seq", "name") == [(1, 5, "a"), (2, 1, "b"), (3, 1, "c")]
     put(spark, options, (1, 4, "late"), (2, 2, "new"))
     assert rows(run(), "id", "seq", "name") == [(1, 5, "a"), (2, 2, "new"), (3, 1, "c")]
@@ -107,16 +107,16 @@ def test_database_flow_described_by_the_session_or_the_spec(spark, tmp_path):
     for key in ("url", "driver"):
         spark.conf.set(f"pipeline.jdbc_{key}", options[key])
     try:
-        found = run_table(spark, config, "person", str(tmp_path / "conf"), "jdbc", credentials=("app", "app"))
+        found = run_table(spark, config, "person", str(tmp_path / "conf"), "jdbc", credentials=("app", "app"), buckets=2)
         assert rows(found, "id", "name") == [(1, "a"), (2, "b")]
     finally:
         for key in ("url", "driver"):
             spark.conf.unset(f"pipeline.jdbc_{key}")
     with pytest.raises(ValueError, match="JDBC"):
-        run_table(spark, config, "person", str(tmp_path / "none"), "jdbc", credentials=("app", "app"))
+        run_table(spark, config, "person", str(tmp_path / "none"), "jdbc", credentials=("app", "app"), buckets=2)
     block = {"url": options["url"], "driver": options["driver"], "table": options["dbtable"]}
     config["tables"]["person"]["bronze"]["jdbc"] = {"read_options": block}
-    found = run_table(spark, config, "person", str(tmp_path / "spec"), "jdbc", credentials=("app", "app"))
+    found = run_table(spark, config, "person", str(tmp_path / "spec"), "jdbc", credentials=("app", "app"), buckets=2)
     assert rows(found, "id", "name") == [(1, "a"), (2, "b")]
 
 

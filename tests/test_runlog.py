@@ -111,6 +111,18 @@ def test_row_counts(spark):
     assert runlog.row_counts(log).count() == 4
 
 
+def test_event_documents_are_parsed_once(spark, tmp_path):
+    events(spark, ("p", "1", "flow_progress", progress("COMPLETED", 5))).write.parquet(f"{tmp_path}/log")
+    steps = plan(runlog.row_counts(spark.read.parquet(f"{tmp_path}/log")))
+    assert steps.count("from_json") == 1 and "EqualTo(event_type,flow_progress)" in steps
+
+
+def test_odd_event_documents_count_nothing(spark):
+    odd = ["{", "[]", '"COMPLETED"', '{"flow_progress":"COMPLETED"}', '{"flow_progress":{"status":["COMPLETED"]}}', ""]
+    log = events(spark, *(("p", str(i), "flow_progress", text) for i, text in enumerate(odd)))
+    assert runlog.row_counts(log).count() == 0
+
+
 def test_counts_attach_to_pipeline_runs_only_by_both_keys(spark):
     t = timeline(spark, ("p", "1", "OK", 1, 1), ("p", "2", "OK", 1, 1))
     j = timeline(spark, ("j", "1", "OK", 1, 1), key="job_id", run="run_id")
@@ -174,7 +186,7 @@ def log(spark, *runs):
 def test_merge_keeps_refreshes_and_adds(spark):
     root = scratch_dir(spark, "log")
     assert runlog.read_run_log(spark, root).count() == 0
-    runlog.merge_into_run_log(spark, root, log(spark, run("JOB", "a", "1", "RUN"), run("JOB", "b", "1", "OK")))
+    runlog.merge_into_run_log(spark, root, log(spark, run("JOB", "a", "1", "RUN"), run("JOB", "b", "1", "OK")), buckets=2)
     runlog.merge_into_run_log(
         spark, root,
         log(spark, run("JOB", "a", "1", "OK", 2, "x"), run("JOB", "b", "1", "OK", 2, "x"), run("JOB", "c", "1", "OK")),
@@ -188,10 +200,10 @@ def test_merge_keeps_refreshes_and_adds(spark):
 def test_same_numbers_of_a_job_and_a_pipeline(spark):
     both = log(spark, run("JOB", "a", "1", "OK"), run("PIPELINE", "a", "1", "OK"))
     with pytest.raises(PySparkException, match="several source rows"):
-        runlog.merge_into_run_log(spark, scratch_dir(spark, "log"), both)
+        runlog.merge_into_run_log(spark, scratch_dir(spark, "log"), both, buckets=2)
     root = scratch_dir(spark, "log")
     for _ in range(2):
-        runlog.merge_into_run_log(spark, root, both, ["run_type"])
+        runlog.merge_into_run_log(spark, root, both, ["run_type"], 2)
     assert runlog.read_run_log(spark, root).count() == 2
 
 
