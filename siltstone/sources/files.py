@@ -6,7 +6,8 @@ not fit its type can be kept beside the row and leading zeros survive.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,10 @@ from siltstone.operators.union import union_frames
 from siltstone.session import settings
 
 SOURCE_PATH = "__source_path"
+# A CSV record that has more or fewer values than there are columns, as it was read.
+RECORD = "__record"
+# What a whole record is called among the rescued values.
+RECORD_NAME = "_record"
 FORMATS = ("csv", "json", "parquet")
 
 # The option names a spec may use, with or without the prefix.
@@ -103,8 +108,7 @@ def scan_files(spark: SparkSession, groups: Sequence[Sequence[str]], options: Fi
     for group in groups:
         schema = discovered_schema(spark, group, options, infer_types=False)
         if schema.fields:
-            rows = spark.read.format(options.format).options(**options.reader).schema(schema).load(list(group))
-            scans.append(rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH)))
+            scans.append(_scan(spark, group, options, schema, enforce=True))
     return union_frames(scans, by_name=True, allow_missing=True)
 
 
@@ -120,8 +124,14 @@ def discovered_schema(
     reader = spark.read.options(**options.reader)
     if options.format == "csv":
         if infer_types:
-            return reader.option("inferSchema", "true").csv(list(paths)).schema
-        return reader.option("inferSchema", "false").csv(paths[0] if options.has_header else list(paths)).schema
+            found = reader.option("inferSchema", "true").csv(list(paths)).schema
+            if options.has_header:
+                return found
+            # Values beyond the first line's were not looked at: they stay text.
+            return T.StructType(found.fields + positional_schema(spark, paths, options).fields[len(found.fields) :])
+        if not options.has_header:
+            return positional_schema(spark, paths, options)
+        return reader.option("inferSchema", "false").csv(paths[0]).schema
     if options.format == "json":
         return reader.option("primitivesAsString", str(not infer_types).lower()).json(list(paths)).schema
     return reader.option("mergeSchema", "true").parquet(*paths).schema
@@ -146,21 +156,62 @@ def _holding(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def positional_schema(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> T.StructType:
+    """Text columns ``_c0``, ``_c1``, ... as many as the longest record of all the files has values."""
+    one = T.StructType().add("_c0", "string").add(RECORD, "string")
+    rows = spark.read.options(**options.reader).option("columnNameOfCorruptRecord", RECORD).schema(one).csv(list(paths))
+    # A record of one value is complete, so that its text is not kept.
+    values = F.when(F.col(RECORD).isNotNull(), value_count(F.col(RECORD), options.reader)).when(F.col("_c0").isNotNull(), 1)
+    width = rows.agg(F.max(values)).first()[0] or 0
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+
+
+def value_count(record: Column, reader: Mapping[str, str]) -> Column:
+    """How many values a CSV record holds: separators outside quotes, and one.
+
+    A quote opens a value only at its start; doubled quotes stand for one only
+    where the quote is its own escape.
+    """
+    separator = reader.get("sep", reader.get("delimiter", ",")).replace("\\t", "\t")
+    quote, escape = reader.get("quote", '"'), reader.get("escape", "\\")
+    if quote:
+        q, e, cut = re.escape(quote), re.escape(escape), re.escape(separator)
+        inside = f"(?:{q}{q}|[^{q}])*" if escape == quote else f"(?:{e}.|[^{q}{e}])*" if escape else f"[^{q}]*"
+        record = F.regexp_replace(record, f"(?s)(^|{cut})[ \\t]*{q}{inside}{q}", "$1")
+    shorter = F.length(record) - F.length(F.replace(record, F.lit(separator), F.lit("")))
+    return (shorter / len(separator) + 1).cast("int")
+
+
 def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str, str]) -> list[list[str]]:
-    """``paths`` grouped by their first non-blank line; files without one are left out.
+    """``paths`` grouped by the text of their header record; files without one are left out.
 
-    Each task reads the first lines of one file.  Only paths reach the driver,
-    which needs them anyway to name them in a scan.
+    The header is the first line that is neither blank nor a comment, with the
+    lines after it that its quotes span if records may span lines.  Each task
+    reads the first lines of one file.  Only paths reach the driver, which needs
+    them anyway to name them in a scan.
     """
+    comment, quote = reader.get("comment", ""), reader.get("quote", '"')
+    spans_lines = str(reader.get("multiLine", "false")).lower() == "true"
+
     # Local, so that it travels by value and executors need not have this package.
-    def first_row(batches):
+    def header(batches: Iterator) -> Iterator:
+        lines, path = [], None
         for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
+            for row in batch.to_pylist():
+                skipped = not row["value"].strip() or comment and row["value"].startswith(comment)
+                if lines or not skipped:
+                    lines.append(row["value"])
+                    path = row["path"]
+                    if not (spans_lines and quote) or sum(line.count(quote) for line in lines) % 2 == 0:
+                        break
+            else:
+                continue
+            break
+        if lines:
+            yield batch.from_pylist([{"value": "\n".join(lines), "path": path}], schema=batch.schema)
 
     text_options = {k: v for k, v in reader.items() if k in ("encoding", "lineSep", "compression")}
-    # A file must not be split here, nor share a task: its first line is all that is read of it.
+    # A file must not be split here, nor share a task: its first lines are all that is read of it.
     one_file_per_task = str(1 << 40)
     peeking = {
         "spark.sql.files.maxPartitionBytes": one_file_per_task,
@@ -169,11 +220,8 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
     }
     with settings(spark, peeking):
         lines = spark.read.options(**text_options).text(list(paths))
-        lines = lines.filter("trim(value) != '' and _metadata.file_block_start = 0").select(
-            "value", F.col("_metadata.file_path").alias("path")
-        )
-        heads = lines.mapInArrow(first_row, lines.schema)
-        groups = heads.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        lines = lines.filter("_metadata.file_block_start = 0").select("value", F.col("_metadata.file_path").alias("path"))
+        groups = lines.mapInArrow(header, lines.schema).groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
         return [row["paths"] for row in groups.orderBy("value").collect()]
 
 
@@ -184,13 +232,17 @@ def typed(
 
     With a ``rescued_column`` the raw text of every misfit is kept there as a
     JSON object ``{column: text}``, null if the whole row fits; the columns of
-    ``unseen`` are kept nowhere else.
+    ``unseen`` are kept nowhere else, nor are values beyond the last column,
+    whose whole record is kept as ``_record``.
     """
     outputs, misfits = [], []
     nested = (T.StructType, T.ArrayType, T.MapType)
     targets = {f.name.lower(): f for f in schema.fields}
     for found in df.schema.fields:
         raw = qualified(found.name)
+        if found.name == RECORD:
+            misfits.append((RECORD_NAME, raw, F.lit(None)))
+            continue
         if found.name in unseen:
             text = F.to_json(raw) if isinstance(found.dataType, nested) else raw
             misfits.append((found.name, text, F.lit(None)))
@@ -224,10 +276,25 @@ def read_files(spark: SparkSession, paths: Sequence[str], options: FileOptions,
     A CSV file with another header fails the scan: its columns would be taken
     by position.
     """
-    reader = spark.read.schema(schema).format(options.format)
-    if options.has_header:
-        reader = reader.option("enforceSchema", "false")
-    rows = reader.options(**options.reader).load(list(paths))
+    return _scan(spark, paths, options, schema, enforce=not options.has_header)
+
+
+def _scan(
+    spark: SparkSession, paths: Sequence[str], options: FileOptions, schema: T.StructType, enforce: bool
+) -> DataFrame:
+    """Rows and their path; with a rescued column also the text of CSV records with values beyond the last column."""
+    reader = spark.read.format(options.format).option("enforceSchema", str(enforce).lower()).options(**options.reader)
+    keeps_records = options.format == "csv" and options.rescued_column is not None
+    if keeps_records:
+        schema = T.StructType(schema.fields + [T.StructField(RECORD, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", RECORD)
+    rows = reader.schema(schema).load(list(paths))
+    if keeps_records:
+        # A record of another length that fills the last column is a longer one.
+        *columns, _ = schema.fields
+        filled = qualified(columns[-1].name).isNotNull()
+        longer = filled | (value_count(F.col(RECORD), options.reader) > len(columns))
+        rows = rows.withColumn(RECORD, F.when(longer, F.col(RECORD)))
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 

@@ -20,6 +20,7 @@ from siltstone.functions import qualified
 from siltstone.operators.log import append_log, read_log
 from siltstone.sources.audit import AUDIT_COLUMNS, with_audit
 from siltstone.sources.files import (
+    RECORD,
     SOURCE_PATH,
     FileOptions,
     discovered_schema,
@@ -68,12 +69,11 @@ def ingest_files(
             groups = file_groups(session, paths, options)
             rows, unseen = scan_files(session, groups, options), []
         else:
-            groups = [[source]]
             rows, unseen = _fixed_rows(session, source, paths, options, known)
         if rows is None:
             return
-        names = T.StructType([f for f in rows.schema.fields if f.name not in (SOURCE_PATH, *unseen)])
-        wanted = _wanted(session, groups, options, names, as_strings, known)
+        names = T.StructType([f for f in rows.schema.fields if f.name not in (SOURCE_PATH, RECORD, *unseen)])
+        wanted = _wanted(session, source, options, names, as_strings, known)
         bronze = _sorted_by(_bronze_rows(rows, wanted, options, as_of, unseen), cluster_by)
         _log_columns(session, target, known, bronze.schema)
         # One folder per batch of one checkpoint: a repeated batch replaces its own rows.
@@ -115,15 +115,21 @@ def query_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def _wanted(spark, groups, options: FileOptions, names: T.StructType, as_strings, known) -> T.StructType:
-    """Types to store: those the table already has, then hints, then inferred or as found."""
+def _wanted(spark, source, options: FileOptions, names: T.StructType, as_strings, known) -> T.StructType:
+    """Types to store: those the table already has, then hints, then inferred or as found.
+
+    They are inferred from all files that are there, whichever are in the batch,
+    and only when a batch brings a column of open type.
+    """
     settled = {f.name.lower(): f for f in hinted_fields(options.hints)}
     if options.is_text:
         settled |= {name.lower(): T.StructField(name, T.StringType()) for name in as_strings if name.lower() not in settled}
     settled |= {f.name.lower(): f for f in known.fields} if known else {}
     open_types = any(f.name.lower() not in settled for f in names.fields)
     if options.infer_types and options.is_text and open_types:
-        names = inferred_schema(spark, groups, options)
+        groups = file_groups(spark, [source], options)
+        inferred = {f.name.lower(): f.dataType for f in inferred_schema(spark, groups, options).fields}
+        names = T.StructType([T.StructField(f.name, inferred.get(f.name.lower(), f.dataType)) for f in names.fields])
     wanted = with_hints(names, options.hints)
     return T.StructType([T.StructField(f.name, settled.get(f.name.lower(), f).dataType) for f in wanted.fields])
 

@@ -15,7 +15,8 @@ from siltstone.streaming.bronze import ingest_files, read_bronze, stream_bronze
 from tests.conftest import rows
 
 CSV = {"cloudFiles.format": "csv", "header": "true"}
-EVOLVING = CSV | {"cloudFiles.schemaEvolutionMode": "addNewColumns"}
+ADD = {"cloudFiles.schemaEvolutionMode": "addNewColumns"}
+EVOLVING = CSV | ADD
 INFERRED = EVOLVING | {"cloudFiles.inferColumnTypes": "true"}
 AT = datetime(2024, 2, 1)
 
@@ -59,7 +60,7 @@ def test_options_with_and_without_prefix():
 
 def test_hints_replace_and_add(spark):
     schema = T.StructType().add("CODE#", "long").add("n", "long")
-    hinted = with_hints(schema, "`cfcif#` STRING, extra DOUBLE")
+    hinted = with_hints(schema, "`code#` STRING, extra DOUBLE")
     assert [(f.name, f.dataType.simpleString()) for f in hinted.fields] == [
         ("CODE#", "string"), ("n", "bigint"), ("extra", "double")]
 
@@ -332,3 +333,58 @@ def test_fixed_columns_honour_clustering_and_batches(lake):
     for file in files:
         found = [r.a for r in bronze.filter(F.input_file_name() == file).select("a").collect()]
         assert found == sorted(found)
+
+
+def test_files_with_equal_comments_are_told_apart_by_their_header(lake):
+    table = lake(CSV | ADD | {"comment": "#"})
+    table.put("1.csv", "# export", "id,name", "1,one")
+    table.put("2.csv", "# export", "", "name,id", "two,2")
+    assert rows(table.ingest(), "id", "name") == [("1", "one"), ("2", "two")]
+
+
+def test_headers_that_differ_after_a_line_break(lake):
+    table = lake(CSV | ADD | {"multiLine": "true"})
+    table.put("1.csv", 'id,"na', 'me"', "1,one")
+    table.put("2.csv", 'id,"na', 'me2"', "2,two")
+    found = table.ingest()
+    assert {"na\nme", "na\nme2"} <= set(found.columns)
+    assert rows(found, "id", "`na\nme`", "`na\nme2`") == [("1", "one", None), ("2", None, "two")]
+
+
+@pytest.mark.parametrize("mode", [{}, ADD])
+def test_values_beyond_the_last_column_are_rescued(lake, mode):
+    table = lake(CSV | mode | {"rescuedDataColumn": "_rescued"})
+    table.put("1.csv", "id,name", "1,one", "2,two,EXTRA", '3,"a,b"', "4", "5,,,z", '"6","six"', '7,"say ""x"", y"')
+    found = table.ingest()
+    # Doubled quotes are no escape by default: the reader ends that value at the comma.
+    assert found.filter("id = 7 and _rescued like '%, y%'").count() == 1
+    assert rows(found.filter("id < 7"), "id", "name", "_rescued") == [
+        ("1", "one", None),
+        ("2", "two", '{"_record":"2,two,EXTRA"}'),
+        ("3", "a,b", None),
+        ("4", None, None),
+        ("5", None, '{"_record":"5,,,z"}'),
+        ("6", "six", None),
+    ]
+
+
+@pytest.mark.parametrize("mode", [{}, ADD])
+def test_the_widest_headerless_record_sets_the_columns(lake, mode):
+    table = lake({"cloudFiles.format": "csv"} | mode)
+    table.put("1.csv", *(f"{i},x" for i in range(5)))
+    table.put("2.csv", "9,wide,third", '"1,0","q"')
+    found = table.ingest()
+    assert [c for c in found.columns if c.startswith("_c")] == ["_c0", "_c1", "_c2"]
+    assert rows(found.filter("_c2 is not null"), "_c0", "_c1", "_c2") == [("9", "wide", "third")]
+    assert rows(found.filter("_c1 = 'q'"), "_c0") == [("1,0",)]
+
+
+@pytest.mark.parametrize("max_files", [1, 10])
+@pytest.mark.parametrize("mode", [{}, ADD])
+def test_inferred_types_do_not_depend_on_the_batches(lake, mode, max_files):
+    table = lake(CSV | mode | {"inferColumnTypes": "true"}, max_files=max_files)
+    table.put("1.csv", "x,y", "5,1")
+    table.put("2.csv", "x,y", "abc,2")
+    found = table.ingest()
+    assert dict(found.dtypes)["x"] == "string" and dict(found.dtypes)["y"] == "int"
+    assert rows(found, "x", "y") == [("5", 1), ("abc", 2)]

@@ -77,7 +77,7 @@ def test_rename_missing_source_and_pass_through(spark):
 
 
 def test_names_match_without_case_and_take_the_spec_spelling(spark):
-    df = spark.createDataFrame([("1", "2")], "`cfcif#` string, Amount string")
+    df = spark.createDataFrame([("1", "2")], "`code#` string, Amount string")
     out = silver_transform(df, [col("CODE", "string", source="CODE#"), col("AMOUNT", "integer")])
     assert out.dtypes == [("CODE", "string"), ("AMOUNT", "int")]
 
