@@ -23,7 +23,7 @@ from queries.tables import (
 from siltstone import table_spec
 from siltstone.operators.layout import write_clustered
 from siltstone.operators.silver import silver_transform
-from siltstone.plans.medallion import bronze_rows, ingest_table, run_table, table_flow
+from siltstone.plans.medallion import bronze_rows, cluster_silver, ingest_table, run_table, table_flow
 from siltstone.session import scratch_dir, settings
 from siltstone.sources.jdbc import jdbc_options, scan_jdbc
 
@@ -179,6 +179,25 @@ def rescued_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select("s_suppkey", "s_name", "_rescued")
 
 
+def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a value too many under a header, and headerless files of different widths."""
+    root = scratch_dir(spark, "bronze_ragged")
+    supplier = read(spark, sf_dir, "supplier")
+    odd = F.col("s_suppkey") % 2 == 1
+    surplus = F.concat_ws(",", "s_suppkey", "s_name", F.when(odd, "surplus"))
+    # A single column under another separator, so that its commas are not quoted.
+    lines = supplier.select(surplus.alias("s_suppkey,s_name"))
+    lines.write.options(header="true", sep=";").csv(f"{root}/raw/raw_supplier")
+    config = _config("supplier", [], ["s_suppkey"], CSV | {"rescuedDataColumn": "_rescued"})
+    named = _ingested(spark, config, "supplier", root).select("s_suppkey", "s_name", F.lit(None).cast("string"), "_rescued")
+    narrow = supplier.select("s_suppkey", "s_name")
+    for delivery in (narrow.filter(~odd), narrow.filter(odd).withColumn("third", F.lit("third"))):
+        delivery.write.mode("append").csv(f"{root}/raw/raw_bare")
+    bare = spec("bare", "raw_bare", [], ["_c0"], bronze={"read_options": {"cloudFiles.format": "csv"}})
+    bare = _ingested(spark, bare, "bare", root).select("_c0", "_c1", "_c2", F.lit(None).cast("string"))
+    return named.unionAll(bare).toDF("s_suppkey", "s_name", "third", "_rescued")
+
+
 # The database stand-in: a named in-memory database inside the one process of a
 # local session.  A cluster sets these to reach a database of its own.
 DATABASE_CONF = {"url": "siltstone.check.jdbc.url", "driver": "siltstone.check.jdbc.driver"}
@@ -316,6 +335,35 @@ def database_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(silver.drop("ingested_date", "source_file"))
 
 
+def _nation_flow(spark: SparkSession, sf_dir: str, purpose: str):
+    """Customers by the flow, every seventh without a key, silver to be ranged by nation."""
+    root = scratch_dir(spark, purpose)
+    key = F.when(F.col("c_custkey") % 7 == 0, "NULL").otherwise(F.col("c_custkey").cast("string"))
+    _write_csv(read(spark, sf_dir, "customer").withColumn("c_custkey", key), f"{root}/raw/raw_customer")
+    columns = [column("c_custkey", "long", markers=["NULL"]), *CUSTOMER_COLUMNS[1:]]
+    config = _config("customer", columns, ["c_custkey"], CSV, silver={"partition_columns": "c_nationkey"})
+    counts = []
+    options = {"base_path": f"{root}/raw", "buckets": BUCKETS, "on_rule_counts": counts.append}
+    run_table(spark, config, "customer", f"{root}/lake", **options)
+    return table_flow(spark, config, "customer", f"{root}/lake"), counts
+
+
+def medallion_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the key rule let pass and dropped, counted by the run itself."""
+    _, counts = _nation_flow(spark, sf_dir, "medallion_rules")
+    found = [(c["valid_c_custkey_passed"], c["valid_c_custkey_dropped"]) for c in counts]
+    return spark.createDataFrame(found, "passed long, dropped long")
+
+
+def medallion_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver ranged by nation after a run: few files hold the nations of a filter."""
+    flow, _ = _nation_flow(spark, sf_dir, "medallion_clustered")
+    ranged = cluster_silver(spark, flow, BUCKETS).withColumn("file", F.col("_metadata.file_path"))
+    inside = F.col("c_nationkey") < 5
+    files, hit = F.count_distinct("file"), F.count_distinct(F.when(inside, F.col("file")))
+    return ranged.agg(F.count_if(inside).alias("customers"), (hit * 2 < files).alias("skips_files"))
+
+
 _SUPPLIER_SQL = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 
 QUERIES = {
@@ -334,6 +382,9 @@ QUERIES = {
     "bronze_jdbc_conf": database_by_conf,
     "bronze_mode_switch": mode_switch,
     "bronze_rescued_fields": rescued_fields,
+    "bronze_ragged_csv": ragged,
+    "medallion_rule_counts": medallion_rule_counts,
+    "medallion_clustered": medallion_clustered,
     "bronze_source_switch": switched,
     "clustered_write": clustered_write,
     "medallion_e2e": end_to_end,
@@ -372,6 +423,18 @@ ORACLE = {
         SELECT s_suppkey, s_name,
                CASE WHEN s_suppkey % 2 <> 0 THEN '{"s_nationkey":"' || s_nationkey || '"}' END AS _rescued
         FROM supplier""",
+    "bronze_ragged_csv": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(NULL AS VARCHAR) AS third,
+               CASE WHEN s_suppkey % 2 = 1 THEN '{"_record":"' || s_suppkey || ',' || s_name || ',surplus"}' END AS _rescued
+        FROM supplier
+        UNION ALL
+        SELECT CAST(s_suppkey AS VARCHAR), s_name, CASE WHEN s_suppkey % 2 = 1 THEN 'third' END, NULL FROM supplier""",
+    "medallion_rule_counts": """
+        SELECT count(*) FILTER (c_custkey % 7 <> 0) AS passed, count(*) FILTER (c_custkey % 7 = 0) AS dropped
+        FROM customer""",
+    "medallion_clustered": """
+        SELECT count(*) FILTER (c_custkey % 7 <> 0 AND c_nationkey < 5) AS customers, true AS skips_files
+        FROM customer""",
     "bronze_source_switch": """
         SELECT s_suppkey, s_name, s_nationkey, s_acctbal, t.bronze_table
         FROM supplier CROSS JOIN (VALUES ('bronze_s3_raw_supplier'), ('bronze_jdbc_raw_supplier')) AS t(bronze_table)""",

@@ -86,6 +86,17 @@ def by_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(rows, parsed.primary_keys, change_order(parsed), tie_break=["o_orderkey"])
 
 
+def null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of no user are one key like any other, however many batches there are and however they are merged."""
+    table = KeyedSnapshot(spark, scratch_dir(spark, "scd1_null_keys"), ["user_id"], BUCKETS)
+    user = F.when(F.col("user_id") % 5 != 0, F.col("user_id"))
+    events = read(spark, sf_dir, "events").select(user.alias("user_id"), "event_id", "ts", "event_type")
+    dealt = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for number in range(3):
+        scd1_upsert(table, events.filter(dealt == number), _event_order())
+    return table.read()
+
+
 _LATEST_SQL = """
 SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1
 """
@@ -96,6 +107,7 @@ QUERIES = {
     "scd1_stream": streamed,
     "scd1_replay": replayed,
     "scd1_ingest_order": by_ingest_time,
+    "scd1_null_keys": null_keys,
 }
 
 ORACLE = {
@@ -108,6 +120,11 @@ ORACLE = {
           ORDER BY returned_at DESC NULLS LAST, l_linenumber DESC, l_orderkey DESC, l_quantity DESC) = 1""",
     "scd1_stream": _LATEST_SQL,
     "scd1_replay": _LATEST_SQL,
+    "scd1_null_keys": """
+        SELECT CASE WHEN user_id % 5 <> 0 THEN user_id END AS user_id, event_id, ts, event_type
+        FROM events
+        QUALIFY row_number() OVER (PARTITION BY CASE WHEN user_id % 5 <> 0 THEN user_id END
+          ORDER BY ts DESC NULLS LAST, event_id DESC) = 1""",
     "scd1_ingest_order": """
         SELECT *, TIMESTAMP '2024-01-01' + CASE WHEN o_orderpriority < '3' THEN INTERVAL 0 HOUR ELSE INTERVAL 1 HOUR END
                   AS ingested_timestamp

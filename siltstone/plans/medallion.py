@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
@@ -10,8 +10,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators.latest import change_order
+from siltstone.operators.layout import clustered, replace_table
 from siltstone.operators.merge import scd1_upsert
-from siltstone.operators.silver import silver_staging
+from siltstone.operators.silver import key_rules, silver_transform
 from siltstone.operators.snapshot import KeyedSnapshot
 from siltstone.sources.audit import with_audit
 from siltstone.sources.files import file_options
@@ -50,6 +51,10 @@ class TableFlow:
     def silver_path(self) -> str:
         return f"{self.root.rstrip('/')}/{self.silver_name}"
 
+    @property
+    def clustered_path(self) -> str:
+        return f"{self.silver_path}_clustered"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/checkpoints/{name}"
 
@@ -108,29 +113,50 @@ def load_silver(
     tie_break: Sequence[str] | None = None,
     sequence_format: str | None = None,
     buckets: int | None = None,
+    on_rule_counts: Callable[[dict[str, int]], None] | None = None,
 ) -> DataFrame | None:
     """Fold bronze into silver, one current row per key, and return the silver rows if there are any.
 
     Rows from files are folded in as a stream, each once; a database table is
-    folded in whole, since its bronze table is replaced by every read.
+    folded in whole, since its bronze table is replaced by every read.  Rows
+    without a whole key are dropped; ``on_rule_counts`` is called for every batch
+    with ``valid_<key>_passed`` and ``valid_<key>_dropped`` (without it the rule
+    can be applied in the scan).
     """
     spec = flow.spec
     order = change_order(spec, sequence_format=sequence_format)
     silver = KeyedSnapshot(spark, flow.silver_path, spec.primary_keys, buckets)
     sort_by = [spec.silver_cluster_by] if spec.silver_cluster_by else []
+    options = {"rules": key_rules(spec.primary_keys), "on_counts": on_rule_counts}
+    options |= {"tie_break": tie_break, "sort_by": sort_by}
     if flow.source_type == JDBC:
-        staged = silver_staging(bronze_rows(spark, flow), spec, on_error)
-        scd1_upsert(silver, staged, order, tie_break=tie_break, sort_by=sort_by)
+        rows = silver_transform(bronze_rows(spark, flow), spec.columns, on_error)
+        scd1_upsert(silver, rows, order, **options)
     else:
         bronze = stream_bronze(spark, flow.bronze_path)
         if bronze is None:
             return silver.read()
-        staged = silver_staging(bronze, spec, on_error)
+        rows = silver_transform(bronze, spec.columns, on_error)
         checkpoint = flow.checkpoint(flow.silver_name)
-        stream_scd1(staged, flow.silver_path, spec.primary_keys, order, checkpoint, tie_break, buckets, sort_by)
+        stream_scd1(rows, flow.silver_path, spec.primary_keys, order, checkpoint, buckets=buckets, **options)
     return silver.read()
 
 
+def cluster_silver(spark: SparkSession, flow: TableFlow, partitions: int | None = None) -> DataFrame | None:
+    """A copy of the silver rows whose files are ranged by the spec's column, for readers that filter by it.
+
+    Silver itself is bucketed by key, so that each of its files spans all values
+    of that column.  The copy replaces the one before.
+    """
+    column, silver = flow.spec.silver_cluster_by, KeyedSnapshot(spark, flow.silver_path, flow.spec.primary_keys).read()
+    if not column:
+        raise ValueError(f"the spec of {flow.spec.name!r} names no column to range silver by")
+    if silver is None:
+        return None
+    replace_table(clustered(silver, [column], partitions), flow.clustered_path)
+    return spark.read.schema(silver.schema).parquet(flow.clustered_path)
+
+
 def run_table(
     spark: SparkSession,
     config: Mapping[str, Any],

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import qualified
+from siltstone.operators.layout import replace_table
 from siltstone.operators.log import append_log, read_log
 from siltstone.sources.audit import AUDIT_COLUMNS, with_audit
 from siltstone.sources.files import (
@@ -193,14 +194,7 @@ def stream_bronze(spark: SparkSession, target: str, max_files: int | None = None
 
 def overwrite_bronze(df: DataFrame, target: str, cluster_by: str | None = None) -> None:
     """Replace a bronze table by a batch read (JDBC); the old rows go once the new ones are all there."""
-    spark, loaded = df.sparkSession, f"{target}_loading"
-    _sorted_by(df, cluster_by).write.mode("overwrite").parquet(loaded)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    old, new = hadoop.Path(target), hadoop.Path(loaded)
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{loaded} could not be renamed to {target}")
+    replace_table(_sorted_by(df, cluster_by), target)
 
 
 def _sorted_by(df: DataFrame, column: str | None) -> DataFrame:
