@@ -1,12 +1,15 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products, connected components.
 
 Vectors are compared only within their label.  A label's cells are fitted on a
-bounded sample (``SAMPLE_ROWS`` vectors); every vector is then indexed, in its
-nearest cell, and meets the vectors of its ``PROBES`` nearest cells.  A pair is
-found if either vector probes the other's cell.  Labels of up to ``SMALL``
-vectors are one cell, so their result is exact; elsewhere recall is measured by
-the tests against brute force.  Products are in double precision, block by
-block, and a block returns counts and a spanning forest, not pairs.
+bounded sample (``SAMPLE_ROWS`` vectors), but no link is lost by that: every
+vector lives in its nearest cell, and meets all cells that can hold a link of
+it, by the cell's angular radius and by the plane between the cell and its own.
+Neighbouring cells are bundled to about ``HOMES`` vectors, so that a vector
+travels once per bundle, and of two bundles one visits the other.  Labels of up
+to ``SMALL`` vectors are one bundle.  Where vectors of a label lie close together
+few bundles are met; scattered ones meet about half of all, and cost grows with
+the square of the label.  Products are in double precision, block by block, and
+a block returns counts and a spanning forest, not pairs.
 
 Defined results: a vector that is null, empty, zero or holds a null or
 non-finite component, or whose label is null, links with nothing; vectors of
@@ -27,11 +30,11 @@ from siltstone.llm.common import arrow_batches, connected_components, store
 THRESHOLD = 0.93
 SAMPLE_ROWS = 8192
 SMALL = 2048
-PROBES = 12
 ROUNDS = 8
 HOMES = 2048
 QUERIES = 4096
 DEAL = 4096
+ROUNDING = 1e-6  # in angles and sines, far above what double precision loses
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -84,8 +87,42 @@ def representatives(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.select("vec_id", "digest"), grouped
 
 
-def assigned(reps: DataFrame) -> DataFrame:
-    """``reps`` with their ``probes``, nearest cell first."""
+def bundles(centres: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bundle of every cell: a chain of nearest centres, cut before ``HOMES`` vectors are passed."""
+    left = np.ones(len(centres), dtype=bool)
+    found = np.zeros(len(centres), dtype=np.int64)
+    at, bundle, held = 0, 0, 0
+    for _ in range(len(centres)):
+        left[at] = False
+        if held and held + sizes[at] > HOMES:
+            bundle, held = bundle + 1, 0
+        found[at], held = bundle, held + sizes[at]
+        at = int(np.where(left, centres @ centres[at], -np.inf).argmax())
+    return found
+
+
+def reachable(vectors: np.ndarray, home: np.ndarray, centres: np.ndarray, radius: np.ndarray, threshold: float) -> np.ndarray:
+    """Which cells (columns) can hold a vector of cosine ``threshold`` to each of ``vectors``.
+
+    Such a vector is within the threshold angle, hence at most that farther from
+    the centre than the cell's ``radius``; and as it is nearer to that centre
+    than to the one of ``home``, so nearly is its partner.
+    """
+    angle = float(np.arccos(np.clip(threshold, -1, 1)))
+    cosine = vectors @ centres.T
+    near = np.arccos(np.clip(cosine, -1, 1)) <= radius + angle + ROUNDING
+    apart = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 0))
+    ahead = cosine[np.arange(len(home)), home][:, None] - cosine
+    return near & (ahead <= apart[home] * np.sin(min(angle, np.pi / 2)) + ROUNDING)
+
+
+def visits(home: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the vectors of bundle ``home`` go to ``other``; of two bundles exactly one visits the other."""
+    return (home == other) | ((home < other) == ((home + other) % 2 == 0))
+
+
+def assigned(reps: DataFrame, threshold: float) -> DataFrame:
+    """``reps`` with the bundles they go to in ``probes``, their own first."""
     sizes = reps.groupBy("group").agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), F.lit(float(SAMPLE_ROWS)) / F.col("n"))
     dealt = reps.join(sizes, "group")
@@ -101,25 +138,69 @@ def assigned(reps: DataFrame) -> DataFrame:
 
     centres = store(sample.groupBy("group").applyInPandas(fit, "group string, centres array<double>"), "centres")
     deals = F.ceil(F.col("n") / DEAL).cast("int")
-    salted = centres.join(sizes, "group").select("group", "centres", F.explode(F.sequence(F.lit(0), deals - 1)).alias("salt"))
+    salt = F.explode(F.sequence(F.lit(0), deals - 1)).alias("salt")
+    salted = centres.join(sizes, "group").select("group", "centres", salt)
     large = dealt.where(F.col("n") > SMALL).withColumn("salt", F.pmod(F.xxhash64("id"), deals).cast("int"))
 
-    def probe(part: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
+    def house(part: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
         if part.empty:
-            return pd.DataFrame({c: [] for c in ("id", "copies", "group", "embedding", "probes")})
+            return pd.DataFrame({c: [] for c in ("id", "copies", "group", "salt", "embedding", "cell", "angle")})
         vectors = unit(np.vstack(part["embedding"]))
-        if len(fitted):
-            middle = np.asarray(fitted["centres"].iloc[0]).reshape(-1, vectors.shape[1])
-            nearest = np.argsort(-(vectors @ middle.T), axis=1, kind="stable")[:, :PROBES]
-        else:
-            nearest = np.zeros((len(part), 1), dtype=np.int64)
-        part = part[["id", "copies", "group", "embedding"]].copy()
+        # A sample may, by a rare chance, be empty: the label is then one cell.
+        middle = np.asarray(fitted["centres"].iloc[0]).reshape(-1, vectors.shape[1]) if len(fitted) else unit(vectors[:1] * 0 + 1)
+        cosine = vectors @ middle.T
+        part = part[["id", "copies", "group", "salt"]].copy()
         part["embedding"] = list(vectors)
-        part["probes"] = [p.tolist() for p in nearest]
+        part["cell"] = cosine.argmax(axis=1)
+        part["angle"] = np.arccos(np.clip(cosine.max(axis=1), -1, 1))
         return part
 
+    schema = "id long, copies long, group string, salt int, embedding array<double>, cell int, angle double"
+    housed = store(large.groupBy("group", "salt").cogroup(salted.groupBy("group", "salt")).applyInPandas(house, schema), "homes")
+    held = housed.groupBy("group", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius"))
+
+    def bundle(part: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
+        if part.empty or fitted.empty:
+            return pd.DataFrame({c: [] for c in ("group", "centres", "radius", "bundle")})
+        count = int(fitted["cells"].iloc[0])
+        middle = np.asarray(fitted["centres"].iloc[0]).reshape(count, -1)
+        radius, rows = np.full(count, -np.inf), np.zeros(count, dtype=np.int64)  # an empty cell is never met
+        radius[part["cell"]], rows[part["cell"]] = part["radius"], part["n"]
+        return pd.DataFrame({
+            "group": [part["group"].iloc[0]], "centres": [middle.ravel().tolist()],
+            "radius": [radius.tolist()], "bundle": [bundles(middle, rows).tolist()],
+        })
+
+    wide = F.element_at(F.split("group", r"\|"), -1).cast("int")
+    counted = centres.withColumn("cells", (F.size("centres") / wide).cast("int"))
+    laid = store(
+        held.groupBy("group").cogroup(counted.groupBy("group")).applyInPandas(
+            bundle, "group string, centres array<double>, radius array<double>, bundle array<int>"
+        ), "bundles",
+    )
+
+    def probe(part: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
+        if part.empty:
+            return pd.DataFrame({c: [] for c in ("id", "copies", "group", "embedding", "probes")})
+        vectors = np.vstack(part["embedding"])
+        kept = part[["id", "copies", "group", "embedding"]].copy()
+        if not len(fitted):
+            kept["probes"] = [[0]] * len(part)
+            return kept
+        middle = np.asarray(fitted["centres"].iloc[0]).reshape(-1, vectors.shape[1])
+        of_cell, cell = np.asarray(fitted["bundle"].iloc[0]), part["cell"].to_numpy()
+        met = reachable(vectors, cell, middle, np.asarray(fitted["radius"].iloc[0]), threshold)
+        order = np.argsort(of_cell, kind="stable")
+        names, starts = np.unique(of_cell[order], return_index=True)
+        met = np.logical_or.reduceat(met[:, order], starts, axis=1)
+        own = of_cell[cell]
+        met &= visits(own[:, None], names[None, :]) & (names[None, :] != own[:, None])
+        kept["probes"] = [[int(o), *names[m].tolist()] for o, m in zip(own, met)]
+        return kept
+
     schema = "id long, copies long, group string, embedding array<double>, probes array<int>"
-    placed = large.groupBy("group", "salt").cogroup(salted.groupBy("group", "salt")).applyInPandas(probe, schema)
+    salted = laid.join(sizes, "group").select("group", "centres", "radius", "bundle", salt)
+    placed = housed.groupBy("group", "salt").cogroup(salted.groupBy("group", "salt")).applyInPandas(probe, schema)
 
     def scale(batches):
         for part in batches:
@@ -133,47 +214,43 @@ def assigned(reps: DataFrame) -> DataFrame:
     return placed.unionByName(small.mapInPandas(scale, schema))
 
 
+def forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the components of rows and columns of a table of links; every row and column is read once."""
+    rows, columns = np.full(hit.shape[0], -1), np.full(hit.shape[1], -1)
+    turned = np.ascontiguousarray(hit.T)
+    for start in np.flatnonzero(hit.any(axis=1)):
+        if rows[start] >= 0:
+            continue
+        rows[start], front = start, np.array([start])
+        while len(front):
+            side = np.flatnonzero(hit[front].any(axis=0) & (columns < 0))
+            columns[side] = start
+            front = np.flatnonzero(turned[side].any(axis=0) & (rows < 0)) if len(side) else side
+            rows[front] = start
+    return rows, columns
+
+
 def compare_block(part: pd.DataFrame, threshold: float = THRESHOLD) -> pd.DataFrame:
     """Links between the homes and the queries of one block: counts for both, and a spanning forest.
 
-    A pair that another cell finds as well is left to the cell of the smaller
-    number; a pair of one cell is counted from its smaller id.
+    Bundles visit each other one way; a pair of one bundle is counted from its smaller id.
     """
     homes, queries = part[part["is_home"]], part[~part["is_home"]]
     if homes.empty or queries.empty:
         return pd.DataFrame({"id": [], "links": [], "hub": []}, dtype="int64")
-    cell = int(part["cell"].iloc[0])
-    cosine = np.vstack(queries["embedding"]) @ np.vstack(homes["embedding"]).T
-    q, h = np.nonzero(cosine >= threshold)
+    hit = np.vstack(queries["embedding"]) @ np.vstack(homes["embedding"]).T >= threshold
     qid, hid = queries["id"].to_numpy(), homes["id"].to_numpy()
-    qhome = np.array([p[0] for p in queries["probes"]])
-    same = qhome[q] == cell
-    keep = ~same | (qid[q] < hid[h])
-    away = np.flatnonzero(keep & ~same)
-    if len(away):
-        probes = [set(p) for p in homes["probes"]]
-        seen_twice = np.array([qhome[q[i]] in probes[h[i]] and qhome[q[i]] < cell for i in away], dtype=bool)
-        keep[away[seen_twice]] = False
-    q, h = q[keep], h[keep]
-    qn, hn = queries["copies"].to_numpy(), homes["copies"].to_numpy()
-    counts = pd.concat([
-        pd.Series(np.bincount(q, hn[h], len(qid)).astype(np.int64), index=qid),
-        pd.Series(np.bincount(h, qn[q], len(hid)).astype(np.int64), index=hid),
-    ]).groupby(level=0).sum()
-    counts = counts[counts > 0]
-    parent = {int(i): int(i) for i in counts.index}
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for a, b in zip(qid[q].tolist(), hid[h].tolist()):
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-    return pd.DataFrame({"id": counts.index, "links": counts.values, "hub": [root(int(i)) for i in counts.index]}, dtype="int64")
+    same = (queries["home"] == queries["cell"]).to_numpy()
+    hit &= np.where(same[:, None], qid[:, None] < hid[None, :], qid[:, None] != hid[None, :])
+    linked, others = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    hit, qid, hid = hit[np.ix_(linked, others)], qid[linked], hid[others]
+    qn, hn = queries["copies"].to_numpy()[linked], homes["copies"].to_numpy()[others]
+    rows, columns = forest(hit)
+    ids, component = np.concatenate([qid, hid]), np.concatenate([rows, columns])
+    hub = np.full(len(qid), np.iinfo(np.int64).max)
+    np.minimum.at(hub, component, ids)
+    links = np.concatenate([hit @ hn, qn @ hit])
+    return pd.DataFrame({"id": ids, "links": links, "hub": hub[component]}, dtype="int64")
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -182,14 +259,14 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
     marked, grouped = representatives(vectors)
     marked = store(marked, "digests")
     reps = store(grouped, "vectors")
-    placed = store(assigned(reps), "probes")
-    columns = ["group", "id", "copies", "embedding", "probes"]
-    homes = placed.select(*columns, F.col("probes")[0].alias("cell"))
+    placed = store(assigned(reps, threshold).withColumn("home", F.col("probes")[0]), "probes")
+    columns = ["group", "id", "copies", "embedding", "home"]
+    homes = placed.select(*columns, F.col("home").alias("cell"))
     queries = placed.select(*columns, F.explode("probes").alias("cell"))
-    # Chunks of a cell: every chunk of homes meets every chunk of queries, each in a block of bounded size.
+    # Chunks of a bundle: every chunk of homes meets every chunk of queries, each in a block of bounded size.
     sizes = store(
         queries.groupBy("group", "cell").agg(
-            F.count("*").alias("n_query"), F.count_if(F.col("probes")[0] == F.col("cell")).alias("n_home")
+            F.count("*").alias("n_query"), F.count_if(F.col("home") == F.col("cell")).alias("n_home")
         ), "cells",
     ).select(
         "group", "cell",

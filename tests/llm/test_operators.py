@@ -248,6 +248,21 @@ def test_cells_find_the_links_of_large_labels(spark):
     assert all(found[i] <= want[i] for i in want) and sum(found.values()) >= 0.97 * sum(want.values())
 
 
+def test_a_dense_third_of_a_large_label_loses_no_link(spark):
+    rng = np.random.default_rng(6)
+    dense = rng.normal(size=64) + 0.228 * rng.normal(size=(2000, 64))  # mutual cosine about 0.95
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.vstack([rng.normal(size=(4000, 64)), dense]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = brute.near_vectors([(i, np.float32(v).tolist(), label) for i, v, label in rows])
+    # More cells than a fixed number of probes would meet, and blocks of several chunks.
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(vectors, "cell_count", lambda n: 90)
+        patch.setattr(vectors, "HOMES", 300)
+        patch.setattr(vectors, "QUERIES", 500)
+        found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicate_vectors(df).collect()}
+    assert found == want
+
+
 def test_pipeline(spark, documents):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     docs, places = documents, {}
