@@ -61,29 +61,39 @@ def family(lang: str) -> str:
 _MIX = tuple(np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
 
 
-def gram_buckets(flat: np.ndarray) -> list[np.ndarray]:
-    """The bucket of the 1-, 2- and 3-gram that ends at every byte."""
+def gram_buckets(flat: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """The bucket of the 1-, 2- and 3-gram that ends at every byte; none reaches over one of ``starts``, where texts begin."""
     shift = np.uint32(32 - 12)
     code = flat.astype(np.uint32)
     found = [(code + np.uint32(1)) * _MIX[0] >> shift]
     for n in (1, 2):
         code = code.copy()
-        code[n:] += flat[:-n].astype(np.uint32) << np.uint32(8 * n)
+        before = flat[:-n].astype(np.uint32) << np.uint32(8 * n)
+        for k in range(n):
+            foreign = starts + (k - n)
+            before[foreign[(foreign >= 0) & (foreign < len(before))]] = 0
+        code[n:] += before
         found.append((code * np.uint32(2) + np.uint32(n)) * _MIX[n] >> shift)
     return found
 
 
 def _profile_slices(flat: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Buckets of slices of bytes, with the rows that begin or go on in each and where."""
-    for low in range(0, len(flat), SLICE):
-        high = min(len(flat), low + SLICE)
+    """Buckets of slices of bytes, with the rows that begin or go on in each and where.
+
+    A text is cut only if it is longer than a slice, and by its own length, so its sums do not depend on its neighbours.
+    """
+    low = int(offsets[0])
+    while low < offsets[-1]:
+        high = int(offsets[np.searchsorted(offsets, low + SLICE, "right") - 1])
+        high = high if high > low else low + SLICE
         first = int(np.searchsorted(offsets, low, "right")) - 1
         last = int(np.searchsorted(offsets, high, "left"))
         rows = np.arange(first, last)
         rows = rows[offsets[rows + 1] > offsets[rows]]
         at = np.maximum(offsets[rows], low) - low
         back = min(low, 2)
-        yield rows, at, [b[back:] for b in gram_buckets(flat[low - back : high])]
+        yield rows, at, [b[back:] for b in gram_buckets(flat[low - back : high], offsets[rows] - (low - back))]
+        low = high
 
 
 def profiles(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -92,8 +102,9 @@ def profiles(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for i in range(len(offsets) - 1):
         text = flat[offsets[i] : offsets[i + 1]]
         for low in range(0, len(text), SLICE):
-            for buckets in gram_buckets(text[low : low + SLICE]):
-                counts[i] += np.bincount(buckets, minlength=BUCKETS).astype(np.float32)
+            back = min(low, 2)
+            for buckets in gram_buckets(text[low - back : low + SLICE], np.array([back - low])):
+                counts[i] += np.bincount(buckets[back:], minlength=BUCKETS).astype(np.float32)
     return counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
 
 

@@ -156,6 +156,27 @@ def test_language(spark, documents):
     assert language.family("pt-BR") == "romance" and language.family("xx") == "xx"
 
 
+def test_a_prediction_does_not_depend_on_the_row_before(monkeypatch):
+    monkeypatch.setattr(language, "SLICE", 40)
+    rng = np.random.default_rng(2)
+    texts = [b"", b"a", b"ab", b"abc", b"", b"z", "\u00fcber".encode(), b"x" * 40, b"hello there " * 9, b"q", b"y" * 41, b"two words", b"abc"]
+
+    def column(parts):
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+
+    weights = rng.normal(size=(language.BUCKETS, 6)).astype(np.float32)
+    pairs = [(f"family {a}", f"family {b}") for a, b in (("germanic", "romance"), ("germanic", "slavic"), ("romance", "slavic"))]
+    pairs += [("de", "en"), ("es", "fr"), ("pl", "ru")]
+    model = language.Model(["de", "en", "es", "fr", "pl", "ru"], weights, np.zeros(6), pairs)
+    alone = [language.projected(*column([t]), weights)[0] for t in texts]
+    assert np.allclose(alone, language.profiles(*column(texts)) @ weights, atol=1e-5)
+    for before in (b"", b"w", b"other words", b"v" * 39, b"u" * 100):
+        for text, want in zip(texts, alone):
+            assert (language.projected(*column([before, text]), weights)[1] == want).all()
+            assert [x[1] for x in model.predict(*column([before, text]))] == [x[0] for x in model.predict(*column([text]))]
+    assert (language.projected(*column(texts), weights) == np.array(alone)).all()
+
+
 def test_scores(spark, documents):
     for docs in (documents, frame(spark, ODD)):
         want = brute.base_scores(pairs(docs))
