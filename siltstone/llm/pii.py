@@ -49,6 +49,14 @@ SYLLABLES = {
 ENDINGS = {"latin": {"m": "n", "f": "ra", "n": "l"}, "cyrillic": {"m": "н", "f": "ра", "n": "л"}}
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя"]
 HEX_LETTERS = "abcdef"
+# Lengths of IBANs by country; of another country any length is one.
+_LENGTHS = """
+    15 NO 16 BE 18 DK FI FK FO GL NL SD 19 MK SI 20 AT BA EE KZ LT LU MN XK 21 CH HR LI LV 22 BG BH CR DE GB GE IE ME RS VA
+    23 AE GI IL IQ OM SO 24 AD CZ ES MD PK RO SA SE SK TN VG 25 LY PT ST 26 IS TR 27 BI DJ FR GR IT MC MR SM
+    28 AL AZ BY CY DO GT HU LB NI PL SV 29 BR EG PS QA UA 30 JO KW MU YE 31 MT SC 32 LC 33 RU
+"""
+
+IBAN_LENGTHS = {c: int(n) for n, codes in re.findall(r"(\d+)((?:\s+[A-Z]{2})+)", _LENGTHS) for c in codes.split()}
 
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 _AT_DOMAIN = re.compile(r"@[\w\-]+(?:\.[\w\-]+)*\.[^\W\d_]{2,}")
@@ -57,7 +65,7 @@ _TOKEN = re.compile(
         (?:"(?P<a>[\w\-+/=.]{8,})"|'(?P<b>[\w\-+/=.]{8,})'|(?P<c>[A-Za-z0-9_\-+/]{16,}))"""
 )
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-_CARD = re.compile(r"(?<![\w.\-])\d(?:[ \-]?\d){12,18}(?![\w\-]|\.\d)")
+_CARD = re.compile(r"(?<![\w.\-])\d(?:[ \-]?\d){12,18}(?!\w|-(?!\d)|\.\d)")
 _SSN = re.compile(r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])")
 _PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}|(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4})(?![\w])")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
@@ -80,6 +88,33 @@ def iban_rest(body: str) -> int:
     return int("".join(str(int(c, 36)) for c in body)) % 97
 
 
+def prefixes(written: str) -> list[str]:
+    """``written`` and its beginnings that end before a separator, longest first."""
+    return [written, *(written[:i] for i in range(len(written) - 1, 0, -1) if written[i] in " -")]
+
+
+def card_in(written: str) -> str | None:
+    """The longest beginning of ``written`` that is a card number; an expiry date or a code may follow it."""
+    for part in prefixes(written):
+        digits = re.sub(r"\D", "", part)
+        if len(digits) >= 13 and luhn(digits) and len(set(digits)) > 1:
+            return part
+    return None
+
+
+def iban_in(written: str) -> str | None:
+    """The beginning of ``written`` that is an IBAN, rather of its country's length; a currency or other words may follow it."""
+    valid = {}
+    for part in prefixes(written):
+        body = part.replace(" ", "")
+        if 15 <= len(body) <= 34 and iban_rest(body[4:] + body[:4]) == 1:
+            valid[len(body)] = part
+    length = IBAN_LENGTHS.get(written[:2])
+    if length in valid:
+        return valid[length]
+    return max(valid.values(), key=len, default=None) if length is None else valid.get(len(written.replace(" ", "")))
+
+
 def permuted(key: bytes, tweak: str, values: list[int], radices: list[int]) -> list[int]:
     """A keyed permutation of mixed-radix numbers: two halves, each shifted in turn by a keyed hash of the other."""
     half = len(values) // 2
@@ -184,14 +219,18 @@ def find(text: str) -> list[Span]:
             hexed = value.lower()
             add(*m.span(group), "token", hexed if all(c in "0123456789abcdef" for c in hexed) else value)
     if any(c in text for c in "0123456789"):
-        for m in _IBAN.finditer(text):
-            body = m[0].replace(" ", "")
-            if 15 <= len(body) <= 34 and iban_rest(body[4:] + body[:4]) == 1:
-                add(*m.span(), "iban", body)
-        for m in _CARD.finditer(text):
-            digits = re.sub(r"\D", "", m[0])
-            if luhn(digits) and len(set(digits)) > 1:
-                add(*m.span(), "card", digits)
+        at = 0
+        while m := _IBAN.search(text, at):
+            iban = iban_in(m[0])
+            at = m.start() + len(iban or " ")
+            if iban:
+                add(m.start(), at, "iban", iban.replace(" ", ""))
+        at = 0
+        while m := _CARD.search(text, at):
+            card = card_in(m[0])
+            at = m.start() + len(card or m[0])
+            if card:
+                add(m.start(), at, "card", re.sub(r"\D", "", card))
         for m in _SSN.finditer(text):
             add(*m.span(), "ssn", re.sub(r"\D", "", m[0]))
         for m in _PHONE.finditer(text):

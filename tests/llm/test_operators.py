@@ -232,6 +232,30 @@ def test_entities_of_long_texts_are_found_in_order():
     assert [close[s:e] for s, e, _, _ in pii.find(close)] == ["a@b.com", ".x@y.org", "a.b+c@d-e.co.uk"]
 
 
+CARD, IBAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    (f"card {CARD} 12/27 end", [CARD]), (f"{CARD} 123", [CARD]), (f"{CARD} 12-27 123", [CARD]), (f"{CARD} 1227 123", [CARD]),
+    ("4111-1111-1111-1111-123", ["4111-1111-1111-1111"]), ("4111-1111-1111-1111-1227", ["4111-1111-1111-1111"]),
+    ("4111111111111111 12/27", ["4111111111111111"]), ("3782 822463 10005 12/27", ["3782 822463 10005"]), ("4111 1111 1111 1112 12/27", []),
+    (f"{IBAN} EUR", [IBAN]), (f"{IBAN} EURO PAID", [IBAN]), ("ES9121000418450200051332 EUR", ["ES9121000418450200051332"]),
+    ("BE68 5390 0754 7034 EUR 12", ["BE68 5390 0754 7034"]), ("DE89 3704 0044 0532 0130 00 EUR", ["DE89 3704 0044 0532 0130 00"]),
+    (f"{IBAN} DE89 3704 0044 0532 0130 00", [IBAN, "DE89 3704 0044 0532 0130 00"]), ("ES91 2100 0418 4502 0005 1333 EUR", []),
+])
+def test_numbers_with_check_digits_are_found_before_other_words(text, want):
+    assert [text[s:e] for s, e, _, _ in pii.find(text)] == want
+    new, spans = pii.rewrite(text, b"k", {})
+    assert len(new) == len(text) and not any(w in new for w in want)
+    assert {entity for _, _, _, entity in spans} == {"".join(c for c in w if c.isalnum()) for w in want}
+
+
+def test_redaction_of_cards_with_expiry_and_ibans_with_currency(spark):
+    rows = {r.doc_id: r for r in pii.redact(frame(spark, [(1, f"{CARD} 12/27"), (2, CARD), (3, f"{IBAN} EUR"), (4, IBAN)])).collect()}
+    assert rows[1].text == rows[2].text + " 12/27" and rows[2].text != CARD
+    assert rows[3].text == rows[4].text + " EUR" and rows[4].text != IBAN
+
+
 def test_names_never_run_out(spark):
     key = b"k"
     assert len({pii.surrogate(key, "surname", "smith", draw) for draw in range(12)}) == 12
