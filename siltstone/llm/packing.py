@@ -242,7 +242,10 @@ def plan_bins(counts: list[int], capacity: int, nodes: int = SEARCH_NODES) -> Pl
     Depth-first over the fillings around the largest size left.  A branch ends
     when its waste exceeds what a packing better than the incumbent may waste.
     The incumbent starts as best-fit; the search stops at the lower bound or
-    after ``nodes`` bins tried, so the plan is always complete.
+    after ``nodes`` bins tried, so the plan is always complete.  It is not
+    exhaustive below that either: a bin has at most three fillings to branch on,
+    one from 40 patterns on, they come from some 60 steps of enumeration or 12
+    found (4 when one is taken), and a pattern is used as often as it fits.
     """
     best = best_fit(counts, capacity)
     bound = lower_bound(counts, capacity)
