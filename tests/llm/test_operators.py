@@ -318,3 +318,18 @@ def test_pipeline(spark, documents):
         before, docs = docs, common.store(stage(spark, docs, SF_DIR), "stage")
         assert docs.columns == documents.columns and docs.count() <= before.count()
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
+
+
+def test_filtering_stages_match_plain_versions(spark, documents):
+    docs = pairs(documents)
+    plain = brute.near_duplicates(docs, corpus_pipeline.SIMILARITY)
+    kept = {i for i, _ in docs if i not in plain or plain[i][2]}
+    found = {r.doc_id for r in corpus_pipeline.near_dedup(spark, documents, SF_DIR).select("doc_id").collect()}
+    assert found == kept and len(found) < len(docs)
+    items = [brute.shingle_set(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect() if r.text]
+    sets = {i: brute.shingle_set(t) if t else set() for i, t in docs}
+    clean = {i for i, s in sets.items() if not any(item and 100 * len(item & s) >= 80 * len(item) for item in items)}
+    found = {r.doc_id for r in corpus_pipeline.decontaminate(spark, documents, SF_DIR).select("doc_id").collect()}
+    assert found == clean and len(found) < len(docs)
+    lettered = {i for i, t in docs if any(c.isalpha() for c in t or "")}
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, documents, SF_DIR).select("doc_id").collect()} == lettered
