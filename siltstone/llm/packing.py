@@ -70,6 +70,11 @@ def ascii_encoder(described: dict, pattern: str) -> Callable[[str], list[int]] |
     return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+def lone_blanks(text: str) -> list[str]:
+    """``text`` cut at every space that stands between two other characters."""
+    return _LONE_BLANK.split(text)
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
@@ -108,7 +113,7 @@ class Encoder:
             self.known.update(zip(part, self._ids([" " + w for w in part])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_LONE_BLANK.split(t) if beside_blank(t) else t.split(" ") for t in texts]
+        split = [lone_blanks(t) if beside_blank(t) else t.split(" ") for t in texts]
         new = set()
         for words in split:
             new.update(words[1:])

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import archive, decontamination, language, language_model, near_dup, packing, pii, repeats, sharding, vectors
+from siltstone.llm import (
+    alignment, archive, decontamination, language, language_model, near_dup, packing, phrases, pii, repeats, secrets, sharding, vectors,
+)
 from siltstone.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +100,21 @@ def op7_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_incidence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_dynamic_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_dynamic_phrases"] = phrases.ORACLE_SQL
+
+
+@query
+def op13_layered_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
