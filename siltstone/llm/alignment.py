@@ -40,7 +40,7 @@ from siltstone.llm.packing import beside_blank, lone_blanks
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 10_000_000
 # Segments encoded at a time.
 JOINED = 200
 # Entries that a product expands at a time.
@@ -227,9 +227,10 @@ class Pair:
 
     def of_texts(self, texts: list[str | None]) -> tuple[Segments, list[np.ndarray]]:
         """The distinct segments of some texts, aligned, and every text's segments; none where the tokens do not give its bytes."""
-        split = [self.segments(t) if t else [] for t in texts]
         number: dict[str, int] = {}
-        numbers = [np.array([number.setdefault(s, len(number)) for s in x], dtype=np.int64) for x in split]
+        numbers = [
+            np.array([number.setdefault(s, len(number)) for s in (self.segments(t) if t else ())], dtype=np.int64) for t in texts
+        ]
         held, places = self.aligned(list(number))
         if (places < 0).any():
             # The whole text decides: bytes that one segment lacks could stand in another.
