@@ -129,9 +129,12 @@ def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, length
     ``reached`` has each cell's scan, ``lengths`` the lengths of phrases that
     have reached the threshold within the last cycle.
     """
-    cells = len(reached)
+    cells, sent = len(reached), squeezed(reached.tobytes())
+    table = np.zeros(0, np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nonlocal table
+        table = loosened(sent)
         for batch in batches:
             for r in batch.to_pylist():
                 yield from of_batch(r)
@@ -157,7 +160,7 @@ def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, length
         for size in range(2, max(lengths) + 2):
             # When the phrases of one word less reached the threshold, at each place.
             first, second = cells_of(phrase, cells)
-            when = np.maximum(reached[first], reached[second])
+            when = np.maximum(table[first], table[second])
             if size - 1 in lengths:
                 start = np.maximum(when[:-1], when[1:]).astype(np.int64)[: max(0, len(ids) - size + 1)] + 1
                 whole = piece[: len(start)] == piece[size - 1 :]
