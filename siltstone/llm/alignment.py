@@ -40,11 +40,13 @@ from siltstone.llm.packing import beside_blank, lone_blanks
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
-BATCH_BYTES = 10_000_000
+BATCH_BYTES = 8_000_000
 # Segments encoded at a time.
 JOINED = 200
+# Texts whose encodings, with all that the tokenizer notes of them, are held at a time.
+AT_ONCE = 20
 # Entries that a product expands at a time.
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -124,7 +126,7 @@ class Segments:
         a_first, b_first = np.searchsorted(a_begins, ends), np.searchsorted(b_begins, ends)
         linked = list(product(incidence(a_begins), incidence(b_begins).transposed()))
         rows, columns = (np.concatenate([x[k] for x in linked] or [np.zeros(0, np.int64)]) for k in range(2))
-        self.links = (a[rows] << 32) | b[columns]
+        self.links = (a[rows].astype(np.int64) << 32) | b[columns]
         link_first = np.searchsorted(rows, a_first)
         bounds = shared_ends(a_begins, b_begins)
         by_a, by_b = grouped(a_begins, bounds), grouped(b_begins, bounds)
@@ -185,15 +187,15 @@ class Pair:
         single = not (text.endswith(" ") or text[0].isspace() or beside_blank(text))
         return text.split(" ") if single else lone_blanks(text)
 
-    def covering(self, texts: list[str]) -> list[tuple[bytes, np.ndarray, np.ndarray] | None]:
+    def covering(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray] | None]:
         """The bytes of the space and each text and the ids of both, ``None`` where their bytes are others."""
-        found = []
-        a_ids = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, encoded, b in zip(texts, a_ids, self.b.encode(texts, num_threads=1)):
-            plain, a = (" " + text).encode(), encoded.ids
-            covered = b"".join(map(self.a_bytes.__getitem__, a)) == plain == b"".join(map(self.b_bytes.__getitem__, b))
-            found.append((plain, np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)) if covered else None)
-        return found
+        for at in range(0, len(texts), AT_ONCE):
+            part = texts[at : at + AT_ONCE]
+            a_ids = self.a.encode_batch_fast([" " + t for t in part], add_special_tokens=False)
+            for text, encoded, b in zip(part, a_ids, self.b.encode(part, num_threads=1)):
+                plain, a = (" " + text).encode(), encoded.ids
+                covered = b"".join(map(self.a_bytes.__getitem__, a)) == plain == b"".join(map(self.b_bytes.__getitem__, b))
+                yield (plain, np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)) if covered else None
 
     def aligned(self, segments: list[str]) -> tuple[Segments, np.ndarray]:
         """The alignment of those segments that the tokens cover, and every segment's place in it (-1: not covered).
@@ -222,7 +224,7 @@ class Pair:
                 b.append(found[2])
         places = np.full(len(segments), -1, dtype=np.int64)
         places[order] = np.arange(len(order))
-        none = [np.zeros(0, np.int64)]
+        none = [np.zeros(0, np.int32)]
         return Segments(self, np.array(sizes, dtype=np.int64), np.concatenate(a or none), np.concatenate(b or none)), places
 
     def of_texts(self, texts: list[str | None]) -> tuple[Segments, list[np.ndarray]]:
@@ -357,7 +359,7 @@ def links(docs: DataFrame, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataFr
         pair = tokenizer_pair(a, b)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = pair.covering([text])[0] if text else None
+                found = next(pair.covering([text])) if text else None
                 if found is None:
                     continue
                 _, x, y = found

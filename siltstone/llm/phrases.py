@@ -130,16 +130,14 @@ def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, length
     have reached the threshold within the last cycle.
     """
     cells, sent = len(reached), squeezed(reached.tobytes())
-    table = np.zeros(0, np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nonlocal table
         table = loosened(sent)
         for batch in batches:
             for r in batch.to_pylist():
-                yield from of_batch(r)
+                yield from of_batch(r, table)
 
-    def of_batch(r: dict) -> Iterator[pa.RecordBatch]:
+    def of_batch(r: dict, table: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids = unpacked(r["ids"]).astype(np.int64)
         at = np.concatenate([[0], np.cumsum(unpacked(r["sizes"]).astype(np.int64))])
         letters = loosened(r["words"])
