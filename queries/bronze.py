@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.tables import (
@@ -198,9 +198,79 @@ def ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.unionAll(bare).toDF("s_suppkey", "s_name", "third", "_rescued")
 
 
+def odd_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders that hold a column, and names that would match others if they were taken for patterns."""
+    root = scratch_dir(spark, "bronze_odd_paths")
+    supplier = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    raw = f"{root}/raw/raw_supplier"
+    for part, folder in enumerate(("area=a*", "area=ab", "area=a b [1]{x}?", "area=__HIVE_DEFAULT_PARTITION__")):
+        rows = supplier.filter(F.col("s_suppkey") % 4 == part)
+        rows.write.options(header="true").csv(f"{raw}/{folder}")
+    config = _config("supplier", SUPPLIER_COLUMNS[:3], ["s_suppkey"], CSV)
+    bronze = _ingested(spark, config, "supplier", root)
+    return silver_transform(bronze, table_spec(config, "supplier").columns).select("s_suppkey", "s_name", "s_nationkey", "area")
+
+
+def nested_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose nested fields grow, change their kind and lose their type from one delivery to the next."""
+    root = scratch_dir(spark, "bronze_nested")
+    supplier = read(spark, sf_dir, "supplier")
+    key, name, nation = F.col("s_suppkey"), F.col("s_name"), F.col("s_nationkey")
+    first = supplier.filter(key % 2 == 0).select(
+        key.alias("id"), F.struct(name.alias("name"), F.struct(nation.alias("nation")).alias("at")).alias("who"),
+        F.array(F.struct(nation.alias("n"))).alias("list"), name.alias("note"),
+    )
+    text = F.when(key % 3 == 0, F.lit("none")).otherwise(nation.cast("string"))
+    later = supplier.filter(key % 2 == 1).select(
+        key.alias("id"),
+        F.struct(name.alias("name"), F.struct(text.alias("nation"), key.alias("street")).alias("at"), nation.alias("rank")).alias("who"),
+        F.array(F.struct(nation.alias("n"), key.alias("m"))).alias("list"), F.struct(key.alias("key")).alias("note"),
+    )
+    hints = "id BIGINT, who STRUCT<name: STRING, at: STRUCT<nation: INT>>, note STRING"
+    config = _config("supplier", [], ["id"], {"cloudFiles.format": "json", "cloudFiles.schemaHints": hints} | ADD_COLUMNS)
+    for delivery in (first, later):
+        delivery.write.mode("append").json(f"{root}/raw/raw_supplier")
+        bronze = _ingested(spark, config, "supplier", root)
+    return bronze.select(
+        "id", "who.name", "who.at.nation", F.col("who.at.street").alias("street"), F.col("who.rank").alias("rank"),
+        F.col("list")[0]["n"].alias("n"), F.col("list")[0]["m"].alias("m"), "note", "_rescued_data",
+    )
+
+
+HEADERS = 40
+
+
+def many_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file has a header of its own: another order of the columns, and one column that no other file has."""
+    root = scratch_dir(spark, "bronze_many_headers")
+    names = ["c_custkey", "c_name", "c_nationkey"]
+
+    def line(values: dict) -> Column:
+        """The values in one of six orders, by the number of the file."""
+        found = []
+        for k in range(6):
+            order = names[k % 3 :] + names[: k % 3]
+            order = ["own", *order] if k % 2 else [*order, "own"]
+            found.append(F.when(F.col("file") % 6 == k, F.concat_ws(",", *(values[n] for n in order))))
+        return F.coalesce(*found).alias("line")
+
+    key = F.col("c_custkey")
+    rows = read(spark, sf_dir, "customer").withColumn("file", key % HEADERS)
+    rows = rows.select("file", line({n: F.col(n) for n in names} | {"own": key + F.col("file")}), F.lit(1).alias("place"))
+    header = line({n: F.lit(n) for n in names} | {"own": F.concat(F.lit("own_"), "file")})
+    headers = spark.range(HEADERS).withColumnRenamed("id", "file").select("file", header, F.lit(0).alias("place"))
+    placed = rows.unionAll(headers).repartition(HEADERS, "file").sortWithinPartitions("file", "place").select("file", "line")
+    placed.write.partitionBy("file").text(f"{root}/raw/raw_customer")
+    bronze = _ingested(spark, _config("customer", [], ["c_custkey"], CSV | ADD_COLUMNS), "customer", root)
+    own = F.coalesce(*(F.col(f"own_{k}") for k in range(HEADERS)))
+    return bronze.select(key.cast("bigint"), "c_name", F.col("c_nationkey").cast("bigint"), own.cast("bigint").alias("own"))
+
+
 # The database stand-in: a named in-memory database inside the one process of a
 # local session.  A cluster sets these to reach a database of its own.
 DATABASE_CONF = {"url": "siltstone.check.jdbc.url", "driver": "siltstone.check.jdbc.driver"}
+# Reads are split on the name, a text.
+BY_NAME = {"fetchsize": 1000, "partitionColumn": '"s_name"', "numPartitions": 4}
 EMBEDDED = {"url": "jdbc:derby:memory:siltstone;create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
 
@@ -223,7 +293,7 @@ def database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The database table replaces its bronze table; a second read changes nothing."""
     root = scratch_dir(spark, "bronze_jdbc")
     connection = _supplier_table(spark, sf_dir)
-    options = jdbc_options(connection, user="app", password="app")
+    options = jdbc_options(connection | BY_NAME, user="app", password="app")
     flow = table_flow(spark, _config("supplier", SUPPLIER_COLUMNS, ["s_suppkey"], {}), "supplier", root, "jdbc")
     for _ in range(2):
         ingest_table(spark, flow, jdbc=options, as_of=LOADED_AT)
@@ -255,7 +325,7 @@ def switched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One spec, both kinds of source, two bronze tables."""
     root = scratch_dir(spark, "bronze_switch")
     config = _config("supplier", SUPPLIER_COLUMNS, ["s_suppkey"], CSV)
-    options = jdbc_options(_supplier_table(spark, sf_dir), user="app", password="app")
+    options = jdbc_options(_supplier_table(spark, sf_dir) | BY_NAME, user="app", password="app")
     _write_csv(read(spark, sf_dir, "supplier"), f"{root}/raw/raw_supplier")
     tables = []
     for source_type in ("s3", "jdbc"):
@@ -329,7 +399,7 @@ def database_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read(spark, sf_dir, "supplier")
     changed = supplier.filter(F.col("s_nationkey") < 12).withColumn("s_acctbal", F.col("s_acctbal") + 1000)
     for day, load in enumerate((supplier, changed)):
-        options = jdbc_options(_database_table(spark, load), user="app", password="app")
+        options = jdbc_options(_database_table(spark, load) | BY_NAME, user="app", password="app")
         at = LOADED_AT + timedelta(days=day)
         silver = run_table(spark, config, "supplier", root, source_type="jdbc", jdbc=options, as_of=at, buckets=BUCKETS)
     return comparable(silver.drop("ingested_date", "source_file"))
@@ -386,6 +456,9 @@ QUERIES = {
     "medallion_rule_counts": medallion_rule_counts,
     "medallion_clustered": medallion_clustered,
     "bronze_source_switch": switched,
+    "bronze_odd_paths": odd_paths,
+    "bronze_nested_evolution": nested_evolution,
+    "bronze_many_headers": many_headers,
     "clustered_write": clustered_write,
     "medallion_e2e": end_to_end,
     "medallion_jdbc": database_end_to_end,
@@ -429,6 +502,23 @@ ORACLE = {
         FROM supplier
         UNION ALL
         SELECT CAST(s_suppkey AS VARCHAR), s_name, CASE WHEN s_suppkey % 2 = 1 THEN 'third' END, NULL FROM supplier""",
+    "bronze_odd_paths": """
+        SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, s_nationkey,
+               CASE s_suppkey % 4 WHEN 0 THEN 'a*' WHEN 1 THEN 'ab' WHEN 2 THEN 'a b [1]{x}?' END AS area
+        FROM supplier""",
+    "bronze_nested_evolution": """
+        SELECT s_suppkey AS id, s_name AS name,
+               CASE WHEN s_suppkey % 2 = 0 OR s_suppkey % 3 <> 0 THEN s_nationkey END AS nation,
+               CASE WHEN s_suppkey % 2 = 1 THEN CAST(s_suppkey AS VARCHAR) END AS street,
+               CASE WHEN s_suppkey % 2 = 1 THEN CAST(s_nationkey AS VARCHAR) END AS rank,
+               CAST(s_nationkey AS VARCHAR) AS n,
+               CASE WHEN s_suppkey % 2 = 1 THEN CAST(s_suppkey AS VARCHAR) END AS m,
+               CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE '{"key":' || s_suppkey || '}' END AS note,
+               CASE WHEN s_suppkey % 6 = 3 THEN '{"who.at.nation":"none"}' END AS _rescued_data
+        FROM supplier""",
+    "bronze_many_headers": """
+        SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_custkey + c_custkey % 40 AS own
+        FROM customer""",
     "medallion_rule_counts": """
         SELECT count(*) FILTER (c_custkey % 7 <> 0) AS passed, count(*) FILTER (c_custkey % 7 = 0) AS dropped
         FROM customer""",

@@ -9,13 +9,3 @@ from pyspark.sql import functions as F
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Whole seconds that passed from ``start`` to ``end``; null if either is."""
     return F.timestamp_diff("SECOND", start, end)
-
-
-def json_at(document: Column, path: str) -> Column:
-    """Text at a dotted ``path`` (``a.b.c``) of a JSON document."""
-    return F.get_json_object(document, f"$.{path}")
-
-
-def json_count_at(document: Column, path: str) -> Column:
-    """Whole number at ``path``; null where it is absent or malformed."""
-    return json_at(document, path).try_cast("bigint")

@@ -28,15 +28,3 @@ def write_clustered(
     df: DataFrame, path: str, columns: Sequence[str], partitions: int | None = None, mode: str = "overwrite"
 ) -> None:
     clustered(df, columns, partitions).write.mode(mode).parquet(path)
-
-
-def replace_table(df: DataFrame, path: str) -> None:
-    """Replace the files at ``path``; the old ones go once the new ones are all there."""
-    spark, loaded = df.sparkSession, f"{path}_loading"
-    df.write.mode("overwrite").parquet(loaded)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    old, new = hadoop.Path(path), hadoop.Path(loaded)
-    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{loaded} could not be renamed to {path}")

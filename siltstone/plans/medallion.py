@@ -10,7 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators.latest import change_order
-from siltstone.operators.layout import clustered, replace_table
+from siltstone.operators.layout import clustered
+from siltstone.operators.loads import read_table, replace_table
 from siltstone.operators.merge import scd1_upsert
 from siltstone.operators.silver import key_rules, silver_transform
 from siltstone.operators.snapshot import KeyedSnapshot
@@ -154,7 +155,7 @@ def cluster_silver(spark: SparkSession, flow: TableFlow, partitions: int | None
     if silver is None:
         return None
     replace_table(clustered(silver, [column], partitions), flow.clustered_path)
-    return spark.read.schema(silver.schema).parquet(flow.clustered_path)
+    return read_table(spark, flow.clustered_path)
 
 
 def run_table(
@@ -179,5 +180,5 @@ def run_table(
 def bronze_rows(spark: SparkSession, flow: TableFlow) -> DataFrame | None:
     """The bronze table of a flow; ``None`` if nothing has arrived yet."""
     if flow.source_type == JDBC:
-        return spark.read.parquet(flow.bronze_path)
+        return read_table(spark, flow.bronze_path)
     return read_bronze(spark, flow.bronze_path)

@@ -9,20 +9,18 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions import qualified
-from siltstone.operators.union import union_frames
 from siltstone.session import settings
+from siltstone.sources.conversion import RECORD
 
 SOURCE_PATH = "__source_path"
-# A CSV record that has more or fewer values than there are columns, as it was read.
-RECORD = "__record"
-# What a whole record is called among the rescued values.
-RECORD_NAME = "_record"
 FORMATS = ("csv", "json", "parquet")
 
 # The option names a spec may use, with or without the prefix.
@@ -33,6 +31,8 @@ EVOLUTION_OPTION = "schemaEvolutionMode"
 HINTS_OPTION = "schemaHints"
 RESCUED_OPTION = "rescuedDataColumn"
 ADD_NEW_COLUMNS = "addNewColumns"
+# Fixed value: what stands for null in a ``name=value`` folder.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 # Without added columns the first files fix them; "rescue" keeps misfits where a rescued column is named.
 EVOLUTION_MODES = (None, "none", "rescue", ADD_NEW_COLUMNS)
 
@@ -90,76 +90,87 @@ def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
     return T.StructType(fields + list(wanted.values()))
 
 
-def file_groups(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> list[list[str]]:
-    """``paths`` in groups whose files can be scanned with one schema.
+def literal(path: str) -> str:
+    """``path`` as a reader's argument: readers take paths for patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def named(paths: Sequence[str]) -> list[str]:
+    return [literal(path) for path in paths]
+
+
+def folder_columns(source: str, paths: Sequence[str]) -> list[str]:
+    """Names of the ``name=value`` folders below ``source``, in order of depth."""
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", source).rstrip("/")
+    names: dict[str, str] = {}
+    for path in paths:
+        below = path.split(root, 1)[-1]
+        for folder in below.split("/")[:-1]:
+            name, found, _ = folder.partition("=")
+            if found and name:
+                names.setdefault(name.lower(), name)
+    return [unquote(name) for name in names.values()]
 
-    CSV has no names beside its header and a declared schema is applied by
-    position, so its files are grouped by header; other formats are one group.
-    """
-    return header_groups(spark, paths, options.reader) if options.has_header else [list(paths)]
 
+def with_folders(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``rows`` with the values of their ``name=value`` folders as text; a folder goes before a file's own column of its name."""
+    taken = {n.lower() for n in names}
+    own = {c.lower(): qualified(c) for c in rows.columns if c.lower() in taken}
+    kept = [qualified(c) for c in rows.columns if c.lower() not in taken]
 
-def scan_files(spark: SparkSession, groups: Sequence[Sequence[str]], options: FileOptions) -> DataFrame | None:
-    """All rows of the files, columns matched by name, plus the path they came from.
+    def decoded(text: Column) -> Column:
+        # A plus sign stands for itself in a path.
+        return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
 
-    One scan per group; ``None`` if the files hold no column at all.
+    def value(name: str) -> Column:
+        # The path is encoded as a URI, and special characters of a value within it once more.
+        path, pattern = decoded(qualified(SOURCE_PATH)), f"(?is)^.*/{re.escape(name)}=([^/]*)/"
+        found = F.regexp_extract(path, pattern, 1)
+        mine = own.get(name.lower())
+        elsewhere = F.lit(None).cast("string") if mine is None else mine.cast("string")
+        return F.when(~path.rlike(pattern), elsewhere).when(found != NULL_FOLDER, decoded(found)).alias(name)
+
+    return rows.select(*kept, *(value(name) for name in names)) if names else rows
+
+
+def scan_files(
+    spark: SparkSession, paths: Sequence[str], options: FileOptions, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """All rows of the files, columns matched by name, plus the path they came from: one scan.
+
+    ``schema`` spares looking for the columns of files without a header record.
+    ``None`` if the files hold no column at all.
     """
-    scans = []
-    for group in groups:
-        schema = discovered_schema(spark, group, options, infer_types=False)
-        if schema.fields:
-            scans.append(_scan(spark, group, options, schema, enforce=True))
-    return union_frames(scans, by_name=True, allow_missing=True)
+    if options.has_header:
+        return _scan_by_header(spark, paths, options)
+    schema = schema or discovered_schema(spark, paths, options, infer_types=False)
+    return _scan(spark, paths, options, schema, enforce=True) if schema.fields else None
 
 
 def discovered_schema(
     spark: SparkSession, paths: Sequence[str], options: FileOptions, infer_types: bool
 ) -> T.StructType:
-    """Column names and types of files that share a header.
+    """Columns of files that need not be alike.
 
-    Without type inference a CSV costs one header line and a parquet file its
-    footer; JSON names, and inferred types of either, need a pass over the
-    files given, which for an incremental scan are the new ones only.
+    A CSV file costs its header record (or, without one, a pass over all files
+    given), a parquet file its footer; JSON needs a pass over the files given.
+    Only JSON has types of its own to infer here.
     """
     reader = spark.read.options(**options.reader)
+    if options.has_header:
+        names = all_names(header_names(spark, [h for h, _ in header_records(spark, paths, options.reader)], options.reader))
+        return T.StructType([T.StructField(name, T.StringType()) for name in names])
     if options.format == "csv":
-        if infer_types:
-            found = reader.option("inferSchema", "true").csv(list(paths)).schema
-            if options.has_header:
-                return found
-            # Values beyond the first line's were not looked at: they stay text.
-            return T.StructType(found.fields + positional_schema(spark, paths, options).fields[len(found.fields) :])
-        if not options.has_header:
-            return positional_schema(spark, paths, options)
-        return reader.option("inferSchema", "false").csv(paths[0]).schema
+        return positional_schema(spark, paths, options)
     if options.format == "json":
-        return reader.option("primitivesAsString", str(not infer_types).lower()).json(list(paths)).schema
-    return reader.option("mergeSchema", "true").parquet(*paths).schema
-
-
-def inferred_schema(spark: SparkSession, groups: Sequence[Sequence[str]], options: FileOptions) -> T.StructType:
-    """Inferred types per column over all files; where groups disagree, a type that holds both."""
-    found: dict[str, T.StructField] = {}
-    for group in groups:
-        for new in discovered_schema(spark, group, options, infer_types=True).fields:
-            old = found.get(new.name)
-            found[new.name] = T.StructField(new.name, _holding(old.dataType, new.dataType)) if old else new
-    return T.StructType(list(found.values()))
-
-
-def _holding(a: T.DataType, b: T.DataType) -> T.DataType:
-    numbers = [T.IntegerType(), T.LongType(), T.DoubleType()]
-    if a == b:
-        return a
-    if a in numbers and b in numbers:
-        return max(a, b, key=numbers.index)
-    return T.StringType()
+        return reader.option("primitivesAsString", str(not infer_types).lower()).json(named(paths)).schema
+    return reader.option("mergeSchema", "true").parquet(*named(paths)).schema
 
 
 def positional_schema(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> T.StructType:
     """Text columns ``_c0``, ``_c1``, ... as many as the longest record of all the files has values."""
     one = T.StructType().add("_c0", "string").add(RECORD, "string")
-    rows = spark.read.options(**options.reader).option("columnNameOfCorruptRecord", RECORD).schema(one).csv(list(paths))
+    rows = spark.read.options(**options.reader).option("columnNameOfCorruptRecord", RECORD).schema(one).csv(named(paths))
     # A record of one value is complete, so that its text is not kept.
     values = F.when(F.col(RECORD).isNotNull(), value_count(F.col(RECORD), options.reader)).when(F.col("_c0").isNotNull(), 1)
     width = rows.agg(F.max(values)).first()[0] or 0
@@ -182,8 +193,8 @@ def value_count(record: Column, reader: Mapping[str, str]) -> Column:
     return (shorter / len(separator) + 1).cast("int")
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str, str]) -> list[list[str]]:
-    """``paths`` grouped by the text of their header record; files without one are left out.
+def header_records(spark: SparkSession, paths: Sequence[str], reader: Mapping[str, str]) -> list[tuple[str, list[str]]]:
+    """The text of every different header record and the files that have it; files without one are left out.
 
     The header is the first line that is neither blank nor a comment, with the
     lines after it that its quotes span if records may span lines.  Each task
@@ -219,55 +230,87 @@ def header_groups(spark: SparkSession, paths: Sequence[str], reader: Mapping[str
         "spark.sql.execution.arrow.maxRecordsPerBatch": "16",
     }
     with settings(spark, peeking):
-        lines = spark.read.options(**text_options).text(list(paths))
+        lines = spark.read.options(**text_options).text(named(paths))
         lines = lines.filter("_metadata.file_block_start = 0").select("value", F.col("_metadata.file_path").alias("path"))
         groups = lines.mapInArrow(header, lines.schema).groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        return [row["paths"] for row in groups.orderBy("value").collect()]
-
-
-def typed(
-    df: DataFrame, schema: T.StructType, rescued_column: str | None = None, unseen: Sequence[str] = ()
-) -> DataFrame:
-    """Convert string columns to ``schema``; what does not fit becomes null, as do absent columns.
-
-    With a ``rescued_column`` the raw text of every misfit is kept there as a
-    JSON object ``{column: text}``, null if the whole row fits; the columns of
-    ``unseen`` are kept nowhere else, nor are values beyond the last column,
-    whose whole record is kept as ``_record``.
+        return [(row["value"], row["paths"]) for row in groups.orderBy("value").collect()]
+
+
+def header_names(spark: SparkSession, records: Sequence[str], reader: Mapping[str, str]) -> list[list[str]]:
+    """Column names of header records.  A column without a name is called by its place, a repeated name gets its place added."""
+    if not records:
+        return []
+    width = max(_separators(r, reader) for r in records) + 1
+    parsing = {k: v for k, v in reader.items() if k not in ("header", "multiLine", "mode", "encoding", "compression")}
+    schema = ", ".join(f"_c{i} STRING" for i in range(width))
+    texts = spark.createDataFrame(pa.table({"place": list(range(len(records))), "text": list(records)}))
+    parsed = texts.select("place", F.from_csv("text", schema, parsing).alias("names"), value_count(F.col("text"), reader).alias("width"))
+    found = []
+    for row in sorted(parsed.collect(), key=lambda r: r["place"]):
+        cells = list(row["names"] or [])[: row["width"]]
+        lowered = [c.lower() for c in cells if c]
+        found.append([
+            f"_c{i}" if not c else f"{c}{i}" if lowered.count(c.lower()) > 1 else c for i, c in enumerate(cells)
+        ])
+    return found
+
+
+def all_names(headers: Sequence[Sequence[str]]) -> list[str]:
+    """Names of all headers, each once whatever its case, in order of appearance."""
+    names: dict[str, str] = {}
+    for header in headers:
+        for name in header:
+            names.setdefault(name.lower(), name)
+    return list(names.values())
+
+
+def _separators(text: str, reader: Mapping[str, str]) -> int:
+    return text.count(reader.get("sep", reader.get("delimiter", ",")).replace("\\t", "\t"))
+
+
+def _scan_by_header(spark: SparkSession, paths: Sequence[str], options: FileOptions) -> DataFrame | None:
+    """Rows of CSV files of any number of different headers, in one scan.
+
+    Values are read by their place; a table of the files' headers, joined by
+    path, says at which place a file has each column.
     """
-    outputs, misfits = [], []
-    nested = (T.StructType, T.ArrayType, T.MapType)
-    targets = {f.name.lower(): f for f in schema.fields}
-    for found in df.schema.fields:
-        raw = qualified(found.name)
-        if found.name == RECORD:
-            misfits.append((RECORD_NAME, raw, F.lit(None)))
-            continue
-        if found.name in unseen:
-            text = F.to_json(raw) if isinstance(found.dataType, nested) else raw
-            misfits.append((found.name, text, F.lit(None)))
-            continue
-        target = targets.pop(found.name.lower(), None)
-        if target is None or target.dataType == found.dataType:
-            outputs.append(raw)
-            continue
-        value = raw.try_cast(target.dataType)
-        outputs.append(value.alias(found.name))
-        misfits.append((found.name, raw, value))
-    outputs += [F.lit(None).cast(absent.dataType).alias(absent.name) for absent in targets.values()]
-    if rescued_column:
-        outputs.append(_rescued(misfits).alias(rescued_column))
-    return df.select(*outputs)
-
-
-def _rescued(misfits: list[tuple[str, Column, Column]]) -> Column:
-    if not misfits:
-        return F.lit(None).cast("string")
-    entries = []
-    for name, raw, value in misfits:
-        entries += [F.lit(name), F.when(value.isNull(), raw.cast("string"))]
-    kept = F.map_filter(F.create_map(*entries), lambda _, text: text.isNotNull())
-    return F.when(F.size(kept) > 0, F.to_json(kept))
+    records = header_records(spark, paths, options.reader)
+    headers = header_names(spark, [text for text, _ in records], options.reader)
+    names = all_names(headers)
+    if not names:
+        return None
+    if len(headers) == 1:
+        return _scan(spark, paths, options, T.StructType([T.StructField(n, T.StringType()) for n in names]), enforce=True)
+    width = max(map(len, headers))
+    schema = T.StructType([T.StructField(f"__v{i}", T.StringType()) for i in range(width)])
+    rows = _scan(spark, paths, options, schema, enforce=True, fixed_width=False)
+    places = []
+    for header in headers:
+        at = {name.lower(): i for i, name in enumerate(header)}
+        places.append([at.get(name.lower()) for name in names])
+    # A row per file of the batch, and one per different header.
+    files = pa.table({
+        SOURCE_PATH: [path for _, own in records for path in own],
+        "__header": [k for k, (_, own) in enumerate(records) for _ in own],
+    })
+    layouts = pa.table({
+        "__header": list(range(len(headers))), "__width": [len(h) for h in headers],
+        "__places": pa.array(places, pa.list_(pa.int32())),
+    })
+    layout = spark.createDataFrame(files).join(spark.createDataFrame(layouts), "__header").drop("__header")
+    values = F.array(*(qualified(f.name) for f in schema.fields)).alias("__values")
+    kept = [RECORD] if RECORD in rows.columns else []
+    rows = rows.select(values, *kept, SOURCE_PATH).join(layout, SOURCE_PATH)
+    columns = [F.get("__values", F.get("__places", F.lit(j))).alias(name) for j, name in enumerate(names)]
+    if kept:
+        beyond = F.exists(F.slice("__values", F.col("__width") + 1, F.lit(width)), lambda v: v.isNotNull())
+        # A record that fills the widest header exactly was not kept by the reader.
+        parsing = {k: v for k, v in options.reader.items() if k in ("sep", "delimiter", "quote", "escape")}
+        again = F.to_csv(F.struct(*(F.get("__values", F.lit(i)).alias(f"_{i}") for i in range(width))), parsing)
+        filled = (F.col("__width") == width) & F.get("__values", F.lit(width - 1)).isNotNull() & F.col(RECORD).isNotNull()
+        longer = beyond | filled | (value_count(F.col(RECORD), options.reader) > F.col("__width"))
+        columns.append(F.when(longer, F.coalesce(RECORD, again)).alias(RECORD))
+    return rows.select(*columns, SOURCE_PATH)
 
 
 def read_files(spark: SparkSession, paths: Sequence[str], options: FileOptions, schema: T.StructType) -> DataFrame:
@@ -280,16 +323,24 @@ def read_files(spark: SparkSession, paths: Sequence[str], options: FileOptions,
 
 
 def _scan(
-    spark: SparkSession, paths: Sequence[str], options: FileOptions, schema: T.StructType, enforce: bool
+    spark: SparkSession,
+    paths: Sequence[str],
+    options: FileOptions,
+    schema: T.StructType,
+    enforce: bool,
+    fixed_width: bool = True,
 ) -> DataFrame:
-    """Rows and their path; with a rescued column also the text of CSV records with values beyond the last column."""
+    """Rows and their path; with a rescued column also the text of CSV records with values beyond the last column.
+
+    Without ``fixed_width`` that of every record with another number of values.
+    """
     reader = spark.read.format(options.format).option("enforceSchema", str(enforce).lower()).options(**options.reader)
     keeps_records = options.format == "csv" and options.rescued_column is not None
     if keeps_records:
         schema = T.StructType(schema.fields + [T.StructField(RECORD, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", RECORD)
-    rows = reader.schema(schema).load(list(paths))
-    if keeps_records:
+    rows = reader.schema(schema).load(named(paths))
+    if keeps_records and fixed_width:
         # A record of another length that fills the last column is a longer one.
         *columns, _ = schema.fields
         filled = qualified(columns[-1].name).isNotNull()
@@ -300,7 +351,8 @@ def _scan(
 
 def stream_paths(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Streaming scan of file names only, each once; no file is opened."""
-    reader = spark.readStream.format("binaryFile")
+    # All folders below, without taking their names for columns: the folders of a source need not be alike.
+    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
     reader = reader.schema("path string, modificationTime timestamp, length long, content binary")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
 from siltstone.sources.audit import with_audit
-from siltstone.sources.files import file_groups, file_options, header_groups, inferred_schema, scan_files, typed, with_hints
+from siltstone.sources.conversion import typed
+from siltstone.sources.files import file_options, header_records, scan_files, with_hints
+from siltstone.sources.inference import counted_types, merged_counts, type_of
 from siltstone.streaming.bronze import ingest_files, read_bronze, stream_bronze
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 CSV = {"cloudFiles.format": "csv", "header": "true"}
 ADD = {"cloudFiles.schemaEvolutionMode": "addNewColumns"}
@@ -118,9 +120,9 @@ def test_long_files_have_one_header_group(spark, tmp_path):
             file.write(("a,b\n" if i else "b,a\n") + "1,2\n" * 5000)
     paths = [f"file:{tmp_path}/{i}.csv" for i in range(3)]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    assert [[p.rsplit("/", 1)[1] for p in g] for g in header_groups(spark, paths, {})] == [["1.csv", "2.csv"], ["0.csv"]]
+    assert [[p.rsplit("/", 1)[1] for p in g] for _, g in header_records(spark, paths, {})] == [["1.csv", "2.csv"], ["0.csv"]]
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
-    both = scan_files(spark, file_groups(spark, paths, file_options(CSV)), file_options(CSV))
+    both = scan_files(spark, paths, file_options(CSV))
     assert both.groupBy("a", "b").count().orderBy("a").collect() == [("1", "2", 10000), ("2", "1", 5000)]
 
 
@@ -155,9 +157,15 @@ def test_disagreeing_files_get_a_type_that_holds_both(spark, lake):
     table = lake(INFERRED)
     table.put("1.csv", "a,b,c", "1,1,1")
     table.put("2.csv", "c,b,a", "3000000000,2.5,x")
-    paths = [f"{table.folder}/raw/{n}.csv" for n in (1, 2)]
-    found = inferred_schema(spark, file_groups(spark, paths, table.options), table.options)
-    assert {f.name: f.dataType.simpleString() for f in found.fields} == {"a": "string", "b": "double", "c": "bigint"}
+    found = table.ingest()
+    wanted = {"a": "string", "b": "double", "c": "bigint"}
+    assert {c: t for c, t in found.dtypes if c in wanted} == wanted
+    # The counts of the files are merged by adding them, in any order.
+    counts = [
+        counted_types(scan_files(spark, [f"{table.folder}/raw/{n}.csv"], table.options), "abc") for n in (1, 2)
+    ]
+    for one, two in (counts, counts[::-1]):
+        assert {c: type_of(n).simpleString() for c, n in merged_counts(one, two).items()} == wanted
 
 
 def test_typed_rescues_each_misfit(spark):
@@ -388,3 +396,121 @@ def test_inferred_types_do_not_depend_on_the_batches(lake, mode, max_files):
     found = table.ingest()
     assert dict(found.dtypes)["x"] == "string" and dict(found.dtypes)["y"] == "int"
     assert rows(found, "x", "y") == [("5", 1), ("abc", 2)]
+
+
+@pytest.mark.parametrize("mode", [{}, ADD])
+def test_names_are_not_taken_for_patterns(spark, lake, mode):
+    table = lake({"cloudFiles.format": "json"} | mode)
+    table.put("a*.json", '{"id": 1}')
+    table.put("ab.json", '{"id": 2}')
+    bronze = table.ingest()
+    assert rows(bronze, "id") == [("1",), ("2",)]
+    assert sorted(r.f.rsplit("/", 1)[1] for r in bronze.select(F.url_decode("source_file").alias("f")).collect()) == ["a*.json", "ab.json"]
+    table = Lake(spark, f"{table.folder}/csv", CSV | mode)
+    for k, name in enumerate(["p?.csv", "px.csv", "a b [1]{x}*.csv", "back\\slash.csv", "100%.csv", "a+b,c.csv"]):
+        table.put(name, "id", str(k))
+    assert rows(table.ingest(), "id") == [(str(k),) for k in range(6)]
+
+
+@pytest.mark.parametrize("mode", [{}, ADD])
+def test_folders_hold_columns(spark, lake, mode):
+    table = lake(CSV | mode | {"inferColumnTypes": "true"})
+    for day, area in ((1, "x"), (2, "y%20z")):
+        os.makedirs(f"{table.folder}/raw/day={day}/area={area}")
+        table.put(f"day={day}/area={area}/1.csv", "id,area", f"{day},file")
+    table.put("day=1/2.csv", "id,area", "7,mine")
+    bronze = table.ingest()
+    assert rows(bronze, "id", "day", "area") == [(1, 1, "x"), (2, 2, "y z"), (7, 1, "mine")]
+    assert dict(bronze.dtypes)["day"] == "int"
+    os.makedirs(f"{table.folder}/raw/day=__HIVE_DEFAULT_PARTITION__/area=q")
+    table.put("day=__HIVE_DEFAULT_PARTITION__/area=q/1.csv", "id,area", "8,file")
+    assert rows(table.ingest().filter("id = 8"), "day", "area") == [(None, "q")]
+
+
+def test_a_failed_batch_logs_no_column(lake, monkeypatch):
+    table = lake(EVOLVING)
+    table.put("1.csv", "a", "1")
+    table.ingest()
+    table.put("2.csv", "a,b", "2,x")
+    write = DataFrameWriter.parquet
+
+    def fail(self, path, *rest, **options):
+        if "/bronze/" in path and "_columns" not in path:
+            raise OSError("lost")
+        return write(self, path, *rest, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", fail)
+    with pytest.raises(Exception, match="lost"):
+        table.ingest()
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    assert "b" not in read_bronze(table.spark, table.target).columns
+    assert rows(table.ingest(), "a", "b") == [("1", None), ("2", "x")]
+
+
+def test_fixed_headerless_files_stay_fixed(lake):
+    table = lake({"cloudFiles.format": "csv", "rescuedDataColumn": "_r"})
+    table.put("1.csv", "1,x")
+    table.ingest()
+    table.put("2.csv", "2,y,z")
+    bronze = table.ingest()
+    assert "_c2" not in bronze.columns
+    assert rows(bronze, "_c0", "_c1", "_r") == [("1", "x", None), ("2", "y", '{"_record":"2,y,z"}')]
+
+
+def test_documents_in_a_text_column_are_kept_as_text(lake):
+    table = lake({"cloudFiles.format": "json"} | ADD)
+    table.put("1.json", '{"a": "x"}')
+    table.ingest()
+    table.put("2.json", '{"a": {"b": 1}}', '{"a": [1, {"c": "y"}]}')
+    assert rows(table.ingest(), "a") == [('[1, {"c": "y"}]',), ("x",), ('{"b": 1}',)]
+
+
+def test_nested_columns_grow_and_misfits_are_rescued_by_path(lake):
+    hints = {"cloudFiles.schemaHints": "a STRUCT<x: INT, l: ARRAY<STRUCT<n: INT>>>"}
+    table = lake({"cloudFiles.format": "json"} | ADD | hints)
+    table.put("1.json", '{"id": 1, "a": {"x": 5, "l": [{"n": 1}]}}', '{"id": 2, "a": {"x": "many", "l": [{"n": "q"}, {"n": 2}]}}')
+    table.ingest()
+    table.put("2.json", '{"id": 3, "a": {"x": 6, "y": {"z": "new"}}}', '{"id": 4, "a": "plain"}', '{"id": 5, "a": null}')
+    bronze = table.ingest()
+    assert rows(bronze, "id", "a.x", "a.y.z", "_rescued_data") == [
+        ("1", 5, None, None),
+        ("2", None, None, '{"a.x":"many","a.l":"[{\\"n\\":\\"q\\"},{\\"n\\":\\"2\\"}]"}'),
+        ("3", 6, "new", None),
+        ("4", None, None, '{"a":"plain"}'),
+        ("5", None, None, None),
+    ]
+
+
+def test_any_number_of_headers_is_one_scan(spark, tmp_path):
+    """500 headers, each with a column of its own: one scan in the plan, every value in its column."""
+    paths = []
+    for i in range(500):
+        with open(tmp_path / f"{i}.csv", "w") as file:
+            file.write(f"own{i},id\n{i},a\n" if i % 2 else f"id,own{i}\na,{i}\n")
+        paths.append(f"{tmp_path}/{i}.csv")
+    options = file_options(EVOLVING)
+    found = scan_files(spark, paths, options)
+    assert len(found.columns) == 502 and plan(found).count("Scan csv") == 2  # once in the tree, once in the details
+    own = F.coalesce(*(F.col(f"own{i}") for i in range(500)))
+    assert found.select(own.cast("int").alias("n"), "id").agg(F.sum("n"), F.count_if(F.col("id") == "a")).first() == (124750, 500)
+
+
+def test_header_names_without_a_name_or_repeated(lake):
+    table = lake(EVOLVING)
+    table.put("1.csv", "id,,id,b", "1,2,3,4")
+    table.put("2.csv", "ID,c", "9,8")
+    assert rows(table.ingest(), "id0", "_c1", "id2", "b", "ID", "c") == [(None, None, None, None, "9", "8"), ("1", "2", "3", "4", None, None)]
+
+
+@pytest.mark.parametrize("max_files", [1, 10])
+def test_no_file_is_looked_into_twice(spark, lake, max_files):
+    """Types come from a state that files are merged into: removed files are still in it, the rest is not read again."""
+    table = lake(INFERRED, max_files=max_files)
+    table.put("1.csv", "x,d", "5,2024-01-01")
+    table.put("2.csv", "x,d", "2.5,2024-01-02")
+    bronze = table.ingest()
+    assert {c: t for c, t in bronze.dtypes if c in "xd"} == {"x": "double", "d": "date"}
+    os.remove(f"{table.folder}/raw/1.csv")
+    os.remove(f"{table.folder}/raw/2.csv")
+    table.put("3.csv", "x,new", "7,true")
+    assert {c: t for c, t in table.ingest().dtypes if c in ("x", "d", "new")} == {"x": "double", "d": "date", "new": "boolean"}

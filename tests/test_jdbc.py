@@ -6,12 +6,11 @@ import uuid
 from datetime import datetime
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from queries.bronze import EMBEDDED
 from siltstone.plans.medallion import run_table
-from siltstone.sources.jdbc import jdbc_options, jdbc_options_from_conf, scan_jdbc
+from siltstone.sources.jdbc import _SPLIT, jdbc_options, jdbc_options_from_conf, scan_jdbc, text_ranges
 from siltstone.sources.scan import source_path_of, source_type_of
 from siltstone import table_spec
 from tests.conftest import rows
@@ -76,13 +75,6 @@ def test_scan_whole_and_in_parts(spark):
     assert parts.rdd.getNumPartitions() == 4 and rows(parts) == rows(whole)
 
 
-def test_text_partition_column_is_refused(spark):
-    options = stored(spark, (1, 1, "a"))
-    split = {"partitionColumn": "NAME", "lowerBound": "0", "upperBound": "20", "numPartitions": "4"}
-    with pytest.raises(AnalysisException):
-        scan_jdbc(spark, options | split)
-
-
 def test_filter_and_columns_are_pushed_to_the_database(spark):
     options = stored(spark, (1, 1, "a"), (2, 5, "b"))
     steps = scan_jdbc(spark, options).filter(F.col("SEQ") > 3).select("NAME")._jdf.queryExecution().toString()
@@ -135,3 +127,25 @@ def test_source_type_and_path(spark):
         spark.conf.unset("pipeline.s3_bucket")
     with pytest.raises(ValueError, match="JDBC"):
         run_table(spark, CONFIG, "person", "/nowhere", "jdbc")
+
+
+def test_a_text_key_is_split_by_the_database(spark):
+    names = [f"client {i % 7} {i:05d}" for i in range(400)] + ["o'neil", "Ärger", "zz", "", "client"]
+    people = [(i, i, n) for i, n in enumerate(names)]
+    options = stored(spark, *people) | {"partitionColumn": "NAME", "numPartitions": "5", "lowerBound": "1", "upperBound": "9"}
+    found = scan_jdbc(spark, options)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert found.rdd.getNumPartitions() == 5 and sum(sizes) == len(people) and max(sizes) < 2 * len(people) / 5
+    assert text_ranges(spark, {k: v for k, v in options.items() if k not in _SPLIT}, "NAME", 5)[0].endswith("NAME IS NULL")
+    assert rows(found, "ID", "NAME") == rows(spark.createDataFrame([(i, n) for i, _, n in people], "ID int, NAME string"))
+
+
+def test_a_text_key_of_one_value_or_no_row(spark):
+    for people in ([(1, 1, "same"), (2, 1, "same")], [(1, 1, "x")]):
+        options = stored(spark, *people) | {"partitionColumn": "NAME", "numPartitions": "3"}
+        assert scan_jdbc(spark, options).count() == len(people)
+    empty = stored(spark, (1, 1, "x")) | {"partitionColumn": "NAME", "numPartitions": "3"}
+    spark.createDataFrame([], "ID int, SEQ int, NAME string").write.format("jdbc").options(
+        createTableColumnTypes="NAME VARCHAR(50)", **{k: v for k, v in empty.items() if k not in _SPLIT}
+    ).mode("overwrite").save()
+    assert scan_jdbc(spark, empty).count() == 0
