@@ -41,7 +41,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
-SHARDS = 3
+SHARDS = 2
 BATCH_BYTES = 12_000_000
 # Cells of the table of phrases that have reached the threshold: one byte each.
 CELLS = 1 << 24
@@ -120,14 +120,14 @@ def cells_of(hashes: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes & np.uint64(cells - 1)).astype(np.int64), (hashes >> np.uint64(32) & np.uint64(cells - 1)).astype(np.int64)
 
 
-COUNTS = "lang string, words int, phrase string, start int, n long"
+# A key is the language, a line break, which no word holds, and the phrase.
+COUNTS = "key string, start int, n long"
 
 
-def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, lengths: set[int]) -> DataFrame:
+def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, longest: int) -> DataFrame:
     """The phrases that are counted in scan ``step`` and how often each batch of the shard has them.
 
-    ``reached`` has each cell's scan, ``lengths`` the lengths of phrases that
-    have reached the threshold within the last cycle.
+    ``reached`` has each cell's scan; phrases of up to ``longest`` words are looked for.
     """
     cells, sent = len(reached), squeezed(reached.tobytes())
 
@@ -143,32 +143,29 @@ def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, length
         letters = loosened(r["words"])
         words = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(letters))
 
-        def counts(phrases: pa.Array, size: int, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            columns = [pa.array([r["lang"]]).take(pa.array(np.zeros(len(n), np.int32))), pa.array(np.full(len(n), size, np.int32))]
-            columns += [phrases.cast(pa.string()), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))]
+        def counts(phrases: pa.Array, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            keys = pc.binary_join_element_wise(pa.scalar(r["lang"], pa.large_string()), phrases, pa.scalar("\n", pa.large_string()))
+            columns = [keys.cast(pa.string()), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))]
             return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in COUNTS.split(", ")])
 
         if step < shards:
-            yield counts(words, 1, np.zeros(len(words)), np.bincount(ids, minlength=len(words)))
-        if not lengths:
-            return
+            yield counts(words, np.zeros(len(words)), np.bincount(ids, minlength=len(words)))
         piece = np.cumsum(np.unpackbits(loosened(r["breaks"]), count=len(ids)))
         hashes = word_hashes(letters, at)[0]
         phrase = extended(np.full(len(ids), of_lang(r["lang"])), hashes[ids])
-        for size in range(2, max(lengths) + 2):
+        for size in range(2, longest + 1):
             # When the phrases of one word less reached the threshold, at each place.
             first, second = cells_of(phrase, cells)
             when = np.maximum(table[first], table[second])
-            if size - 1 in lengths:
-                start = np.maximum(when[:-1], when[1:]).astype(np.int64)[: max(0, len(ids) - size + 1)] + 1
-                whole = piece[: len(start)] == piece[size - 1 :]
-                place = np.flatnonzero(whole & (start <= step) & (start > step - shards))
-                if len(place):
-                    number = ids[place]
-                    for k in range(1, size):
-                        _, some, number = np.unique(number << 32 | ids[place + k], return_index=True, return_inverse=True)
-                    parts = [words.take(pa.array(ids[place[some] + k])) for k in range(size)]
-                    yield counts(pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())), size, start[place[some]], np.bincount(number))
+            start = np.maximum(when[:-1], when[1:]).astype(np.int64)[: max(0, len(ids) - size + 1)] + 1
+            whole = piece[: len(start)] == piece[size - 1 :]
+            place = np.flatnonzero(whole & (start <= step) & (start > step - shards))
+            if len(place):
+                number = ids[place]
+                for k in range(1, size):
+                    _, some, number = np.unique(number << 32 | ids[place + k], return_index=True, return_inverse=True)
+                parts = [words.take(pa.array(ids[place[some] + k])) for k in range(size)]
+                yield counts(pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())), start[place[some]], np.bincount(number))
             if len(ids) < size:
                 break
             phrase = extended(phrase[:-1], hashes[ids[size - 1 :]])
@@ -177,10 +174,12 @@ def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, length
     return rows.where(F.col("shard") == step % shards).mapInArrow(run, COUNTS)
 
 
-def cells_reached(phrases: DataFrame, cells: int) -> np.ndarray:
-    """The distinct cells of some phrases: no more than there are cells."""
+def cells_reached(phrases: DataFrame, reached: np.ndarray) -> np.ndarray:
+    """The cells that some phrases are the first to set: no more than there are cells."""
+    cells, sent = len(reached), squeezed(reached.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = loosened(sent)
         for batch in batches:
             hashes, at = word_hashes(*column_bytes(batch.column(1)))
             salts = {lang: of_lang(lang) for lang in batch.column(0).unique().to_pylist()}
@@ -189,12 +188,21 @@ def cells_reached(phrases: DataFrame, cells: int) -> np.ndarray:
             for k in range(int(sizes.max(initial=0))):
                 longer = np.flatnonzero(sizes > k)
                 found[longer] = extended(found[longer], hashes[at[:-1][longer] + k])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(cells_of(found, cells))))], ["cell"])
+            cell = np.unique(np.concatenate(cells_of(found, cells)))
+            yield pa.RecordBatch.from_arrays([pa.array(cell[table[cell] == NEVER])], ["cell"])
 
     arrow_batches(phrases.sparkSession, 100_000)
     return np.array([r.cell for r in phrases.select("lang", "phrase").mapInArrow(run, "cell long").distinct().collect()], dtype=np.int64)
 
 
+def opened(counts: DataFrame) -> DataFrame:
+    """Keys as language, phrase and number of words."""
+    phrase = F.substring_index("key", "\n", -1)
+    lang = F.expr("substring(key, 1, length(key) - length(substring_index(key, '\n', -1)) - 1)")
+    words = F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1
+    return counts.select(lang.alias("lang"), words.alias("words"), phrase.alias("phrase"), "start", "n")
+
+
 def frequent_phrases(
     docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, cells: int = CELLS
 ) -> tuple[DataFrame, DataFrame]:
@@ -208,25 +216,21 @@ def frequent_phrases(
     rows = spark.read.schema(ENCODED).parquet(path)
     totals = store(rows.groupBy("lang").agg(F.sum("n").alias("n")), "language-words")
     reached = np.full(cells, NEVER, dtype=np.uint8)
-    recent: list[set[int]] = []  # lengths of phrases that reached the threshold, scan by scan
+    recent: list[bool] = []  # whether a scan has set a cell
     whole: list[DataFrame] = []
     state = None
     step = 0
     while step < shards or any(recent[-shards:]):
-        lengths = {k for found in recent[-shards:] for k in found}
-        fresh = counted(rows, step, shards, reached, lengths).withColumn("new", F.col("n"))
+        fresh = counted(rows, step, shards, reached, longest if any(recent[-shards:]) else 1)
         if state is not None:
             # What has been counted for a full cycle is whole and goes no further.
-            fresh = fresh.unionByName(state.where(F.col("start") > step - shards).withColumn("new", F.lit(0).cast("long")))
-        summed = fresh.groupBy("lang", "words", "phrase", "start").agg(F.sum("n").alias("n"), F.sum("new").alias("new"))
-        counts = store(summed, "phrase-counts")
-        state = counts.drop("new")
-        whole.append(state.where((F.col("start") == step - shards + 1) & (F.col("n") >= least)))
-        risen = counts.where((F.col("n") >= least) & (F.col("n") - F.col("new") < least) & (F.col("words") < longest))
-        recent.append({r.words for r in risen.select("words").distinct().collect()})
-        if recent[-1]:
-            found = cells_reached(risen, cells)
-            reached[found] = np.minimum(reached[found], step)
+            fresh = fresh.unionByName(state.where(F.col("start") > step - shards))
+        state = store(fresh.groupBy("key", "start").agg(F.sum("n").alias("n")), "phrase-counts")
+        frequent = opened(state.where(F.col("n") >= least))
+        whole.append(frequent.where(F.col("start") == step - shards + 1))
+        found = cells_reached(frequent.where(F.col("words") < longest), reached)
+        reached[found] = step
+        recent.append(len(found) > 0)
         step += 1
     arrow_batches(spark)
     frequent = whole[0]
