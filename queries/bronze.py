@@ -23,7 +23,7 @@ from queries.tables import (
 from siltstone import table_spec
 from siltstone.operators.layout import write_clustered
 from siltstone.operators.silver import silver_transform
-from siltstone.plans.medallion import bronze_rows, cluster_silver, ingest_table, run_table, table_flow
+from siltstone.plans.medallion import bronze_rows, cluster_silver, ingest_table, rule_totals, run_table, table_flow
 from siltstone.session import scratch_dir, settings
 from siltstone.sources.jdbc import jdbc_options, scan_jdbc
 
@@ -351,6 +351,26 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clustered_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem along a curve over ship date and part: a filter on either skips most files."""
+    root = scratch_dir(spark, "clustered_curve")
+    lines = read(spark, sf_dir, "lineitem").select("l_shipdate", "l_partkey", "l_orderkey", "l_quantity")
+    write_clustered(lines, root, ["l_shipdate", "l_partkey"], partitions=64, lookup=["l_orderkey"])
+    stored = spark.read.parquet(root).withColumn("file", F.col("_metadata.file_path"))
+    low, high = (F.lit(datetime(y, 1, 1)).cast("timestamp_ntz") for y in (1997, 1998))
+    by_date = (F.col("l_shipdate") >= low) & (F.col("l_shipdate") < high)
+    by_part = F.col("l_partkey") <= 20
+    files = F.count_distinct("file")
+
+    def few(inside):
+        return F.count_distinct(F.when(inside, F.col("file"))) * 2 < files
+
+    return stored.agg(
+        F.count("*").alias("lines"), F.count_if(by_date).alias("of_date"), F.count_if(by_part).alias("of_part"),
+        few(by_date).alias("date_skips"), few(by_part).alias("part_skips"),
+    )
+
+
 _CUSTOMER_FLOW = dict(
     columns=[column("c_custkey", "long", source="CUST#"), *CUSTOMER_COLUMNS[1:4],
              column("c_mktsegment", "string", markers=["", "NULL"]), column("c_changed", "integer")],
@@ -425,6 +445,24 @@ def medallion_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "passed long, dropped long")
 
 
+def medallion_rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same summed over two runs of batches of one file each, one run repeated: kept with the table."""
+    root = scratch_dir(spark, "medallion_totals")
+    customer = read(spark, sf_dir, "customer")
+    key = F.when(F.col("c_custkey") % 7 == 0, "NULL").otherwise(F.col("c_custkey").cast("string"))
+    columns = [column("c_custkey", "long", markers=["NULL"]), *CUSTOMER_COLUMNS[1:]]
+    config = _config("customer", columns, ["c_custkey"], CSV)
+    for part in range(2):
+        rows = customer.filter(F.col("c_custkey") % 2 == part).withColumn("c_custkey", key)
+        _write_csv(rows.repartition(3), f"{root}/raw/raw_customer")
+        for _ in range(2):
+            run_table(
+                spark, config, "customer", f"{root}/lake", base_path=f"{root}/raw", buckets=BUCKETS, max_files=1, count_rules=True
+            )
+    totals = rule_totals(spark, table_flow(spark, config, "customer", f"{root}/lake"))
+    return spark.createDataFrame([(totals["valid_c_custkey_passed"], totals["valid_c_custkey_dropped"])], "passed long, dropped long")
+
+
 def medallion_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver ranged by nation after a run: few files hold the nations of a filter."""
     flow, _ = _nation_flow(spark, sf_dir, "medallion_clustered")
@@ -454,6 +492,8 @@ QUERIES = {
     "bronze_rescued_fields": rescued_fields,
     "bronze_ragged_csv": ragged,
     "medallion_rule_counts": medallion_rule_counts,
+    "medallion_rule_totals": medallion_rule_totals,
+    "clustered_curve": clustered_curve,
     "medallion_clustered": medallion_clustered,
     "bronze_source_switch": switched,
     "bronze_odd_paths": odd_paths,
@@ -522,6 +562,14 @@ ORACLE = {
     "medallion_rule_counts": """
         SELECT count(*) FILTER (c_custkey % 7 <> 0) AS passed, count(*) FILTER (c_custkey % 7 = 0) AS dropped
         FROM customer""",
+    "medallion_rule_totals": """
+        SELECT count(*) FILTER (c_custkey % 7 <> 0) AS passed, count(*) FILTER (c_custkey % 7 = 0) AS dropped
+        FROM customer""",
+    "clustered_curve": """
+        SELECT count(*) AS lines,
+               count(*) FILTER (l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01') AS of_date,
+               count(*) FILTER (l_partkey <= 20) AS of_part, true AS date_skips, true AS part_skips
+        FROM lineitem""",
     "medallion_clustered": """
         SELECT count(*) FILTER (c_custkey % 7 <> 0 AND c_nationkey < 5) AS customers, true AS skips_files
         FROM customer""",

@@ -64,6 +64,32 @@ def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", elapsed_seconds(F.col("ts"), ended).alias("duration_seconds"))
 
 
+def counts_past_broken_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log per eighth of the pipelines, and two that are no logs: they are left out, named, and cost no other count."""
+    root = scratch_dir(spark, "runlog_broken")
+    log = t.event_log(spark, sf_dir).withColumn("part", F.pmod(F.col("origin.update_id").cast("bigint"), F.lit(8)))
+    log.write.partitionBy("part").parquet(f"{root}/log")
+    for name in ("part=broken", "part=other"):
+        read(spark, sf_dir, "region").select("r_name").coalesce(1).write.text(f"{root}/log/{name}")
+    sources = [f"{root}/log/part={k}" for k in (0, 1, 2, "broken", 3, 4, 5, 6, 7, "other", "absent")]
+    events, skipped = runlog.read_event_logs(spark, sources)
+    named = skipped.agg(F.count_if(F.length("reason") > 0).alias("skipped"))
+    active_ids = runlog.active_ids(t.pipeline_timeline(spark, sf_dir), "pipeline_id", **_RECENT)
+    return runlog.row_counts(events, active_ids).withColumn("skipped", F.lit(named.first()[0]).cast("bigint"))
+
+
+def counts_of_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log stored with parsed documents, one of seven malformed."""
+    root = scratch_dir(spark, "runlog_variants")
+    log = t.event_log(spark, sf_dir)
+    malformed = F.pmod(F.col("origin.update_id").cast("bigint"), F.lit(7)) == 0
+    details = F.when(malformed, F.concat(F.lit("{"), "details")).otherwise(F.col("details"))
+    runlog.with_variants(log.withColumn("details", details)).write.parquet(root)
+    stored = spark.read.parquet(root)
+    lost = stored.agg(F.count_if(F.col("malformed").isNotNull())).first()[0]
+    return runlog.row_counts(stored).withColumn("malformed", F.lit(lost).cast("bigint"))
+
+
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     active_ids = runlog.active_ids(t.pipeline_timeline(spark, sf_dir), "pipeline_id", **_RECENT)
     return runlog.row_counts(t.event_log(spark, sf_dir), active_ids)
@@ -172,6 +198,8 @@ QUERIES = {
     "runlog_whole_runs": whole_runs,
     "runlog_durations": durations,
     "runlog_row_counts": row_counts,
+    "runlog_broken_logs": counts_past_broken_logs,
+    "runlog_variant_counts": counts_of_variants,
     "union_frames": frames,
     "runlog_unified": unified,
     "runlog_no_counts": without_counts,
@@ -207,6 +235,16 @@ ORACLE = {
                  THEN ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END) AS duration_seconds
         FROM events""",
     "runlog_row_counts": f"{_ROLES} {_COUNTS}",
+    "runlog_broken_logs": f"{_ROLES} SELECT *, 3::BIGINT AS skipped FROM ({_COUNTS})",
+    "runlog_variant_counts": f"""{_ROLES}
+        SELECT pipeline_id, update_id,
+               CAST(sum(TRY_CAST(json_extract_string(details, '$.flow_progress.metrics.num_output_rows') AS BIGINT)) AS BIGINT)
+                 AS total_rows_processed,
+               (SELECT count(*) FROM lineitem WHERE l_orderkey % 7 = 0) AS malformed
+        FROM event_log
+        WHERE event_type = 'flow_progress' AND CAST(update_id AS BIGINT) % 7 <> 0
+          AND json_extract_string(details, '$.flow_progress.status') = 'COMPLETED'
+        GROUP BY pipeline_id, update_id""",
     "union_frames": "SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'N', 'R')",
     "runlog_unified": f"{_WITH_COUNTS} {_unified_sql(_SINCE)}",
     "runlog_no_counts": f"""{_ROLES}

@@ -9,6 +9,7 @@ is written is not disturbed.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -17,42 +18,52 @@ from pyspark.sql.types import StructType
 
 from siltstone.operators.log import append_log, newest_row
 
+FOLDERS = ("rows_0", "rows_1")
+
 
 @dataclass(frozen=True)
 class Load:
-    """The newest load: its number, the table's columns and whatever else its writer notes."""
+    """The newest load: its number, where the rows are (nowhere, if there never were any), their columns, its writer's notes."""
 
     number: int
+    folder: str | None
     columns: StructType
     notes: dict = field(default_factory=dict)
 
 
 def newest_load(spark: SparkSession, root: str) -> Load | None:
-    row = newest_row(spark, f"{root}/loads", "number bigint, columns string, notes string")
-    return row and Load(row["number"], StructType.fromJson(json.loads(row["columns"])), json.loads(row["notes"]))
-
-
-def _folder(root: str, number: int) -> str:
-    return f"{root}/rows_{number % 2}"
+    row = newest_row(spark, f"{root}/loads", "number bigint, folder string, columns string, notes string")
+    return row and Load(row["number"], row["folder"], StructType.fromJson(json.loads(row["columns"])), json.loads(row["notes"]))
 
 
 def read_load(spark: SparkSession, root: str, load: Load | None) -> DataFrame | None:
-    return load and spark.read.schema(load.columns).parquet(_folder(root, load.number))
+    return spark.read.schema(load.columns).parquet(f"{root}/{load.folder}") if load and load.folder else None
 
 
-def write_load(rows: DataFrame, root: str, last: Load | None, notes: dict | None = None, begin_empty: bool = True) -> None:
+def write_load(
+    rows: DataFrame, root: str, last: Load | None, notes: Callable[[], dict] = dict, begin_empty: bool = True
+) -> None:
     """Make ``rows`` the table; they may be read from what ``last`` holds.
 
-    Without ``begin_empty`` a table that is not there yet is not begun by a load without rows.
+    ``notes`` is asked once they are written.  Without ``begin_empty`` a table
+    that has no rows yet is not begun by a load without rows.
     """
-    folder = _folder(root, last.number + 1 if last else 0)
-    rows.write.mode("overwrite").parquet(folder)
-    if last is None and not begin_empty and rows.sparkSession.read.schema(rows.schema).parquet(folder).isEmpty():
-        return
-    append_log(
-        rows.sparkSession, f"{root}/loads",
-        {"columns": (pa.string(), [rows.schema.json()]), "notes": (pa.string(), [json.dumps(notes or {})])},
-    )
+    folder = FOLDERS[1] if last and last.folder == FOLDERS[0] else FOLDERS[0]
+    rows.write.mode("overwrite").parquet(f"{root}/{folder}")
+    begun = begin_empty or last and last.folder
+    if not begun and rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/{folder}").isEmpty():
+        folder = None
+    _log(rows.sparkSession, root, folder, rows.schema, notes())
+
+
+def note_load(spark: SparkSession, root: str, last: Load, notes: dict) -> None:
+    """A load that leaves the rows as they are."""
+    _log(spark, root, last.folder, last.columns, notes)
+
+
+def _log(spark: SparkSession, root: str, folder: str | None, columns: StructType, notes: dict) -> None:
+    values = {"folder": folder, "columns": columns.json(), "notes": json.dumps(notes)}
+    append_log(spark, f"{root}/loads", {name: (pa.string(), [value]) for name, value in values.items()})
 
 
 def replace_table(rows: DataFrame, root: str) -> None:

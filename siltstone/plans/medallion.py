@@ -115,20 +115,22 @@ def load_silver(
     sequence_format: str | None = None,
     buckets: int | None = None,
     on_rule_counts: Callable[[dict[str, int]], None] | None = None,
+    count_rules: bool = False,
 ) -> DataFrame | None:
     """Fold bronze into silver, one current row per key, and return the silver rows if there are any.
 
     Rows from files are folded in as a stream, each once; a database table is
     folded in whole, since its bronze table is replaced by every read.  Rows
     without a whole key are dropped; ``on_rule_counts`` is called for every batch
-    with ``valid_<key>_passed`` and ``valid_<key>_dropped`` (without it the rule
-    can be applied in the scan).
+    with ``valid_<key>_passed`` and ``valid_<key>_dropped``.  ``count_rules`` adds
+    them up over all batches and runs, see ``rule_totals`` (without either the
+    rule can be applied in the scan).
     """
     spec = flow.spec
     order = change_order(spec, sequence_format=sequence_format)
     silver = KeyedSnapshot(spark, flow.silver_path, spec.primary_keys, buckets)
-    sort_by = [spec.silver_cluster_by] if spec.silver_cluster_by else []
-    options = {"rules": key_rules(spec.primary_keys), "on_counts": on_rule_counts}
+    sort_by = spec.silver_cluster_by
+    options = {"rules": key_rules(spec.primary_keys), "on_counts": on_rule_counts, "count_rules": count_rules}
     options |= {"tie_break": tie_break, "sort_by": sort_by}
     if flow.source_type == JDBC:
         rows = silver_transform(bronze_rows(spark, flow), spec.columns, on_error)
@@ -143,18 +145,23 @@ def load_silver(
     return silver.read()
 
 
+def rule_totals(spark: SparkSession, flow: TableFlow) -> dict[str, int]:
+    """How many rows have passed and broken each key rule since counting began, whatever batches they came in."""
+    return KeyedSnapshot(spark, flow.silver_path, flow.spec.primary_keys).counts()
+
+
 def cluster_silver(spark: SparkSession, flow: TableFlow, partitions: int | None = None) -> DataFrame | None:
-    """A copy of the silver rows whose files are ranged by the spec's column, for readers that filter by it.
+    """A copy of the silver rows whose files are ranged by the spec's columns, for readers that filter by any of them.
 
     Silver itself is bucketed by key, so that each of its files spans all values
-    of that column.  The copy replaces the one before.
+    of those columns.  The copy replaces the one before.
     """
-    column, silver = flow.spec.silver_cluster_by, KeyedSnapshot(spark, flow.silver_path, flow.spec.primary_keys).read()
-    if not column:
+    columns, silver = flow.spec.silver_cluster_by, KeyedSnapshot(spark, flow.silver_path, flow.spec.primary_keys).read()
+    if not columns:
         raise ValueError(f"the spec of {flow.spec.name!r} names no column to range silver by")
     if silver is None:
         return None
-    replace_table(clustered(silver, [column], partitions), flow.clustered_path)
+    replace_table(clustered(silver, columns, partitions), flow.clustered_path)
     return read_table(spark, flow.clustered_path)
 
 

@@ -16,11 +16,14 @@ from siltstone.operators.join import join_to_unique
 from siltstone.operators.latest import latest_per_key
 from siltstone.operators.merge import merge_on_change, unique_by
 from siltstone.operators.snapshot import BUCKET, KeyedSnapshot
+from siltstone.sources.scan import readable
 
 # Labels, event filter and JSON fields of the log's inputs.
 PIPELINE, JOB = "PIPELINE", "JOB"
 FLOW_PROGRESS, COMPLETED = "flow_progress", "COMPLETED"
 DETAILS = "flow_progress STRUCT<status: STRING, metrics: STRUCT<num_output_rows: STRING>>"
+STATUS, OUTPUT_ROWS = "$.flow_progress.status", "$.flow_progress.metrics.num_output_rows"
+EVENT_LOG = "origin STRUCT<pipeline_id: STRING, update_id: STRING>, event_type STRING, details STRING"
 LOOKBACK_DAYS = 30
 NEWEST = 20
 
@@ -129,21 +132,43 @@ def row_counts(event_log: DataFrame, active: DataFrame | None = None) -> DataFra
 
     One scan of the whole log, summed per task before the shuffle.  ``active``
     restricts the result to the ids it holds; as they are grouping keys, Spark
-    may apply that before or after the sum.
+    may apply that before or after the sum.  Documents are text, or variants as
+    ``with_variants`` stores them, which are not parsed again.
     """
-    details = F.col("details")
-    # Text that neither holds the word nor an escape cannot parse to it.
-    may_be_done = details.contains(COMPLETED) | details.contains("\\")
-    events = event_log.filter((F.col("event_type") == FLOW_PROGRESS) & may_be_done)
-    # Put out by a generator, the parsed document cannot be parsed again for the filter.
-    parsed = events.select("origin", F.inline(F.array(F.from_json(details, DETAILS))))
-    done = parsed.filter(F.col("flow_progress.status") == COMPLETED)
+    details, events = F.col("details"), event_log.filter(F.col("event_type") == FLOW_PROGRESS)
+    if isinstance(event_log.schema["details"].dataType, T.VariantType):
+        done = events.filter(F.try_variant_get(details, STATUS, "string") == COMPLETED)
+        rows = F.try_variant_get(details, OUTPUT_ROWS, "string")
+    else:
+        # Text that neither holds the word nor an escape cannot parse to it.
+        events = events.filter(details.contains(COMPLETED) | details.contains("\\"))
+        # Put out by a generator, the parsed document cannot be parsed again for the filter.
+        parsed = events.select("origin", F.inline(F.array(F.from_json(details, DETAILS))))
+        done = parsed.filter(F.col("flow_progress.status") == COMPLETED)
+        rows = F.col("flow_progress.metrics.num_output_rows")
     counts = done.groupBy(
         F.col("origin.pipeline_id").alias("pipeline_id"), F.col("origin.update_id").alias("update_id")
-    ).agg(F.sum(F.col("flow_progress.metrics.num_output_rows").try_cast("bigint")).alias("total_rows_processed"))
+    ).agg(F.sum(rows.try_cast("bigint")).alias("total_rows_processed"))
     return counts if active is None else join_to_unique(counts, active, ["pipeline_id"], "left_semi")
 
 
+def with_variants(event_log: DataFrame) -> DataFrame:
+    """The log with its documents parsed once and for all; text that is no document stays in ``malformed``."""
+    parsed = event_log.withColumn("_parsed", F.try_parse_json("details"))
+    malformed = F.when(F.col("_parsed").isNull(), F.col("details"))
+    return parsed.select(
+        *(F.col("_parsed").alias(c) if c == "details" else F.col(c) for c in event_log.columns), malformed.alias("malformed")
+    )
+
+
+def read_event_logs(spark: SparkSession, logs: Sequence[str], columns: str = EVENT_LOG) -> tuple[DataFrame | None, DataFrame]:
+    """The events of all parquet logs that can be read, and a table of those that cannot (``source``, ``reason``).
+
+    A log is a file or a folder, such as that of one pipeline.
+    """
+    return readable(spark, logs, lambda paths: spark.read.schema(columns).parquet(*paths))
+
+
 def with_row_counts(runs: DataFrame, counts: DataFrame | None) -> DataFrame:
     """Attach the counts of pipeline updates; a null column if there are none to attach."""
     if counts is None:

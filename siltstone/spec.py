@@ -31,8 +31,8 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...]
     primary_keys: tuple[str, ...]
     incremental_columns: tuple[str, ...] = ()
-    bronze_cluster_by: str | None = None
-    silver_cluster_by: str | None = None
+    bronze_cluster_by: tuple[str, ...] = ()
+    silver_cluster_by: tuple[str, ...] = ()
     read_options: Mapping[str, str] = field(default_factory=dict)
     source_type: str | None = None
     source_path: str | None = None
@@ -76,8 +76,8 @@ def table_spec(config: Mapping[str, Any], table: str) -> TableSpec:
         columns=tuple(column_spec(c) for c in raw["columns"]),
         primary_keys=keys,
         incremental_columns=_names(silver.get("incremental_columns")),
-        bronze_cluster_by=_one(bronze.get("cluster_by_col")),
-        silver_cluster_by=_one(silver.get("partition_columns")),
+        bronze_cluster_by=_names(bronze.get("cluster_by_col")),
+        silver_cluster_by=_names(silver.get("partition_columns")),
         read_options=bronze.get("read_options") or files.get("read_options") or {},
         source_type=bronze.get("source_type"),
         source_path=files.get("s3_path"),
@@ -90,7 +90,3 @@ def _names(value: Any) -> tuple[str, ...]:
         return ()
     return (value,) if isinstance(value, str) else tuple(value)
 
-
-def _one(value: Any) -> str | None:
-    names = _names(value)
-    return names[0] if names else None

@@ -52,7 +52,7 @@ def ingest_files(
     checkpoint: str,
     options: FileOptions,
     as_strings: Iterable[str] = (),
-    cluster_by: str | None = None,
+    cluster_by: str | Iterable[str] = (),
     max_files: int | None = None,
     as_of: datetime | None = None,
 ) -> None:
@@ -320,15 +320,16 @@ def stream_bronze(spark: SparkSession, target: str, max_files: int | None = None
     return reader.parquet(target)
 
 
-def overwrite_bronze(df: DataFrame, target: str, cluster_by: str | None = None) -> None:
+def overwrite_bronze(df: DataFrame, target: str, cluster_by: str | Iterable[str] = ()) -> None:
     """Replace a bronze table by a batch read (JDBC); readers see the old rows until the new ones are all there."""
     replace_table(_sorted_by(df, cluster_by), target)
 
 
-def _sorted_by(df: DataFrame, column: str | None) -> DataFrame:
+def _sorted_by(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
     """Rows sorted within each file, so that row groups can be skipped.
 
     Ranging them over files too would read the source twice, once to sample it;
     ``operators.layout`` does that for a table that is already stored.
     """
-    return df.sortWithinPartitions(qualified(column)) if column and column in df.columns else df
+    present = [c for c in ([columns] if isinstance(columns, str) else columns) if c in df.columns]
+    return df.sortWithinPartitions(*map(qualified, present)) if present else df

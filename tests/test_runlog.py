@@ -219,3 +219,19 @@ def test_union_of_frames(spark):
     assert union_frames([a, b, a]).count() == 6
     c = spark.createDataFrame([(1, "x")], "n int, id string")
     assert union_frames([c, c.select("id", "n")], by_name=True).distinct().count() == 1
+
+
+def test_broken_logs_are_left_out_and_named(spark, tmp_path):
+    schema = "origin STRUCT<pipeline_id: STRING, update_id: STRING>, event_type STRING, details STRING"
+    document = '{"flow_progress":{"status":"COMPLETED","metrics":{"num_output_rows":"5"}}}'
+    for k in range(5):
+        spark.createDataFrame([((str(k), "u"), "flow_progress", document)], schema).coalesce(1).write.parquet(f"{tmp_path}/{k}")
+    (file,) = (tmp_path / "3").glob("*.parquet")
+    file.write_bytes(file.read_bytes()[:-30])
+    (tmp_path / "3" / f".{file.name}.crc").unlink(missing_ok=True)
+    events, skipped = runlog.read_event_logs(spark, [f"{tmp_path}/{k}" for k in range(6)])
+    assert sorted(r.source[-1] for r in skipped.collect()) == ["3", "5"] and all(r.reason for r in skipped.collect())
+    assert {r.pipeline_id: r.total_rows_processed for r in runlog.row_counts(events).collect()} == {k: 5 for k in "0124"}
+    events, skipped = runlog.read_event_logs(spark, [f"{tmp_path}/3"])
+    assert events is None and skipped.count() == 1
+    assert runlog.read_event_logs(spark, [])[0] is None
