@@ -42,7 +42,7 @@ LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
 SHARDS = 2
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 16_000_000
 # Cells of the table of phrases that have reached the threshold: one byte each.
 CELLS = 1 << 24
 NEVER = 255
@@ -157,7 +157,7 @@ def counted(rows: DataFrame, step: int, shards: int, reached: np.ndarray, longes
             # When the phrases of one word less reached the threshold, at each place.
             first, second = cells_of(phrase, cells)
             when = np.maximum(table[first], table[second])
-            start = np.maximum(when[:-1], when[1:]).astype(np.int64)[: max(0, len(ids) - size + 1)] + 1
+            start = np.maximum(when[:-1], when[1:])[: max(0, len(ids) - size + 1)].astype(np.int16) + 1
             whole = piece[: len(start)] == piece[size - 1 :]
             place = np.flatnonzero(whole & (start <= step) & (start > step - shards))
             if len(place):
@@ -225,7 +225,8 @@ def frequent_phrases(
         if state is not None:
             # What has been counted for a full cycle is whole and goes no further.
             fresh = fresh.unionByName(state.where(F.col("start") > step - shards))
-        state = store(fresh.groupBy("key", "start").agg(F.sum("n").alias("n")), "phrase-counts")
+        summed = fresh.groupBy("key", "start").agg(F.sum("n").alias("n"))
+        state = store(summed.where((F.col("start") > step - shards + 1) | (F.col("n") >= least)), "phrase-counts")
         frequent = opened(state.where(F.col("n") >= least))
         whole.append(frequent.where(F.col("start") == step - shards + 1))
         found = cells_reached(frequent.where(F.col("words") < longest), reached)
