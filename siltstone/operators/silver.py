@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
@@ -86,6 +88,23 @@ def observe_rules(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFrame, O
     return df.observe(observation, *counts), observation
 
 
+def observed_counts(df: DataFrame, rules: Mapping[str, str], observation: Observation) -> dict[str, int]:
+    """What ``observation`` has seen of ``df``; counted by a pass of its own if nothing was left to observe.
+
+    Where no row passes, adaptive execution replaces the plan by an empty one,
+    and the observation goes with it.
+    """
+    try:
+        found = observation.get
+    except (Py4JJavaError, PySparkException):
+        found = {}
+    if found:
+        return found
+    return {
+        f"{row.rule}_{what}": row[what] for row in rule_metrics(df, rules).collect() for what in ("passed", "dropped")
+    }
+
+
 def _pass_and_drop(predicate: str) -> tuple[Column, Column]:
     holds = F.coalesce(F.expr(predicate), F.lit(False))
     return F.count_if(holds), F.count_if(~holds)
