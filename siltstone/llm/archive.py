@@ -24,6 +24,8 @@ BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RADIX32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "urn:page:"
+CONTENT_TYPE = "text/html; charset=utf-8"
+DATE = "1970-01-01T00:00:00Z"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -33,7 +35,7 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), RADIX32_DIGITS, BASE32_DIGITS)
 
 
-def _header(record_type: Column, refers_to: Column) -> Column:
+def _header(record_type: Column, refers_to: Column, date: str) -> Column:
     """The header block of a record, up to and including its empty line."""
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(BREAK))
@@ -42,6 +44,7 @@ def _header(record_type: Column, refers_to: Column) -> Column:
         F.lit(VERSION + BREAK),
         line("WARC-Type", record_type),
         line("WARC-Record-ID", F.concat(F.lit(f"<{RECORD_ID}"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "[\r\n]", " ")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(
@@ -51,13 +54,18 @@ def _header(record_type: Column, refers_to: Column) -> Column:
                 line("WARC-Profile", F.lit(REVISIT_PROFILE)),
                 line("Content-Length", F.lit("0")),
             ),
-        ).otherwise(line("Content-Length", F.col("payload_bytes").cast("string"))),
+        ).otherwise(
+            F.concat(line("Content-Type", F.lit(CONTENT_TYPE)), line("Content-Length", F.col("payload_bytes").cast("string")))
+        ),
         F.lit(BREAK),
     )
 
 
-def write_archive(pages: DataFrame, path: str) -> None:
-    """Write the ``payloads`` and ``headers`` tables of ``pages`` (``page_id``, ``url``, ``html``) below ``path``."""
+def write_archive(pages: DataFrame, path: str, date: str = DATE) -> None:
+    """Write the ``payloads`` and ``headers`` tables of ``pages`` (``page_id``, ``url``, ``html``) below ``path``.
+
+    ``date`` is when the pages were fetched, which the table does not tell.
+    """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     records = pages.select(
         "page_id",
@@ -72,7 +80,7 @@ def write_archive(pages: DataFrame, path: str) -> None:
     headed = records.join(owners, "address").select(
         "address",
         _header(
-            F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")), F.when(revisit, F.col("owner"))
+            F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")), F.when(revisit, F.col("owner")), date
         ).alias("header"),
     )
     headed.write.parquet(f"{path}/headers")
@@ -123,4 +131,18 @@ def parsed(records: DataFrame) -> DataFrame:
 def record_bytes(records: DataFrame) -> DataFrame:
     """The exact bytes of every record as an archive file holds them; a revisit has no block."""
     block = F.when(_field("WARC-Type", "(\\w+)") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return records.select("address", F.concat(F.col("header").cast("binary"), block, F.lit(b"\r\n\r\n")).alias("record"))
+    return records.withColumn("record", F.concat(F.col("header").cast("binary"), block, F.lit(b"\r\n\r\n")))
+
+
+def reread(records: DataFrame) -> DataFrame:
+    """Records as ``record_bytes`` gives them, with the header taken out of the bytes again.
+
+    A record whose block is not as long as its header says, or that does not end
+    as a record must, fails the read.
+    """
+    head = F.concat(F.substring_index(F.col("record").cast("string"), BREAK + BREAK, 1), F.lit(BREAK + BREAK))
+    parts = records.withColumn("header", head).withColumn("_size", F.octet_length("header"))
+    length = _field("Content-Length", "(\\d+)").cast("int")
+    whole = (F.octet_length("record") == F.col("_size") + length + 4) & (F.substring("record", -4, 4) == F.lit(b"\r\n\r\n"))
+    failed = F.raise_error(F.lit("a record is not as long as its header says"))
+    return parts.withColumn("header", F.when(whole, F.col("header")).otherwise(failed)).drop("_size")

@@ -127,14 +127,16 @@ class Trie:
             encode(bases[at] + word.astype(np.int64)), quantised(backoff).tobytes(), quantised(log10).tobytes(),
         ])
 
-    def log10(self, context: np.ndarray, word: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """Log probability of every ``word`` after its ``context``; ``unigram`` is its own one, for backing off.
+    def codes(self, context: np.ndarray, word: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+        """Code of the log probability of every ``word`` after its ``context``; ``unigram`` is the code of its own one, for backing off.
 
         A context's place gives its range of successors and what their values
         are relative to; the successor is then searched in the one sequence.
+        Codes add up like the logarithms they stand for.
         """
+        unigram = unigram.astype(np.int64)
         if not len(self.contexts):
-            return unigram.astype(np.float64)
+            return unigram
         known = self.contexts.decode()
         at = np.minimum(np.searchsorted(known, context), len(known) - 1)
         seen = known[at] == context
@@ -146,7 +148,11 @@ class Trie:
         found = seen & (place >= pointers[at]) & (place < pointers[at + 1])
         if len(successors):
             found &= successors[place] == wanted
-        backed = np.where(seen, restored(self.backoff[at]), 0.0) + unigram
+        backed = np.where(seen, self.backoff[at].astype(np.int64), 0) + unigram
         if not len(self.successors):
             return backed
-        return np.where(found, restored(self.code[place]), backed)
+        return np.where(found, self.code[place].astype(np.int64), backed)
+
+    def log10(self, context: np.ndarray, word: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+        """The log probabilities themselves, those of the words alone being given as such."""
+        return restored(self.codes(context, word, quantised(unigram)))

@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import arrow_batches, store
-from siltstone.llm.elias_fano import Trie
+from siltstone.llm.elias_fano import Trie, quantised, restored
 from siltstone.llm.blobs import by_shard, joined, packed, packed_ids, unpacked, unpacked_ids
 from siltstone.llm.words import column_bytes, mix, row_chunks, word_hashes
 
@@ -129,12 +129,9 @@ def count_words(part: pd.DataFrame) -> pd.DataFrame:
 
 
 PAIRS = (
-    "batch string, shard int, n_docs int, contexts binary, words binary, totals binary, codes binary, trained binary, "
+    "batch string, shard int, contexts binary, words binary, totals binary, codes binary, trained binary, "
     "times binary, docs binary"
 )
-#: Unigram log probabilities travel as bytes, in steps of 1 / 25.
-STEPS = 25
-
 
 def unigrams(counts: np.ndarray, n_tokens: int, n_words: int) -> np.ndarray:
     return np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
@@ -185,7 +182,8 @@ def pair_rows(batch: pd.DataFrame, answers: pd.DataFrame, shards: int, word_shar
     key, some = pair[order[first]], order[first]
     times = np.diff(np.append(first, len(order)))
     trained = np.add.reduceat(~held[doc[order]], first, dtype=np.int64)
-    codes = np.minimum(np.rint(unigrams(counts, n_tokens, n_words) * -STEPS), 255).astype(np.int64)[tokens[some]]
+    # Probabilities travel as the codes that the tries have: down to 1e-16, which no count reaches.
+    codes = quantised(unigrams(counts, n_tokens, n_words)).astype(np.int64)[tokens[some]]
     totals = total[some]
     # A context with more than its share of the tokens is dealt out by the word as well.
     salts = np.maximum(1, totals * (4 * shards) // max(1, n_tokens))
@@ -194,7 +192,7 @@ def pair_rows(batch: pd.DataFrame, answers: pd.DataFrame, shards: int, word_shar
     tokens_of = dict(by_shard(np.repeat(place, times)))
     rows = [
         (
-            r["batch"], s, len(lengths), packed(np.diff(key[m] >> width, prepend=0)), packed(key[m] & ((1 << width) - 1)), packed(totals[m]),
+            r["batch"], s, packed(np.diff(key[m] >> width, prepend=0)), packed(key[m] & ((1 << width) - 1)), packed(totals[m]),
             packed(codes[m]), packed(trained[m]), packed(times[m]), packed(docs_in_order[tokens_of[s]]),
         )
         for s, m in by_shard(place)
@@ -202,17 +200,19 @@ def pair_rows(batch: pd.DataFrame, answers: pd.DataFrame, shards: int, word_shar
     return pd.DataFrame(rows, columns=[f.split()[0] for f in PAIRS.split(", ")])
 
 
-def best_weights(count: np.ndarray, total: np.ndarray, unigram: np.ndarray, sizes: int) -> np.ndarray:
+def best_weights(count: np.ndarray, total: np.ndarray, unigram: np.ndarray, sizes: int, weights: Sequence[float]) -> np.ndarray:
     """The best weight for contexts of each size (power of two), one occurrence left out of the counts."""
     size = np.log2(total).astype(np.int64)
-    gain = np.empty((len(WEIGHTS), sizes))
-    for k, m in enumerate(WEIGHTS):
+    gain = np.empty((len(weights), sizes))
+    for k, m in enumerate(weights):
         each = count * np.log10((count - 1 + m * unigram) / (total - 1 + m))
         gain[k] = np.bincount(size, each, sizes)
-    return np.array(WEIGHTS)[gain.argmax(axis=0)]
+    return np.array(weights)[gain.argmax(axis=0)]
 
 
-def trie_of(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray, log10: np.ndarray) -> bytes:
+def trie_of(
+    context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray, log10: np.ndarray, weights: Sequence[float]
+) -> bytes:
     """The trie of one shard from its pairs, sorted by context and word; ``total`` counts the context, ``count`` the pair.
 
     A context that the training texts hold has its back-off weight here even if
@@ -224,16 +224,19 @@ def trie_of(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.
     use = np.flatnonzero(count)
     context, word, count, each, unigram = context[use], word[use], count[use], total[use].astype(np.float64), 10.0 ** log10[use]
     if not len(use):
-        return Trie.build(context, word, unigram, contexts, np.log10(WEIGHTS[-1] / (totals + WEIGHTS[-1])))
-    weights = best_weights(count, each, unigram, int(np.log2(totals.max())) + 1)
-    m = weights[np.log2(each).astype(np.int64)]
-    own = weights[np.log2(totals).astype(np.int64)]
+        return Trie.build(context, word, unigram, contexts, np.log10(weights[-1] / (totals + weights[-1])))
+    best = best_weights(count, each, unigram, int(np.log2(totals.max())) + 1, weights)
+    m = best[np.log2(each).astype(np.int64)]
+    own = best[np.log2(totals).astype(np.int64)]
     smoothed = np.log10((count + m * unigram) / (each + m))
     return Trie.build(context, word, smoothed, contexts, np.log10(own / (totals + own)))
 
 
-def score_shard(part: pd.DataFrame) -> pd.DataFrame:
-    """Build the trie of one shard of contexts, and sum its log probabilities per batch and document."""
+def score_shard(part: pd.DataFrame, weights: Sequence[float] = WEIGHTS) -> pd.DataFrame:
+    """Build the trie of one shard of contexts, and sum the codes of its log probabilities per batch and document.
+
+    Only documents that occur among the shard's pairs are answered for, with whole numbers.
+    """
     def all_of(column: str) -> np.ndarray:
         return np.concatenate([unpacked(c) for c in part[column]]).astype(np.int64)
 
@@ -247,24 +250,27 @@ def score_shard(part: pd.DataFrame) -> pd.DataFrame:
     first = np.flatnonzero(new)
     some = order[first]
     count = np.add.reduceat(all_of("trained")[order], first)
-    log10 = all_of("codes")[some] / -STEPS
+    own = all_of("codes")[some]
     context, word, total = context[some], word[some], all_of("totals")[some]
-    trie = Trie(trie_of(context, word, count, total, log10))
-    found = np.empty(len(order))
-    found[order] = trie.log10(context, word, log10)[np.cumsum(new) - 1]
+    trie = Trie(trie_of(context, word, count, total, restored(own), weights))
+    found = np.empty(len(order), np.int64)
+    found[order] = trie.codes(context, word, own)[np.cumsum(new) - 1]
     rows, at = [], 0
     for r, n in zip(part.itertuples(), sizes):
         each = np.repeat(found[at : at + n], unpacked(r.times).astype(np.int64))
-        rows.append((r.batch, np.bincount(unpacked(r.docs), each, r.n_docs).tobytes()))
+        docs = unpacked(r.docs).astype(np.int64)
+        present = np.unique(docs)
+        sums = np.bincount(docs, each)[present].astype(np.int64)  # whole numbers, exact below 2 ** 53
+        rows.append((r.batch, packed(np.diff(present, prepend=0)), packed(sums)))
         at += n
-    return pd.DataFrame(rows, columns=["batch", "sums"])
+    return pd.DataFrame(rows, columns=["batch", "docs", "sums"])
 
 
 BASE = "batch string, doc_ids binary, held binary, lengths binary, known binary, base binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, weights: Sequence[float] = WEIGHTS) -> DataFrame:
     """The contract's columns for every row of ``docs`` (``doc_id``, ``text``)."""
     batches = store(encoded(docs), "token-batches")
     size = batches.agg(F.sum(F.octet_length("words") / 8 + F.octet_length("tokens")), F.count("*")).first()
@@ -281,7 +287,7 @@ def scored(docs: DataFrame) -> DataFrame:
     pairs = asking.cogroup(answered.groupBy("batch")).applyInPandas(
         lambda b, a: pair_rows(b, a, shards, word_shards, n_tokens, n_words), PAIRS
     )
-    parts = pairs.groupBy("shard").applyInPandas(score_shard, "batch string, sums binary")
+    parts = pairs.groupBy("shard").applyInPandas(lambda p: score_shard(p, weights), "batch string, docs binary, sums binary")
 
     def base(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         r = batch.iloc[0]
@@ -291,13 +297,13 @@ def scored(docs: DataFrame) -> DataFrame:
     def finish(batch: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
         r = batch.iloc[0]
         lengths = unpacked(r["lengths"]).astype(np.int64)
-        total = np.zeros(len(lengths))
-        for data in sorted(sums["sums"]):  # a fixed order of summing
-            total += np.frombuffer(data)
+        total = np.zeros(len(lengths), np.int64)
+        for docs, codes in zip(sums["docs"], sums["sums"]):
+            total[np.cumsum(unpacked(docs).astype(np.int64))] += unpacked(codes).astype(np.int64)
         return pd.DataFrame({
             "doc_id": unpacked_ids(r["doc_ids"]), "held_out": unpacked(r["held"]).astype(bool), "n_tokens": lengths,
             "n_known": unpacked(r["known"]).astype(np.int64), "train_tokens": np.int64(n_tokens),
-            "base_score": np.frombuffer(r["base"]), "score": total,
+            "base_score": np.frombuffer(r["base"]), "score": restored(total),
         })
 
     bases = asking.cogroup(answered.groupBy("batch")).applyInPandas(base, BASE)

@@ -30,7 +30,8 @@ from siltstone.llm.common import arrow_batches, numbered, store
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-SALTS = 64
+SALT_ROWS = 1_000_000  # pieces of one length that one task ranks
+MIN_SALTS = 64
 CACHED_WORDS = 300_000
 SEARCH_NODES = 2_000
 
@@ -313,8 +314,8 @@ def segments(plan: Plan) -> list[tuple[int, int, int, int, int, int]]:
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``cut_pieces`` with ``sequence_id`` and ``offset``, in as few sequences as the search finds."""
     spark = cut_pieces.sparkSession
-    salt = F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int").alias("salt")
-    stored = store(cut_pieces.select("*", salt), "pieces")
+    spread = F.xxhash64(F.monotonically_increasing_id()).alias("spread")
+    stored = store(cut_pieces.select("*", spread), "pieces")
     counts = [0] * (capacity + 1)
     for length, n in stored.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[length] = n
@@ -322,7 +323,9 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         segments(plan_bins(counts, capacity)) or [(0, 0, 0, 0, 1, 0)],
         "length long, low long, high long, first long, each long, at long",
     )
-    ranked = numbered(stored, "length", "salt", "rank")
+    salts = max(MIN_SALTS, -(-max(counts) // SALT_ROWS))
+    salted = stored.withColumn("salt", F.pmod("spread", F.lit(salts)).cast("int")).drop("spread")
+    ranked = numbered(salted, "length", "salt", "rank")
     k = F.col("rank") - F.col("low")
     return (
         ranked.join(F.broadcast(places), "length")  # a few rows per length, bounded by the patterns

@@ -21,20 +21,22 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import secrets
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import BROADCAST_ROWS, arrow_batches, store
+from siltstone.llm.common import arrow_batches, if_small, store
 
-DEFAULT_KEY = "surrogates"  # a real run passes its own secret
+KEY_CONF = "siltstone.surrogate.key"
 ROUNDS = 8
 DRAWS = 50
+DRAWN_DOCS = 100_000  # so many documents' drawn entities are broadcast
 
 # Forms of address and the gender they tell, and syllables of two scripts.
 TITLES = {
@@ -297,7 +299,8 @@ def mentions(docs: DataFrame) -> DataFrame:
             )
 
     arrow_batches(docs.sparkSession)
-    likely = docs.where(F.col("text").rlike("[0-9@]|" + _TITLE_AHEAD.pattern))
+    # No entity is without one of these: digits, an at sign, an assignment, a form of address.
+    likely = docs.where(F.col("text").rlike("[0-9@=:]|" + _TITLE_AHEAD.pattern))
     return likely.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, kind string, entity string")
 
 
@@ -330,29 +333,38 @@ def redrawn(entities: DataFrame, key: bytes) -> DataFrame:
 ADDED = "n_entities int, entities array<struct<kind: string, start: int, end: int>>"
 
 
-def redact(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
-    """``docs`` with ``text`` rewritten, ``n_entities`` and the spans of ``entities`` in the original text."""
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret of the session's settings, else a fresh one that nobody knows: surrogates of two runs then differ."""
+    return spark.conf.get(KEY_CONF, None) or secrets.token_hex(32)
+
+
+def redact(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with ``text`` rewritten, ``n_entities`` and the spans of ``entities`` in the original text.
+
+    ``key`` is the secret that the surrogates follow from; whoever has it can undo them.
+    """
+    if not key:
+        raise ValueError("surrogates need a secret key")
     secret = hashlib.sha256(key.encode()).digest()
     found = mentions(docs)
     again = store(redrawn(found.select("kind", "entity").distinct(), secret), "redrawn")
     given = docs.drop("n_entities", "entities")
     names = given.columns
-    few = again.count() <= BROADCAST_ROWS
-    draws = {(r.kind, r.entity): r.draw for r in again.collect()} if few else {}
-    if not few:  # each document brings the draws of its own entities
+    none = again.isEmpty()
+    if not none:  # each document brings the draws of its own entities
         own = found.join(again, ["kind", "entity"]).groupBy("doc_id").agg(
             F.collect_set(F.struct("kind", "entity", "draw")).alias("_draws")
         )
-        own = own.withColumnRenamed("doc_id", "_doc")
-        given = given.join(own, given["doc_id"].eqNullSafe(own["_doc"]), "left").select(*names, "_draws")
+        own = store(own.withColumnRenamed("doc_id", "_doc"), "draws")
+        given = given.join(if_small(own, DRAWN_DOCS), given["doc_id"].eqNullSafe(own["_doc"]), "left").select(*names, "_draws")
     text_at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            brought = batch.column(len(names)).to_pylist() if not few else None
+            brought = None if none else batch.column(len(names)).to_pylist()
             texts, n, spans = [], [], []
             for i, text in enumerate(batch.column(text_at).to_pylist()):
-                own = {(d["kind"], d["entity"]): d["draw"] for d in brought[i] or ()} if brought else draws
+                own = {(d["kind"], d["entity"]): d["draw"] for d in brought[i] or ()} if brought else {}
                 new, entities = rewrite(text, secret, own) if text else (text, [])
                 texts.append(new)
                 n.append(len(entities))

@@ -29,7 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "archive")
     archive.write_archive(table(spark, sf_dir, "pages"), path)
-    return archive.parsed(archive.read_archive(spark, path)).select(
+    records = archive.reread(archive.record_bytes(archive.read_archive(spark, path)))
+    return archive.parsed(records).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
@@ -89,7 +90,7 @@ def op1_family_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.redact(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.surrogate_key(spark))
 
 
 @query

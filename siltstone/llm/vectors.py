@@ -14,8 +14,9 @@ a block returns counts and a spanning forest, not pairs.
 Defined results: a vector that is null, empty, zero or holds a null or
 non-finite component, or whose label is null, links with nothing; vectors of
 different lengths never link; equal vectors of a label link with each other;
-repeated ids share one component.  Empty tables give empty results, other
-columns are not read.
+repeated ids share one component; vectors without an id link like others but
+name no component, unless no other vector is in theirs.  Empty tables give empty
+results, other columns are not read.
 """
 
 from __future__ import annotations
@@ -82,9 +83,10 @@ def representatives(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
     grouped = marked.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min("group").alias("group"), F.min("embedding").alias("embedding")
+        F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.min("group").alias("group"), F.min("embedding").alias("embedding")
     )
-    return marked.select("vec_id", "digest"), grouped
+    # Vectors are told apart by a number of their own, so that those without an id are compared as well.
+    return marked.select("vec_id", "digest"), grouped.withColumn("id", F.monotonically_increasing_id())
 
 
 def bundles(centres: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -295,13 +297,17 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     components = connected_components(found.select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    labelled = reps.select("digest", "id", "copies").join(links, "id", "left").join(components, "id", "left").select(
-        "digest",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id"),
+    labelled = store(
+        reps.select("digest", "id", "low", "copies").join(links, "id", "left").join(components, "id", "left").select(
+            "digest", "low",
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("component", "id").alias("root"),
+        ), "components",
     )
-    named = marked.join(labelled, "digest", "left").select(
+    lowest = labelled.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = marked.join(labelled.join(lowest, "root"), "digest", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
+        # Nothing but a vector that links with nothing has no digest.
+        F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
     return named.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

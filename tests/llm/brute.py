@@ -154,3 +154,120 @@ def without_repeats(docs, length=200):
         kept = bytes(np.frombuffer(body, np.uint8)[~gone])
         found[i] = (len(body), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
     return found
+
+
+def bigram_scores(docs, m):
+    """doc_id -> score of the smoothed word-pair model itself, without tries, shards and rounding, all contexts with one weight."""
+    import math
+    from collections import Counter
+
+    begin, end = object(), object()
+    tokens = {i: [*word_list(t), end] for i, t in docs}
+    trained = [own for i, own in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    words = Counter(t for own in trained for t in own)
+    follows = Counter(p for own in trained for p in zip([begin, *own], own))
+    contexts = words | Counter({begin: words[end]})
+    n, v = sum(words.values()), len(words)
+
+    def log10(before, word):
+        alone = (words[word] + 0.5) / (n + 0.5 * (v + 1))
+        return math.log10((follows[before, word] + m * alone) / (contexts[before] + m)) if contexts[before] else math.log10(alone)
+
+    return {i: sum(log10(*p) for p in zip([begin, *own], own)) for i, own in tokens.items()}
+
+
+def alignments(docs):
+    """The contract's eight columns, whole texts encoded and compared byte by byte."""
+    import hashlib
+    from collections import Counter
+
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    one = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in shown}
+    letters |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+
+    def tokens(text):
+        plain = (" " + text).encode()
+        a = [(i, bytes(letters[c] for c in one.id_to_token(i))) for i in one.encode(" " + text, add_special_tokens=False).ids]
+        b = [(i, bytes([int(two.id_to_piece(i)[3:5], 16)]) if two.is_byte(i) else two.id_to_piece(i).replace("\u2581", " ").encode()) for i in two.encode(text)]
+        return (a, b) if b"".join(x for _, x in a) == plain == b"".join(x for _, x in b) else ([], [])
+
+    found, count = [], Counter()
+    for i, text in docs:
+        a, b = tokens(text) if text else ([], [])
+        owner = [[k for k, (_, x) in enumerate(side) for _ in x] for side in (a, b)]
+        links = [(a[x][0], b[y][0]) for x, y in dict.fromkeys(zip(*owner))]
+        count.update(links)
+        ends = [set(), set()]
+        for side, own in zip((a, b), ends):
+            at = 0
+            for _, x in side:
+                at += len(x)
+                own.add(at)
+        groups, begin = [], 0
+        for end in sorted(ends[0] & ends[1]):
+            groups.append("|".join(",".join(str(side[k][0]) for k in sorted(set(own[begin:end]))) for side, own in zip((a, b), owner)))
+            begin = end
+        found.append((i, len(a), len(b), len(groups), links, hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""))
+    best = defaultdict(int)
+    for (_, y), n in count.items():
+        best[y] = max(best[y], n)
+    return [
+        (i, n_a, n_b, n_groups, len(links), sum(count[x] == best[x[1]] for x in links), sum(count[x] for x in links), sha)
+        for i, n_a, n_b, n_groups, links, sha in found
+    ]
+
+
+def phrases(docs, least, top):
+    """``docs``: (lang, text).  The contract's rows, all phrases counted in dictionaries."""
+    from collections import Counter
+
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered):
+            words = tuple(re.findall(r"[^\x20\x09]+", piece))
+            totals[lang] += len(words)
+            for k in range(1, 6):
+                counts[lang].update(words[i : i + k] for i in range(len(words) - k + 1))
+    rows = []
+    for lang, f in counts.items():
+        held = {}
+        for p, n in f.items():
+            if n >= least and len(p) > 2:
+                for k in range(2, len(p)):
+                    for i in range(len(p) - k + 1):
+                        held[p[i : i + k]] = max(held.get(p[i : i + k], 0), n)
+        ranked = []
+        for p, a in f.items():
+            if a < least or len(p) < 2 or 100 * held.get(p, 0) >= 100 * a:
+                continue
+            score, _, left, right = min((1000 * a * totals[lang] // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            ranked.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(ranked)[:top], 1):
+            rows.append((lang, rank, p.decode(), -a, left, right, totals[lang], -score))
+    return sorted(rows)
+
+
+def secrets(docs):
+    """doc_id, three counts and the digest of the plain spans, by the patterns as the contract writes them."""
+    import hashlib
+
+    patterns = [
+        (r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?((?-i:[A-Za-z0-9+/_.=-]+))""", re.I | re.A, lambda m: len(m[2]) >= 12),
+        (r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 18),
+        (r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 16),
+    ]
+    rows = []
+    for i, text in docs:
+        spans = [(m.start(), k, m.end()) for k, (p, flags, ok) in enumerate(patterns) for m in re.finditer(p, text or "", flags) if ok(m)]
+        joined = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in sorted(spans))
+        rows.append((i, *(sum(x[1] == k for x in spans) for k in range(3)), hashlib.sha256(joined.encode()).hexdigest()))
+    return rows
