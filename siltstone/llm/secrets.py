@@ -58,6 +58,7 @@ _ESCAPE = re.compile(
 _ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,}(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}|[A-Za-z0-9+/_-]{22,}={0,2})")
 _PARTS = re.compile(r"[A-Za-z0-9]{22,}={0,2}")
 _BREAK = re.compile(r"\r?\n")
+_LINE = re.compile(r"[^\r\n]+")
 _UNPRINTED = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -241,6 +242,10 @@ def decoded_tokens(layer: Layer, data: bytes, largest: int) -> Iterator[tuple[La
         return
     for m in _ENCODED.finditer(layer.text):
         found = list(_token(layer, m.start(), m[0], largest))
+        if not found and _BREAK.search(m[0]):  # a line of its own may end where other text begins
+            for line in _LINE.finditer(m[0]):
+                if len(line[0]) >= len(_TOKEN_RUN):
+                    found += _token(layer, m.start() + line.start(), line[0], largest)
         if not found and not m[0].isalnum():  # a path or a name with hyphens may hold one between them
             for part in _PARTS.finditer(m[0]):
                 if len(part[0]) < len(m[0]):

@@ -489,6 +489,7 @@ def test_secrets_are_found_in_layers():
                  "path/" + one, base64.b64encode(percent.encode()).decode(), base64.encodebytes(b"y" * 90 + plain).decode()):
         found = layers_of(f"see {text} end")
         assert {k for k, _ in found} == {"assign", "hex"}, text
+    assert {k for k, _ in layers_of(base64.b64encode(b"+" * 30 + plain).decode() + "\nword and more")} == {"assign", "hex"}
     # Mapped spans: three bytes are four characters, and what stands around an escape stays its context.
     assert layers_of("pass%77ord = abcdefghijkl")[0] == ("assign", "pass%77ord = abcdefghijkl")
     assert ("hex", percent[13 * 3 - 3 * 4 :][: 40 * 3]) not in layers_of("nothing here") and layers_of("a plain text, no secret") == []
