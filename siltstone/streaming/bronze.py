@@ -72,13 +72,14 @@ def ingest_files(
             return
         known = bronze_columns(session, target)
         folders = _folders(source, paths, known)
-        rows, unseen = _batch_rows(session, paths, folders, options, known, _found(session, target), as_strings)
+        found = _found(session, target) if looks else NOTHING
+        rows, unseen = _batch_rows(session, paths, folders, options, known, found, as_strings)
         if rows is None:
             return
         names = T.StructType([f for f in rows.schema.fields if f.name not in (SOURCE_PATH, RECORD, *unseen)])
         if options.format == "json" and options.add_columns:
             names = _with_mixed(rows, names, _settled(options, as_strings, known))
-        wanted = _wanted(options, names, as_strings, known, _found(session, target))
+        wanted = _wanted(options, names, as_strings, known, found)
         bronze = _sorted_by(_bronze_rows(rows, wanted, options, as_of, unseen), cluster_by)
         # One folder per batch of one checkpoint: a repeated batch replaces its own rows.
         bronze.write.mode("overwrite").parquet(f"{target}/{query_id(session)}/{batch_id:010d}")
@@ -89,7 +90,8 @@ def ingest_files(
         if paths:
             _look_into(batch.sparkSession, source, target, paths, options, as_strings)
 
-    if _looks_first(spark, target, options):
+    looks = _looks_first(spark, target, options)
+    if looks:
         _each_once(spark, source, f"{checkpoint}_found", look, max_files)
     _each_once(spark, source, checkpoint, append, max_files)
 
@@ -118,7 +120,7 @@ def _looks_first(spark: SparkSession, target: str, options: FileOptions) -> bool
 
 def _look_into(spark, source: str, target: str, paths: list[str], options: FileOptions, as_strings) -> None:
     """Merge what these files hold into what has been found so far."""
-    seen, counts = _found(spark, target)
+    seen, counts = before = _found(spark, target)
     settled = {f.name.lower() for f in _settled(options, as_strings, bronze_columns(spark, target))}
     infers = options.infer_types and options.is_text
     shape = T.StructType() if options.has_header else discovered_schema(spark, paths, options, infers)
@@ -129,15 +131,21 @@ def _look_into(spark, source: str, target: str, paths: list[str], options: FileO
             rows = with_folders(rows, folders)
             open_columns = [c for c in rows.columns if c not in (SOURCE_PATH, RECORD) and c.lower() not in settled]
             counts = merged_counts(counts, counted_types(rows, open_columns))
-    state = {"columns": merged_schema(seen, shape).json(), "counts": counts}
+    seen = merged_schema(seen, shape)
+    if (seen, counts) == before:
+        return
+    state = {"columns": seen.json(), "counts": counts}
     append_log(spark, f"{target}/_found", {"state": (pa.string(), [json.dumps(state)])})
 
 
+NOTHING: tuple[T.StructType, Counts] = (T.StructType(), {})
+
+
 def _found(spark: SparkSession, target: str) -> tuple[T.StructType, Counts]:
     """Columns found in files without a header record, and what fits which type."""
     row = newest_row(spark, f"{target}/_found", "number bigint, state string")
     if row is None:
-        return T.StructType(), {}
+        return NOTHING
     state = json.loads(row["state"])
     return T.StructType.fromJson(json.loads(state["columns"])), state["counts"]
 
