@@ -7,9 +7,13 @@ below the step.  Places of one set are thus never hit independently, which
 lowers the variance, and large sets stop after two or three steps.
 
 With 38 bands of five values a pair of similarity 0.85 shares no band with
-probability 2e-10, and one of 0.8 with 3e-7.  Sets that share a band are candidates; candidate groups are
-compared on their whole sets, in blocks inside tasks, and only a spanning forest
-of the links leaves a task.  Documents with equal sets are represented by one of
+probability 2e-10, and one of 0.8 with 3e-7.  Sets that share a band are candidates.  Bands chain
+half-similar sets into groups that can grow with the corpus, so groups beyond one
+block are first divided by the signatures' own estimate: members of a band are
+compared on a byte per place, and pairs far below the threshold part (an estimate
+seven standard deviations low, 2e-10 at 0.85).  What stays together is compared on
+whole sets, in blocks bounded by rows and shingles, and only a spanning forest of
+the links leaves a task.  Documents with equal sets are represented by one of
 them throughout.
 
 Defined results: null, empty and blank texts have an empty set and link with
@@ -20,12 +24,12 @@ results; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import arrow_batches, connected_components, if_small, store
@@ -36,6 +40,8 @@ ROWS = 5
 THRESHOLD = 85  # 100 * intersection >= 85 * union
 ELEMENTS = 30_000  # elements whose permutations are held at once
 BLOCK = 256  # documents compared with each other at once
+BLOCK_SHINGLES = 2_000_000  # and their shingles; a larger document meets others in blocks of its own
+MARKS = 1024  # signatures compared with each other at once
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,6 +101,11 @@ def band_hashes(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) ->
     return total
 
 
+def place_marks(signature: np.ndarray) -> np.ndarray:
+    """One byte per place of each signature; equal values have equal bytes, others with probability 1/256."""
+    return (mix(signature.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+
+
 def set_keys(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
     """Two 64-bit digests of each whole set."""
     with np.errstate(over="ignore"):
@@ -103,11 +114,11 @@ def set_keys(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
     return first, second
 
 
-SKETCH = "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, key_a long, key_b long, bands array<long>, marks binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Size, digest and band hashes of every document's shingle set (no bands for an empty one)."""
+    """Size, digest, band hashes and marks of every document's shingle set (no bands for an empty one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +126,8 @@ def sketches(docs: DataFrame) -> DataFrame:
             for low, high in row_chunks(offsets):
                 part = offsets[low : high + 1]
                 sets = shingle_sets(flat[part[0] : part[-1]], part - part[0])
-                bands = band_hashes(signatures(sets)).astype(np.int64)
+                signature = signatures(sets)
+                bands = band_hashes(signature).astype(np.int64)
                 filled = np.array([len(s) > 0 for s in sets])
                 at = np.concatenate([[0], np.cumsum(filled * BANDS)]).astype(np.int32)
                 first, second = set_keys(sets)
@@ -126,14 +138,35 @@ def sketches(docs: DataFrame) -> DataFrame:
                         pa.array(first, pa.int64()),
                         pa.array(second, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(at), pa.array(bands[filled].ravel())),
+                        pa.array([m.tobytes() for m in place_marks(signature)], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "key_a", "key_b", "bands"],
+                    ["doc_id", "n_shingles", "key_a", "key_b", "bands", "marks"],
                 )
 
     arrow_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
 
 
+def spanning_forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a symmetric 0/1 matrix that connect all it connects."""
+    first, second = np.nonzero(np.triu(linked, 1))
+    parent = list(range(len(linked)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    forest = []
+    for a, b in zip(first.tolist(), second.tolist()):
+        ra, rb = root(a), root(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+            forest.append((a, b))
+    return forest
+
+
 def links_within(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs at or above ``threshold``, all pairs compared on whole sets.
 
@@ -158,43 +191,94 @@ def links_within(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]
         common += matrix @ matrix.T
     linked = 100 * common.astype(np.float64) >= threshold * (sizes[:, None] + sizes[None, :] - common)
     linked &= common > 0
-    first, second = np.nonzero(np.triu(linked, 1))
-    parent = list(range(n))
+    return spanning_forest(linked)
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
 
-    forest = []
-    for a, b in zip(first.tolist(), second.tolist()):
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            forest.append((a, b))
-    return forest
+def least_alike(threshold: int, places: int = BANDS * ROWS) -> int:
+    """Equal places below which a pair is not of ``threshold`` (percent): seven standard deviations under it."""
+    share = threshold / 100
+    return int(places * (share - 7 * (share * (1 - share) / places) ** 0.5))
+
 
+def alike(marks: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of rows of ``marks`` that are equal at ``least`` places or more."""
+    same = np.zeros((len(marks), len(marks)), dtype=np.uint8)
+    for place in marks.T:
+        same += place[:, None] == place[None, :]
+    return spanning_forest(same >= least)
 
-def blocked(candidates: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``id`` and the ``block`` keys of every candidate: each pair of one group meets in some block.
 
-    Small groups are packed together.  A group of more than ``block`` members is
-    dealt into chunks, and every pair of chunks is a block, so a task holds at
-    most two chunks.
+def meetings(
+    members: DataFrame, rows: int, weight: int, compare: Callable[[DataFrame], DataFrame], purpose: str
+) -> DataFrame:
+    """Links (``a``, ``b``) that connect whatever ``compare`` links within a ``group`` of ``members``.
+
+    ``members`` has ``id``, ``group``, ``weight``; ``compare`` takes ``id`` and
+    ``block`` and gives a spanning forest of the links of each block.  Groups of up
+    to ``rows`` members and ``weight`` are packed together.  A larger one is dealt
+    into chunks that all hold its lightest member, so that most of a group is
+    connected when each member has been sent once.  Only members not connected to
+    the lightest one by then meet the rest: two members that are connected
+    already need not meet.
     """
-    sized = candidates.join(candidates.groupBy("component").agg(F.count("*").alias("n")), "component")
-    total = candidates.count()
-    packs = max(1, total // block)
-    chunks = F.ceil(2 * F.col("n") / block).cast("int")
-    chunk = F.pmod(F.xxhash64("id"), chunks).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(0), chunks - 1),
-        lambda other: F.concat_ws("/", F.col("component").cast("string"), F.least(chunk, other), F.greatest(chunk, other)),
+
+    def halves(n: str, total: str) -> Column:
+        return F.ceil(F.greatest(2 * F.col(n) / rows, 2 * F.col(total) / weight)).cast("int")
+
+    sizes = members.groupBy("group").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("total"), F.min(F.struct("weight", "id"))["id"].alias("hub")
     )
-    pack = F.concat(F.lit("pack"), F.pmod(F.xxhash64("component"), F.lit(packs)).cast("string"))
-    keys = F.when(F.col("n") <= block, F.array(pack)).otherwise(pairs)
-    return sized.select("id", F.explode(keys).alias("block"))
+    fits = (F.col("n") <= rows) & (F.col("total") <= weight)
+    sizes = sizes.withColumn("chunks", F.when(fits, 1).otherwise(halves("n", "total")))
+    dealt = members.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    dealt = store(dealt, purpose + "-dealt")
+    few, small, wide = dealt.agg(
+        F.count_if(F.col("chunks") == 1), F.sum(F.when(F.col("chunks") == 1, F.col("weight"))), F.count_if(F.col("chunks") > 1)
+    ).first()
+    packs = max(1, few // rows, (small or 0) // weight)
+    pack = F.array(F.pmod(F.xxhash64("group"), F.lit(packs)))
+    everywhere = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.xxhash64("group", c))
+    own = F.array(F.xxhash64("group", "chunk"))
+    keys = F.when(F.col("chunks") == 1, pack).when(F.col("id") == F.col("hub"), everywhere).otherwise(own)
+    links = store(compare(store(dealt.select("id", F.explode(keys).alias("block")).distinct(), purpose + "-blocks")), purpose)
+    if not wide:
+        return links
+    labels = connected_components(links).select("id", F.col("component").alias("label"))
+    named = dealt.where("chunks > 1").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = store(named, purpose + "-named")
+    centre = named.where("id = hub").select("group", F.col("label").alias("centre"))
+    named = named.join(centre, "group").withColumn("loose", F.col("label") != F.col("centre"))
+    rest = named.where("loose").groupBy("group").agg(F.count("*").alias("left"), F.sum("weight").alias("left_total"))
+    named = named.join(rest.withColumn("lots", halves("left", "left_total")), "group")
+    lot = F.pmod(F.xxhash64("id", F.lit("lot")), "lots").cast("int")
+    of_chunk = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda k: F.xxhash64("group", k, "chunk"))
+    of_lot = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.xxhash64("group", lot, c))
+    keys = F.when(F.col("loose"), F.array_union(of_chunk, of_lot)).otherwise(of_chunk)
+    blocks = store(named.select("id", F.explode(keys).alias("block")), purpose + "-blocks")
+    return links.unionByName(store(compare(blocks), purpose))
+
+
+def divided(candidates: DataFrame, groups: DataFrame, shared: DataFrame, threshold: int) -> DataFrame:
+    """``id`` and ``component`` of the candidates in groups beyond a block, divided by the signatures' estimate.
+
+    ``shared`` (``rep``, ``band``) holds the bands of more than one set.  Members
+    are compared within their bands only, on ``marks``.
+    """
+    least = least_alike(threshold)
+
+    def compare(blocks: DataFrame) -> DataFrame:
+        def run(part: pd.DataFrame) -> pd.DataFrame:
+            ids = part["id"].to_numpy()
+            marks = np.frombuffer(b"".join(part["marks"]), np.uint8).reshape(len(ids), -1)
+            forest = alike(marks, least)
+            return pd.DataFrame({"a": [ids[i] for i, _ in forest], "b": [ids[j] for _, j in forest]}, dtype="int64")
+
+        marked = groups.select(F.col("rep").alias("id"), "marks").join(blocks, "id")
+        return marked.groupBy("block").applyInPandas(run, "a long, b long")
+
+    members = shared.join(candidates.select(F.col("id").alias("rep")), "rep")
+    members = members.select(F.col("rep").alias("id"), F.col("band").alias("group"), F.lit(1).cast("long").alias("weight"))
+    return connected_components(meetings(members, MARKS, MARKS, compare, "alike"))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -203,23 +287,36 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     filled = sketch.where("n_shingles > 0")
     keys = ["n_shingles", "key_a", "key_b"]
     groups = store(
-        filled.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands")), "groups"
+        filled.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("marks").alias("marks")),
+        "groups",
     )
     hits = groups.select("rep", F.explode("bands").alias("band"))
     hubs = hits.groupBy("band").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
     stars = hits.join(hubs.drop("n"), "band").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    candidates = store(connected_components(stars), "candidates")
-    blocks = store(blocked(candidates), "blocks")
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates("doc_id")
-        flat, offsets = column_bytes(pa.array(part["text"], pa.large_string()))
-        ids = part["doc_id"].to_numpy()
-        forest = links_within(shingle_sets(flat, offsets), threshold)
-        return pd.DataFrame({"a": [ids[i] for i, _ in forest], "b": [ids[j] for _, j in forest]}, dtype="int64")
-
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(if_small(blocks), "id")
-    links = wanted.select(F.col("id").alias("doc_id"), "text", "block").groupBy("block").applyInPandas(compare, "a long, b long")
+    candidates = connected_components(stars).join(groups.select(F.col("rep").alias("id"), "n_shingles"), "id")
+    candidates = store(candidates, "candidates")
+    size = candidates.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    large = store(size.where((F.col("n") > BLOCK) | (F.col("total") > BLOCK_SHINGLES)).select("component"), "large")
+    members = candidates
+    if large.count():
+        wide = candidates.join(large, "component", "left_semi")
+        shared = hits.join(hubs.select("band"), "band", "left_semi")
+        parts = divided(wide, groups, shared, threshold).join(wide.select("id", "n_shingles"), "id")
+        members = candidates.join(large, "component", "left_anti").unionByName(parts)
+    members = members.select("id", F.col("component").alias("group"), F.col("n_shingles").alias("weight"))
+
+    def compare(blocks: DataFrame) -> DataFrame:
+        def run(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.drop_duplicates("id")
+            flat, offsets = column_bytes(pa.array(part["text"], pa.large_string()))
+            ids = part["id"].to_numpy()
+            forest = links_within(shingle_sets(flat, offsets), threshold)
+            return pd.DataFrame({"a": [ids[i] for i, _ in forest], "b": [ids[j] for _, j in forest]}, dtype="int64")
+
+        wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(if_small(blocks), "id")
+        return wanted.groupBy("block").applyInPandas(run, "a long, b long")
+
+    links = meetings(members, BLOCK, BLOCK_SHINGLES, compare, "links")
     components = connected_components(links)
     labelled = groups.select(*keys, "rep").join(components, F.col("rep") == F.col("id"), "left")
     labelled = labelled.select(*keys, F.coalesce("component", "rep").alias("component_id"))

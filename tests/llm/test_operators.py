@@ -50,11 +50,74 @@ def test_near_duplicates_match_all_pairs(spark, documents):
     assert [r.component_id for r in twice] == [6, 6]
 
 
-def test_large_candidate_groups_meet_in_every_pair_of_chunks(spark):
-    members = spark.range(40).select("id", F.lit(0).cast("long").alias("component"))
-    blocks = near_dup.blocked(members, block=10).groupBy("block").agg(F.collect_list("id").alias("ids")).collect()
-    met = {(a, b) for r in blocks for a in r.ids for b in r.ids}
+def test_members_of_large_groups_all_meet_unless_connected(spark):
+    members = spark.range(40).select("id", F.lit(0).cast("long").alias("group"), F.lit(1).cast("long").alias("weight"))
+    sent, met = [0], set()
+
+    def compare(links):
+        def run(blocks):
+            together = {}
+            for r in blocks.collect():
+                together.setdefault(r.block, []).append(r.id)
+            sent[0] += sum(map(len, together.values()))
+            met.update((a, b) for ids in together.values() for a in ids for b in ids)
+            found = [(ids[0], i) for ids in together.values() for i in ids[1:] if links(ids[0], i)]
+            return spark.createDataFrame(found, "a long, b long")
+
+        return run
+
+    near_dup.meetings(members, 10, 10, compare(lambda a, b: False), "test").count()
     assert len(met) == 1600
+    sent[0] = 0
+    near_dup.meetings(members, 10, 10, compare(lambda a, b: True), "test").count()
+    assert sent[0] == 47  # each once, and the lightest in eight chunks
+    met.clear()
+    links = near_dup.meetings(members, 10, 10, compare(lambda a, b: a % 2 == b % 2), "test")
+    assert {(a, b) for a in range(40) for b in range(40) if (a - b) % 2} <= met
+    few = members.withColumn("weight", F.when(F.col("id") < 3, 50).otherwise(1).cast("long"))
+    met.clear()
+    near_dup.meetings(few, 100, 60, compare(lambda a, b: False), "test").count()
+    assert len(met) == 1600
+
+
+def test_large_near_duplicate_groups_match_all_pairs(spark, documents):
+    rng = np.random.default_rng(3)
+    rows = []
+    for kind in range(3):  # clusters of near copies, the first two half alike
+        base = [f"w{kind and 1}x{i}" for i in range(120)] + [f"v{kind}x{i}" for i in range(60)]
+        for _ in range(30):
+            words = list(base)
+            for at in rng.integers(0, 180, rng.integers(0, 4)):
+                words[at] = f"c{rng.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    for docs in (frame(spark, rows), documents):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(near_dup, "BLOCK", 8)
+            patch.setattr(near_dup, "BLOCK_SHINGLES", 1500)
+            patch.setattr(near_dup, "MARKS", 12)
+            found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+        assert found == brute.near_duplicates(pairs(docs))
+
+
+def test_chains_of_half_similar_texts_are_not_compared(spark):
+    words = [f"word{i}" for i in range(14 * 2000 + 60)]
+    texts = [(i, " ".join(words[14 * i : 14 * i + 60])) for i in range(2000)]  # neighbours of similarity 0.6
+    whole, sent = near_dup.meetings, []
+
+    def meetings(members, rows, weight, compare, purpose):
+        def counted(blocks):
+            if purpose == "links":
+                sent.append(blocks.count())
+            return compare(blocks)
+
+        return whole(members, rows, weight, counted, purpose)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(near_dup, "meetings", meetings)
+        patch.setattr(near_dup, "BLOCK", 8)
+        found = near_dup.near_duplicates(frame(spark, texts)).collect()
+    assert all(r.component_id == r.doc_id and r.kept for r in found) and len(found) == 2000
+    assert sum(sent) < 600
 
 
 def test_signatures_estimate_similarity():
