@@ -211,7 +211,7 @@ def alike(marks: np.ndarray, least: int) -> list[tuple[int, int]]:
 def meetings(
     members: DataFrame, rows: int, weight: int, compare: Callable[[DataFrame], DataFrame], purpose: str
 ) -> DataFrame:
-    """Links (``a``, ``b``) that connect whatever ``compare`` links within a ``group`` of ``members``.
+    """``id`` and ``component`` of the members that ``compare`` links within a ``group`` of ``members``.
 
     ``members`` has ``id``, ``group``, ``weight``; ``compare`` takes ``id`` and
     ``block`` and gives a spanning forest of the links of each block.  Groups of up
@@ -230,7 +230,7 @@ def meetings(
     )
     fits = (F.col("n") <= rows) & (F.col("total") <= weight)
     sizes = sizes.withColumn("chunks", F.when(fits, 1).otherwise(halves("n", "total")))
-    dealt = members.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    dealt = members.join(sizes.where("n > 1"), "group").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
     dealt = store(dealt, purpose + "-dealt")
     few, small, wide = dealt.agg(
         F.count_if(F.col("chunks") == 1), F.sum(F.when(F.col("chunks") == 1, F.col("weight"))), F.count_if(F.col("chunks") > 1)
@@ -241,28 +241,33 @@ def meetings(
     own = F.array(F.xxhash64("group", "chunk"))
     keys = F.when(F.col("chunks") == 1, pack).when(F.col("id") == F.col("hub"), everywhere).otherwise(own)
     links = store(compare(store(dealt.select("id", F.explode(keys).alias("block")).distinct(), purpose + "-blocks")), purpose)
+    found = connected_components(links)
     if not wide:
-        return links
-    labels = connected_components(links).select("id", F.col("component").alias("label"))
+        return found
+    labels = found.select("id", F.col("component").alias("label"))
     named = dealt.where("chunks > 1").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = store(named, purpose + "-named")
     centre = named.where("id = hub").select("group", F.col("label").alias("centre"))
     named = named.join(centre, "group").withColumn("loose", F.col("label") != F.col("centre"))
     rest = named.where("loose").groupBy("group").agg(F.count("*").alias("left"), F.sum("weight").alias("left_total"))
+    rest = store(rest, purpose + "-rest")
+    if not rest.count():
+        return found
     named = named.join(rest.withColumn("lots", halves("left", "left_total")), "group")
     lot = F.pmod(F.xxhash64("id", F.lit("lot")), "lots").cast("int")
     of_chunk = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda k: F.xxhash64("group", k, "chunk"))
     of_lot = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.xxhash64("group", lot, c))
     keys = F.when(F.col("loose"), F.array_union(of_chunk, of_lot)).otherwise(of_chunk)
     blocks = store(named.select("id", F.explode(keys).alias("block")), purpose + "-blocks")
-    return links.unionByName(store(compare(blocks), purpose))
+    stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return connected_components(stars.unionByName(compare(blocks)))
 
 
-def divided(candidates: DataFrame, groups: DataFrame, shared: DataFrame, threshold: int) -> DataFrame:
+def divided(wide: DataFrame, threshold: int) -> DataFrame:
     """``id`` and ``component`` of the candidates in groups beyond a block, divided by the signatures' estimate.
 
-    ``shared`` (``rep``, ``band``) holds the bands of more than one set.  Members
-    are compared within their bands only, on ``marks``.
+    ``wide`` has ``id``, ``bands`` and ``marks``; members are compared within
+    their shared bands only, on ``marks``.
     """
     least = least_alike(threshold)
 
@@ -273,12 +278,11 @@ def divided(candidates: DataFrame, groups: DataFrame, shared: DataFrame, thresho
             forest = alike(marks, least)
             return pd.DataFrame({"a": [ids[i] for i, _ in forest], "b": [ids[j] for _, j in forest]}, dtype="int64")
 
-        marked = groups.select(F.col("rep").alias("id"), "marks").join(blocks, "id")
-        return marked.groupBy("block").applyInPandas(run, "a long, b long")
+        return wide.select("id", "marks").join(blocks, "id").groupBy("block").applyInPandas(run, "a long, b long")
 
-    members = shared.join(candidates.select(F.col("id").alias("rep")), "rep")
-    members = members.select(F.col("rep").alias("id"), F.col("band").alias("group"), F.lit(1).cast("long").alias("weight"))
-    return connected_components(meetings(members, MARKS, MARKS, compare, "alike"))
+    # Sets that share a band are in one group, so bands are shared among ``wide`` alone.
+    members = wide.select("id", F.explode("bands").alias("group"), F.lit(1).cast("long").alias("weight"))
+    return meetings(members, MARKS, MARKS, compare, "alike")
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -299,9 +303,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     large = store(size.where((F.col("n") > BLOCK) | (F.col("total") > BLOCK_SHINGLES)).select("component"), "large")
     members = candidates
     if large.count():
-        wide = candidates.join(large, "component", "left_semi")
-        shared = hits.join(hubs.select("band"), "band", "left_semi")
-        parts = divided(wide, groups, shared, threshold).join(wide.select("id", "n_shingles"), "id")
+        wide = candidates.join(large, "component", "left_semi").select("id", "n_shingles")
+        wide = store(groups.select(F.col("rep").alias("id"), "bands", "marks").join(wide, "id"), "wide")
+        parts = divided(wide, threshold).join(wide.select("id", "n_shingles"), "id")
         members = candidates.join(large, "component", "left_anti").unionByName(parts)
     members = members.select("id", F.col("component").alias("group"), F.col("n_shingles").alias("weight"))
 
@@ -316,8 +320,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(if_small(blocks), "id")
         return wanted.groupBy("block").applyInPandas(run, "a long, b long")
 
-    links = meetings(members, BLOCK, BLOCK_SHINGLES, compare, "links")
-    components = connected_components(links)
+    components = meetings(members, BLOCK, BLOCK_SHINGLES, compare, "links")
     labelled = groups.select(*keys, "rep").join(components, F.col("rep") == F.col("id"), "left")
     labelled = labelled.select(*keys, F.coalesce("component", "rep").alias("component_id"))
     named = filled.select("doc_id", *keys).join(labelled, keys).select("doc_id", "n_shingles", "component_id")

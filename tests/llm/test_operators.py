@@ -72,7 +72,8 @@ def test_members_of_large_groups_all_meet_unless_connected(spark):
     near_dup.meetings(members, 10, 10, compare(lambda a, b: True), "test").count()
     assert sent[0] == 47  # each once, and the lightest in eight chunks
     met.clear()
-    links = near_dup.meetings(members, 10, 10, compare(lambda a, b: a % 2 == b % 2), "test")
+    found = near_dup.meetings(members, 10, 10, compare(lambda a, b: a % 2 == b % 2), "test").collect()
+    assert {(r.id, r.component) for r in found} == {(i, i % 2) for i in range(40)}
     assert {(a, b) for a in range(40) for b in range(40) if (a - b) % 2} <= met
     few = members.withColumn("weight", F.when(F.col("id") < 3, 50).otherwise(1).cast("long"))
     met.clear()
