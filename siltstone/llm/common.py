@@ -13,6 +13,9 @@ from siltstone.session import scratch_dir
 # A side is broadcast only if it has been counted and holds no more rows than
 # this; beyond it the join is an ordinary shuffled one.
 BROADCAST_ROWS = 1_000_000
+# Edges that one task keeps, and the least number of tasks.
+EDGES_A_TASK = 500_000
+EDGE_TASKS = 8
 
 
 def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -63,33 +66,36 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``id``, ``component`` (smallest id reachable) of every id in ``edges`` (``a``, ``b``).
 
     Alternating large-star and small-star steps, each an aggregate and a join;
-    the edges of every round are stored, and it ends when a round changes none.
+    the edges of every round are stored, and it ends when they are stars around
+    the smallest ids.  Lowest neighbours are broadcast while there are few, and
+    few edges are kept in few files.
     """
 
-    def fingerprint(pairs: DataFrame) -> tuple:
-        spread = F.xxhash64("u", "v").cast("decimal(38,0)")
-        return tuple(pairs.agg(F.count("*"), F.sum(spread), F.sum("v")).first())
+    def tasks(count: int) -> int:
+        return max(EDGE_TASKS, count // EDGES_A_TASK)
+
+    def ended(pairs: DataFrame, count: int) -> bool:
+        """Whether every id is either the lower end of its pairs or the upper end of one pair."""
+        ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
+        ends = pairs.select(F.inline(ends)).groupBy("x").agg(F.sum("up").alias("ups"), F.min("up").alias("lowest"))
+        return not ends.where("ups > 1 OR ups = 1 AND lowest = 0").coalesce(tasks(count)).count()
+
+    def lowest(pairs: DataFrame, count: int) -> DataFrame:
+        low = pairs.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
+        return F.broadcast(low.coalesce(tasks(count))) if count <= BROADCAST_ROWS else low
 
     pairs = store(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    seen = fingerprint(pairs)
-    while seen[0]:
-        both = pairs.select(F.col("u").alias("x"), F.col("v").alias("y")).unionAll(
-            pairs.select(F.col("v").alias("x"), F.col("u").alias("y"))
-        )
-        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(low, "x").where("y > x AND y <> m").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
-            low.select("u", F.col("m").alias("v"))
-        )
-        pairs = store(small.where("u <> v").distinct(), "edges")
-        now = fingerprint(pairs)
-        if now == seen:
-            break
-        seen = now
+    count = pairs.count()
+    while not ended(pairs, count):
+        # Every pair's upper end goes to the lowest neighbour of its lower end.
+        large = pairs.join(lowest(pairs, count), F.col("v") == F.col("x"), "left").select("u", F.coalesce("m", "v").alias("v"))
+        # The lowest of an id's lower ends stays its own, the others are tied to that.
+        small = large.join(lowest(large, count), F.col("u") == F.col("x"))
+        small = small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        pairs = store(small.distinct().coalesce(tasks(count)), "edges")
+        count = pairs.count()
     roots = pairs.select("v").distinct()
     return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(
         roots.select(F.col("v").alias("id"), F.col("v").alias("component"))

@@ -148,23 +148,17 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def spanning_forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of a symmetric 0/1 matrix that connect all it connects."""
-    first, second = np.nonzero(np.triu(linked, 1))
-    parent = list(range(len(linked)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    forest = []
-    for a, b in zip(first.tolist(), second.tolist()):
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            forest.append((a, b))
-    return forest
+    """Pairs of a symmetric 0/1 matrix that connect all it connects: the first row of a component with every other one."""
+    linked = linked.astype(bool)
+    n = len(linked)
+    first = np.arange(n)
+    while True:
+        near = np.minimum(first, np.where(linked, first[None, :], n).min(axis=1, initial=n))
+        near = np.minimum(near, near[near])
+        if (near == first).all():
+            break
+        first = near
+    return [(a, b) for a, b in zip(first.tolist(), range(n)) if a != b]
 
 
 def links_within(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
@@ -273,6 +267,7 @@ def divided(wide: DataFrame, threshold: int) -> DataFrame:
 
     def compare(blocks: DataFrame) -> DataFrame:
         def run(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values("id")
             ids = part["id"].to_numpy()
             marks = np.frombuffer(b"".join(part["marks"]), np.uint8).reshape(len(ids), -1)
             forest = alike(marks, least)
@@ -296,7 +291,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
     hits = groups.select("rep", F.explode("bands").alias("band"))
     hubs = hits.groupBy("band").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    stars = hits.join(hubs.drop("n"), "band").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    # At most a hub per band; the lowest one connects them all.
+    shared = hits.join(hubs.drop("n"), "band").where("rep <> hub").groupBy("rep").agg(F.collect_set("hub").alias("hubs"))
+    ends = F.array_except(F.array_append("hubs", F.col("rep")), F.array(F.array_min("hubs")))
+    stars = shared.select(F.explode(ends).alias("a"), F.array_min("hubs").alias("b"))
     candidates = connected_components(stars).join(groups.select(F.col("rep").alias("id"), "n_shingles"), "id")
     candidates = store(candidates, "candidates")
     size = candidates.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
@@ -311,7 +309,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     def compare(blocks: DataFrame) -> DataFrame:
         def run(part: pd.DataFrame) -> pd.DataFrame:
-            part = part.drop_duplicates("id")
+            part = part.drop_duplicates("id").sort_values("id")
             flat, offsets = column_bytes(pa.array(part["text"], pa.large_string()))
             ids = part["id"].to_numpy()
             forest = links_within(shingle_sets(flat, offsets), threshold)

@@ -133,6 +133,40 @@ def test_components(spark):
     assert {(r.id, r.component) for r in common.connected_components(edges).collect()} == {(3, 3), (4, 3), (5, 3), (8, 8), (9, 8)}
 
 
+def test_components_of_odd_graphs_and_stars_that_need_no_round(spark):
+    rng = np.random.default_rng(5)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    zigzag = [(200 + i // 2 if i % 2 else 260 - i // 2, 200 + (i + 1) // 2 if (i + 1) % 2 else 260 - (i + 1) // 2) for i in range(50)]
+    loose = [tuple(map(int, rng.integers(300, 400, 2))) for _ in range(70)]
+    edges = [*chain, *zigzag, *loose, (None, 7), (8, None)]
+    lowest = {i: i for e in edges for i in e if None not in e and e[0] != e[1]}
+    for _ in lowest:
+        for a, b in edges:
+            if a in lowest and b in lowest:
+                lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    stored, store = [], common.store
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common, "store", lambda df, purpose: stored.append(purpose) or store(df, purpose))
+        found = common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert {r.id: r.component for r in found} == lowest and len(found) == len(lowest)
+        with pytest.MonkeyPatch.context() as shuffled:
+            shuffled.setattr(common, "BROADCAST_ROWS", 0)
+            found = common.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert {r.id: r.component for r in found} == lowest and len(found) == len(lowest)
+        stored.clear()
+        stars = spark.createDataFrame([(1, i) for i in range(2, 40)] + [(50, i) for i in range(51, 60)], "a long, b long")
+        assert {r.component for r in common.connected_components(stars).collect()} == {1, 50}
+    assert stored == ["edges"]
+
+
+def test_a_spanning_forest_is_stars_around_the_first_rows():
+    linked = np.zeros((9, 9), dtype=np.uint8)
+    for a, b in [(0, 4), (4, 2), (2, 7), (3, 8), (8, 5), (6, 6)]:
+        linked[a, b] = linked[b, a] = 1
+    assert sorted(near_dup.spanning_forest(linked)) == [(0, 2), (0, 4), (0, 7), (3, 5), (3, 8)]
+    assert near_dup.spanning_forest(np.zeros((0, 0), dtype=bool)) == []
+
+
 def test_repeats_match_a_dictionary_of_windows(spark, documents):
     docs = frame(spark, [(i, t if t is not LONG else LONG[:9000]) for i, t in ODD] + [(20, "x" + BASE[:700] + "y"), (21, "a" * 450)])
     want = brute.without_repeats(pairs(docs))
