@@ -38,6 +38,11 @@ SEARCH_NODES = 2_000
 _BESIDE_BLANK = re.compile(r"\s | \s")
 _RARE_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+# ASCII, and blocks whose characters are letters, numbers, marks or signs in every edition of Unicode: here a pattern has one reading.
+_ONE_READING = re.compile(
+    "[\0-\x7f\xa1-\u01bf\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481\u05d0-\u05ea\u0621-\u063a\u0641-\u064a\u2010-\u2027\u2030-\u2046"
+    "\u3001-\u3003\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*"
+)
 
 
 def beside_blank(text: str) -> bool:
@@ -47,11 +52,11 @@ def beside_blank(text: str) -> bool:
     return any(c in text for c in _RARE_BLANKS) and bool(_BESIDE_BLANK.search(text))
 
 
-def ascii_encoder(described: dict, pattern: str) -> Callable[[str], list[int]] | None:
-    """A faster encoder of ASCII words with the same vocabulary, where the described tokenizer allows it.
+def merge_encoder(described: dict, pattern: str) -> Callable[[str], list[int]] | None:
+    """A faster encoder with the same vocabulary, where the described tokenizer allows it.
 
     It must be plain byte-level pair merging whose ids are numbered in the order
-    of the merges; ASCII is left to it because there the pattern has one reading.
+    of the merges; texts are left to it where the pattern has one reading.
     """
     model, before = described["model"], described.get("pre_tokenizer") or {}
     plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
@@ -79,9 +84,10 @@ def lone_blanks(text: str) -> list[str]:
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
-    A single space between two other characters always starts a new pretoken,
-    so a text is encoded word by word and words are remembered; what stands at
-    other white space stays together.
+    Texts of plain characters go through a faster encoder whole.  In others a
+    single space between two other characters always starts a new pretoken, so
+    they are encoded word by word and words are remembered; what stands at other
+    white space stays together.
     """
 
     def __init__(self, tokenizer: str):
@@ -95,7 +101,13 @@ class Encoder:
         with open(file, encoding="utf-8") as f:
             described = json.load(f)
         self.added = [t["content"] for t in described.get("added_tokens") or ()]
-        self.ascii = ascii_encoder(described, public_tokenizers.PATTERN)
+        self.merged = merge_encoder(described, public_tokenizers.PATTERN)
+
+    def _plain(self, text: str) -> bool:
+        """Whether the faster encoder reads ``text`` alike."""
+        if not self.merged or any(t in text for t in self.added):
+            return False
+        return text.isascii() or bool(_ONE_READING.fullmatch(text))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -105,8 +117,8 @@ class Encoder:
         """Remember the ids of new words that follow a space."""
         rest = []
         for w in words:
-            if self.ascii and w.isascii() and not any(t in w for t in self.added):
-                self.known[w] = array("I", self.ascii(" " + w)).tobytes()
+            if self._plain(w):
+                self.known[w] = array("I", self.merged(" " + w)).tobytes()
             else:
                 rest.append(w)
         for at in range(0, len(rest), 10_000):
@@ -114,6 +126,11 @@ class Encoder:
             self.known.update(zip(part, self._ids([" " + w for w in part])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [self._plain(t) for t in texts]
+        rest = iter(self._by_words([t for t, p in zip(texts, plain) if not p]))
+        return [array("I", self.merged(t)).tobytes() if p else next(rest) for t, p in zip(texts, plain)]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         split = [lone_blanks(t) if beside_blank(t) else t.split(" ") for t in texts]
         new = set()
         for words in split:

@@ -187,6 +187,16 @@ def test_packing_keeps_every_id(spark, documents):
     assert packing.pack(packing.pieces(docs.limit(0))).count() == 0
 
 
+def test_plain_texts_are_encoded_whole_and_like_the_tokenizer():
+    encoder = packing.Encoder(packing.TOKENIZER)
+    plain = ["", "one  two\n\nthree 12's", "déjà vu, «été» 5½", "слово и дело", "漢字 かな 1", "  ", "“so” – he’ll…"]
+    odd = ["a\u00a0b", "\u0300x y", "\U0001f600 z", "<|endoftext|> été", "\u2028 q", "नमस्ते जी"]
+    for texts in (plain, odd, [*odd, *plain]):
+        found = encoder.encode(texts)
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert texts is not plain or not encoder.known
+
+
 @pytest.mark.parametrize("sizes", [[6, 6, 4, 4], [7, 5, 5, 3], [6, 5, 4, 3, 2], [10, 9, 1, 5, 5, 4, 3, 3]])
 def test_small_packings_are_optimal(sizes):
     counts = [sizes.count(s) for s in range(11)]
